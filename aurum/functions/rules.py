@@ -50,4 +50,4 @@ def rejection_reason(cfg: DomainConfig = LITERACY, validity_rule: Column | None
 
 def id_prefix_code(id_col: str, start: int = 1, length: int = 2) -> Column:
     """Numeric code embedded in an id (e.g. the state code in the first two digits)."""
-    return F.try_cast(F.substring(F.col(id_col), start, length), "int")
+    return F.substring(F.col(id_col), start, length).try_cast("int")

@@ -45,7 +45,7 @@ def upsert_documents(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def field(body: str, name: str, dtype: str = "string") -> Column:
     """A field of the body as ``dtype`` (null when absent or JSON null)."""
-    return F.try_cast(F.col(body)[name], dtype)
+    return F.col(body)[name].try_cast(dtype)
 
 
 def as_variant(body: str, name: str) -> Column:

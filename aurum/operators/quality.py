@@ -105,7 +105,7 @@ def lag_seconds(event_ts, write_ts) -> Column:
     """Whole elapsed seconds between event time and write time."""
     e = F.col(event_ts) if isinstance(event_ts, str) else event_ts
     w = F.col(write_ts) if isinstance(write_ts, str) else write_ts
-    return F.timestampdiff("SECOND", e, w)
+    return F.timestamp_diff("SECOND", e, w)
 
 
 def timeliness(df: DataFrame, event_ts: str, write_ts, by=(), late_after_s: int = 3600,
@@ -192,7 +192,7 @@ def typed(df: DataFrame, casts: dict[str, str], keep_raw: bool = False,
     cols = {}
     failed = F.lit(False)
     for c, t in casts.items():
-        v = F.try_cast(F.col(c), t)
+        v = F.col(c).try_cast(t)
         failed = failed | (F.col(c).isNotNull() & v.isNull())
         cols[c] = v
         if keep_raw:

@@ -195,7 +195,7 @@ def q_quality_scorecard(spark, sf_dir):
 def q_consistency_rule(spark, sf_dir):
     t = _tables(spark, sf_dir)
     ents = MP.municipios_extract(t)
-    code = F.try_cast(F.substring("id_municipio", 6, 2), "int") % 25
+    code = F.substring("id_municipio", 6, 2).try_cast("int") % 25
     return Q.consistency(ents, MP.state_codes(t), code, "sigla_uf").select(
         "id_municipio", "sigla_uf", "id_code", "expected_code", "consistent")
 
@@ -391,7 +391,7 @@ def q_stream_quarantine(spark, sf_dir):
 def q_document_upsert(spark, sf_dir):
     e = _tables(spark, sf_dir)["events"].select(
         "user_id", "ts", "event_id", "event_type", "value",
-        F.try_cast(F.get_json_object("props", "$.k"), "int").alias("k"))
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"))
     ranked = latest_per_key(e, ["user_id"], ["ts", "event_id"], n=2, rank_col="_r")
     base = D.to_documents(ranked.where(F.col("_r") == 2), "user_id", ["k", "event_type", "value"])
     new = D.to_documents(ranked.where(F.col("_r") == 1), "user_id", ["k", "event_type"])

@@ -65,10 +65,15 @@ def write_split(flagged: DataFrame, path: str, reason_col: str = "rejection_reas
                 ["_outcome", *partition_by], fmt)
 
 
+# microsecond timestamps in messages (the JSON default keeps milliseconds only)
+JSON_TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def encode_json(df: DataFrame, cols=None, name: str = "value") -> DataFrame:
     """Row -> one JSON document per row (the message encoding of an event stream)."""
     cols = cols or df.columns
-    return df.select(F.to_json(F.struct(*cols)).alias(name))
+    return df.select(F.to_json(F.struct(*cols), JSON_TIME_OPTIONS).alias(name))
 
 
 def write_events_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

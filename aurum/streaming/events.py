@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aurum import config as C
+from aurum.sinks.writers import JSON_TIME_OPTIONS
 
 # Measurement event (one JSON object per message).
 EVENT_SCHEMA = T.StructType([
@@ -45,7 +46,7 @@ def parse_payload(df: DataFrame, schema: T.StructType = EVENT_SCHEMA, payload_co
     """
     text = F.col(payload_col).cast("string")
     parsed = F.from_json(text, with_corrupt_field(schema),
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_TIME_OPTIONS})
     cols = [parsed.alias("_data")] + ([text.alias("_payload")] if keep_payload else [])
     return df.select(*cols).select("_data.*", *(["_payload"] if keep_payload else []))
 
