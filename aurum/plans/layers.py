@@ -24,10 +24,18 @@ from aurum.sinks.writers import write_bronze, write_split, write_table
 from aurum.sources.lineage import make_batch_id, with_lineage
 from aurum.sources.readers import read_bronze
 
+# Facts are partitioned by year (the usual filter) and clustered by group
+# inside each file: a second partition level (year x state) multiplies small
+# files, while sorted row groups still let min/max statistics skip data on a
+# state filter.
 GOLD_PARTITIONS = {
     "dim_tempo": ("ano",),
-    "fato_indicador_alfabetizacao": ("ano", "sigla_uf"),
-    "fato_metas_vs_resultado": ("ano", "sigla_uf"),
+    "fato_indicador_alfabetizacao": ("ano",),
+    "fato_metas_vs_resultado": ("ano",),
+}
+GOLD_CLUSTER = {
+    "fato_indicador_alfabetizacao": ("sigla_uf", "id_municipio"),
+    "fato_metas_vs_resultado": ("sigla_uf", "id_municipio"),
 }
 
 
@@ -42,12 +50,14 @@ class Layers:
     metrics: list = field(default_factory=list)
 
 
-def _write(df: DataFrame, path: str, partition_by=()):
+def _write(df: DataFrame, path: str, partition_by=(), cluster_by=()):
     """Write a table and return its schema (to read it back with the same types)."""
     schema = df.schema
     # rebalance: AQE splits skewed partition values and merges small ones
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if cluster_by:
+        df = df.sortWithinPartitions(*partition_by, *cluster_by)
     write_table(df, path, "overwrite", list(partition_by) or None)
     return schema
 
@@ -125,7 +135,8 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     counts, schemas = {}, {}
     for name, df in tables.items():
         df, o = observed(df, f"gold_{name}_{root}")
-        schemas[name] = _write(df, f"{root}/gold/{name}", GOLD_PARTITIONS.get(name, ()))
+        schemas[name] = _write(df, f"{root}/gold/{name}", GOLD_PARTITIONS.get(name, ()),
+                               GOLD_CLUSTER.get(name, ()))
         counts[name] = o.get["rows"]
     if layers is not None:
         layers.gold = {n: _read(spark, f"{root}/gold/{n}", schemas[n]) for n in tables}
