@@ -101,6 +101,11 @@ def consistency(df: DataFrame, codes: DataFrame, code_expr: Column,
             .withColumnRenamed("_expected_code", "expected_code"))
 
 
+def state_code_table(spark, codes=C.IBGE_STATE_CODES, group_col: str = "sigla_uf") -> DataFrame:
+    """The fixed state-code directory as a DataFrame (27 rows)."""
+    return spark.createDataFrame(list(codes), f"{group_col} string, code int")
+
+
 def lag_seconds(event_ts, write_ts) -> Column:
     """Whole elapsed seconds between event time and write time."""
     e = F.col(event_ts) if isinstance(event_ts, str) else event_ts

@@ -32,11 +32,7 @@ CENSUS = [("3550308", "SP", 2023, "E1", "Urbana", "Municipal"),
           ("2312908", "CE", 2023, "E4", "Rural", "Municipal"),
           ("1302603", "AM", 2023, "E5", "Rural", "Municipal")]
 
-# IBGE numeric state codes (fixed values; first two digits of a municipality id)
-STATE_CODES = [("RO", 11), ("AC", 12), ("AM", 13), ("RR", 14), ("PA", 15), ("AP", 16), ("TO", 17),
-               ("MA", 21), ("PI", 22), ("CE", 23), ("RN", 24), ("PB", 25), ("PE", 26), ("AL", 27),
-               ("SE", 28), ("BA", 29), ("MG", 31), ("ES", 32), ("RJ", 33), ("SP", 35), ("PR", 41),
-               ("SC", 42), ("RS", 43), ("MS", 50), ("MT", 51), ("GO", 52), ("DF", 53)]
+from aurum.config import IBGE_STATE_CODES as STATE_CODES  # noqa: E402
 
 
 def metas(spark, rows=None):
