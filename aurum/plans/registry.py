@@ -387,6 +387,15 @@ def q_stream_quarantine(spark, sf_dir):
     return clean.unionByName(rej)
 
 
+def q_stream_upsert(spark, sf_dir):
+    """Latest event per user, merged micro-batch by micro-batch into a bucketed table."""
+    msgs = _events_to_files(spark, sf_dir, "stream_upsert")
+    base = shared_path(spark, "queries", "stream_upsert")
+    S.run_available(_stream(spark, msgs), f"{base}/_checkpoint",
+                    S.upsert_writer(f"{base}/table", ["user_id"], ["ts", "event_id"], buckets=16))
+    return spark.read.parquet(f"{base}/table").select(*EVENT_COLS)
+
+
 # ---------------------------------------------------------------- documents / vectors / ml
 def q_document_upsert(spark, sf_dir):
     e = _tables(spark, sf_dir)["events"].select(
@@ -403,9 +412,11 @@ def q_document_upsert(spark, sf_dir):
 
 
 def q_vector_insert_if_absent(spark, sf_dir):
+    """The whole table inserted twice into an empty vector table: the second insert adds nothing."""
     emb = _tables(spark, sf_dir)["embeddings"]
-    existing = emb.where(F.col("label") < 5)
-    table = M.append_if_absent(existing, emb, ["vec_id"])
+    table = emb.limit(0)
+    for _ in range(2):
+        table = M.append_if_absent(table, emb, ["vec_id"])
     checked = V.with_dimension_check(table, "embedding", 64)
     return checked.select("vec_id", "label", F.size("embedding").alias("n_dims"),
                           F.col("_dims_ok").alias("dims_ok"))
@@ -467,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_parse_events": q_stream_parse_events,
     "stream_dedupe": q_stream_dedupe,
     "stream_quarantine": q_stream_quarantine,
+    "stream_upsert": q_stream_upsert,
     "document_upsert": q_document_upsert,
     "vector_insert_if_absent": q_vector_insert_if_absent,
     "vector_top_k": q_vector_top_k,

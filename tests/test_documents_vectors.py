@@ -78,3 +78,20 @@ def test_filtered_retrieval(spark):
     q = spark.createDataFrame([(9, [1.0, 0.0])], "qid bigint, qvec array<double>")
     got = [r.vec_id for r in V.top_k(base, q, k=2, filter_expr=F.col("passed")).orderBy("rank").collect()]
     assert got == [1, 3]
+
+
+def test_feature_table_clusters_and_risk(spark):
+    from aurum.operators import gold as G
+    from aurum.operators import ml as ML
+    rng = np.random.default_rng(3)
+    rows = [(f"{i:07d}", "SP", 2023, float(s), float(r), float(t))
+            for i, (s, r, t) in enumerate(zip(rng.uniform(600, 900, 60), rng.uniform(40, 100, 60),
+                                              rng.uniform(50, 90, 60)))]
+    silver = spark.createDataFrame(rows, "id_municipio string, sigla_uf string, ano int, "
+                                         "media_proficiencia_saeb double, indicador_alfabetizacao double, "
+                                         "meta_alfabetizacao double")
+    feats = ML.feature_table(G.fact_indicator(silver), G.fact_target(silver))
+    clusters = ML.fit_clusters(feats, k=3)
+    assert clusters.count() == 60 and clusters.select("cluster").distinct().count() == 3
+    risk = ML.fit_risk(feats)
+    assert {"prediction", "probability"} <= set(risk.columns) and risk.count() == 60
