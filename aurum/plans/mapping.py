@@ -22,8 +22,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+class Tables(dict):
+    """Test tables opened on first use (opening a Parquet table reads its footer)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names=TABLES):
+        super().__init__()
+        self.spark, self.sf_dir, self.names = spark, sf_dir.rstrip("/"), tuple(names)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        self[name] = df
+        return df
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    return Tables(spark, sf_dir, names)
 
 
 def order_lines(t: dict) -> DataFrame:

@@ -87,8 +87,18 @@ def _gold(spark, sf_dir, name) -> DataFrame:
     return layers(spark, sf_dir).gold[name]
 
 
+LINEAGE_COLS = ("_ingestion_timestamp", "_source_table", "_batch_id")
+
+
+def _metas(spark, sf_dir) -> DataFrame:
+    """The indicator extract as landed in bronze by the layered run (lineage columns dropped)."""
+    run = layers(spark, sf_dir)
+    return read_bronze(spark, f"{run.root}/bronze/metas_municipio").drop(*LINEAGE_COLS)
+
+
 # ---------------------------------------------------------------- sources
 def q_metas_extract(spark, sf_dir):
+    """The extract itself, computed from the tables (not read from bronze)."""
     return MP.metas_extract(_tables(spark, sf_dir))
 
 
@@ -177,7 +187,7 @@ def q_strict_typing(spark, sf_dir):
 
 # ---------------------------------------------------------------- contracts
 def _split(spark, sf_dir):
-    return Q.split(MP.metas_extract(_tables(spark, sf_dir)), LITERACY, stamp=False)
+    return Q.split(_metas(spark, sf_dir), LITERACY, stamp=False)
 
 
 def q_contract_split_clean(spark, sf_dir):
@@ -189,7 +199,7 @@ def q_contract_split_quarantine(spark, sf_dir):
 
 
 def q_quality_scorecard(spark, sf_dir):
-    return Q.scorecard(MP.metas_extract(_tables(spark, sf_dir)), LITERACY)
+    return Q.scorecard(_metas(spark, sf_dir), LITERACY)
 
 
 def q_consistency_rule(spark, sf_dir):
@@ -218,7 +228,7 @@ def _event_range_reason():
 
 def q_quarantine_union(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    _, metas_rej = Q.split(MP.metas_extract(t), LITERACY)
+    _, metas_rej = Q.split(_metas(spark, sf_dir), LITERACY)
     ev = t["events"].withColumn(Q.REASON, _event_range_reason()).where(F.col(Q.REASON).isNotNull())
     env = M.union_envelopes(
         M.to_envelope(metas_rej, "metas_municipio", ["id_municipio"], "ano"),
@@ -234,7 +244,7 @@ def q_dedupe_latest(spark, sf_dir):
 
 def q_enrich_directories(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    clean, _ = Q.split(MP.metas_extract(t), LITERACY, stamp=False)
+    clean, _ = Q.split(_metas(spark, sf_dir), LITERACY, stamp=False)
     ents = latest_per_key(MP.municipios_extract(t), ["id_municipio"], [])
     groups = latest_per_key(MP.ufs_extract(t), ["sigla_uf"], [])
     out = join_directory(clean, ents.select("id_municipio", "nome_municipio"), "id_municipio")
