@@ -8,6 +8,7 @@ written table, not from the raw sources).  Every count comes from an
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from aurum.operators.joins import join_directory
 from aurum.operators.merge import to_envelope
 from aurum.operators.metrics import monitor_stage, observed, quarantine_rate
 from aurum.operators.quality import REASON, evaluate
-from aurum.sinks.writers import write_bronze, write_split, write_table
+from aurum.sinks.writers import overwrite_partitions, write_bronze, write_split, write_table
 from aurum.sources.lineage import make_batch_id, with_lineage
 from aurum.sources.readers import read_bronze
 
@@ -68,16 +69,24 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     return df.select(*schema.fieldNames())
 
 
+def concurrently(tasks: dict, workers: int = 4) -> dict:
+    """Run independent Spark actions as concurrent jobs (one thread submits each)."""
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def ingest(spark: SparkSession, sources: dict[str, DataFrame], root: str, batch_id: str,
            ingested_at: str | None = None) -> dict:
     """Land every non-empty source as one bronze batch; failed writes are not counted."""
-    total = 0
-    for name, df in sources.items():
-        if df is None:
-            continue
+    def land(name, df):
         df, obs = observed(with_lineage(df, name, batch_id, ingested_at), f"bronze_{name}_{batch_id}")
-        if write_bronze(df, f"{root}/bronze/{name}", batch_id):
-            total += obs.get["rows"]
+        return obs.get["rows"] if write_bronze(df, f"{root}/bronze/{name}", batch_id) else 0
+
+    landed = concurrently({n: (lambda n=n, d=d: land(n, d)) for n, d in sources.items() if d is not None})
+    total = sum(landed.values())
     return {"rows_input": total, "rows_clean": total, "rows_quarantined": 0,
             "rows_duplicate": 0, "quarantine_rate_pct": 0.0}
 
@@ -111,7 +120,9 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     silver_schema = _write(silver, f"{root}/silver/fato_metas", (cfg.group_col,))
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            metas, [cfg.id_col], cfg.year_col)
-    write_table(envelope, f"{root}/silver/quarantine", "append")
+    # one table for every source's rejects; each source replaces its own
+    # partition, so a rerun replaces its rejects instead of appending them again
+    overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"])
 
     n_in, n_rej = obs_in.get["rows"], obs_in.get["rejected"]
     n_out = obs_out.get["rows"]
@@ -132,12 +143,14 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     if census_df is not None:
         census_df = census_df.drop("_ingestion_timestamp", "_source_table", "_batch_id")
     tables = G.build_gold(silver, census_df, cfg)
-    counts, schemas = {}, {}
-    for name, df in tables.items():
+    def build(name, df):
         df, o = observed(df, f"gold_{name}_{root}")
-        schemas[name] = _write(df, f"{root}/gold/{name}", GOLD_PARTITIONS.get(name, ()),
-                               GOLD_CLUSTER.get(name, ()))
-        counts[name] = o.get["rows"]
+        schema = _write(df, f"{root}/gold/{name}", GOLD_PARTITIONS.get(name, ()), GOLD_CLUSTER.get(name, ()))
+        return schema, o.get["rows"]
+
+    done = concurrently({n: (lambda n=n, d=d: build(n, d)) for n, d in tables.items()})
+    schemas = {n: v[0] for n, v in done.items()}
+    counts = {n: v[1] for n, v in done.items()}
     if layers is not None:
         layers.gold = {n: _read(spark, f"{root}/gold/{n}", schemas[n]) for n in tables}
     n_in = counts.get("fato_indicador_alfabetizacao", 0)  # a projection of silver: same rows

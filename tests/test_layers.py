@@ -33,6 +33,19 @@ def test_rerun_of_the_same_batch_is_idempotent(spark, scratch):
     silver = {m["stage"]: m for m in again.metrics}["bronze_to_silver"]
     assert silver["rows_input"] == 16 and silver["rows_clean"] == 7 and silver["rows_duplicate"] == 7
     assert again.gold["fato_indicador_alfabetizacao"].count() == 7
+    assert again.quarantine.count() == 2                    # one rejected row per delivered batch
+    rerun = L.run(spark, src, scratch, batch_id="20260831_120000")  # same batch again: nothing doubles
+    assert rerun.quarantine.count() == 2
+    assert {m["stage"]: m for m in rerun.metrics}["bronze_to_silver"]["rows_input"] == 16
+
+
+def test_metrics_balance_on_the_test_tables(spark):
+    from aurum.plans import registry as R
+    run = R.layers(spark, "/root/testdata/sf0.001")
+    from aurum.operators.metrics import StageMetrics
+    for m in run.metrics:
+        sm = StageMetrics(**{k: m.get(k) for k in StageMetrics.__dataclass_fields__})
+        assert sm.balanced() and sm.status == "SUCCESS"
 
 
 def test_missing_required_bronze_fails_the_stage(spark, scratch):
