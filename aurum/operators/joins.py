@@ -19,11 +19,19 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    probe: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when at most ``max_rows`` rows are proven, else ``df``.
+
+    ``probe`` is a frame with at least as many rows as ``df`` that is cheaper to
+    count, e.g. the raw directory before its de-duplication: counting the raw
+    scan stops after ``max_rows + 1`` rows, while counting the de-duplicated
+    frame would shuffle the whole directory once just to size it.
+    """
+    return F.broadcast(df) if is_bounded(probe if probe is not None else df, max_rows) else df
 
 
 def join_directory(fact: DataFrame, directory: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int = DEFAULT_BROADCAST_ROWS, probe: DataFrame | None = None) -> DataFrame:
     """Join a fact to a directory (one row per key is the caller's duty)."""
-    return fact.join(maybe_broadcast(directory, max_rows), on, how)
+    return fact.join(maybe_broadcast(directory, max_rows, probe), on, how)

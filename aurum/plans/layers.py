@@ -20,6 +20,7 @@ from aurum.operators.dedupe import latest_per_key
 from aurum.operators.joins import join_directory
 from aurum.operators.merge import to_envelope
 from aurum.operators.metrics import monitor_stage, observed, quarantine_rate
+from aurum.functions.normalize import normalize
 from aurum.operators.quality import REASON, evaluate
 from aurum.sinks.writers import overwrite_partitions, write_bronze, write_split, write_table
 from aurum.sources.lineage import make_batch_id, with_lineage
@@ -105,16 +106,16 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
 
     order = [cfg.ingest_ts_col, "_batch_id"]
-    ent_dir = read_bronze(spark, f"{root}/bronze/{entities}")
-    if ent_dir is not None:
-        ent_dir = latest_per_key(ent_dir, [cfg.id_col], order)
+    ent_raw = read_bronze(spark, f"{root}/bronze/{entities}")
+    if ent_raw is not None:
+        ent_dir = latest_per_key(normalize(ent_raw, cfg), [cfg.id_col], order)
         cols = [cfg.id_col] + [c for c in (cfg.entity_name_col,) if c in ent_dir.columns]
-        clean = join_directory(clean, ent_dir.select(*cols), cfg.id_col)
-    grp_dir = read_bronze(spark, f"{root}/bronze/{groups}")
-    if grp_dir is not None:
-        grp_dir = latest_per_key(grp_dir, [cfg.group_col], order)
+        clean = join_directory(clean, ent_dir.select(*cols), cfg.id_col, probe=ent_raw)
+    grp_raw = read_bronze(spark, f"{root}/bronze/{groups}")
+    if grp_raw is not None:
+        grp_dir = latest_per_key(normalize(grp_raw, cfg), [cfg.group_col], order)
         cols = [cfg.group_col] + [c for c in (cfg.group_name_col, cfg.region_col) if c in grp_dir.columns]
-        clean = join_directory(clean, grp_dir.select(*cols), cfg.group_col)
+        clean = join_directory(clean, grp_dir.select(*cols), cfg.group_col, probe=grp_raw)
 
     silver, obs_out = observed(latest_per_key(clean, list(cfg.key_cols), order), f"silver_out_{id(raw)}")
     silver_schema = _write(silver, f"{root}/silver/fato_metas", (cfg.group_col,))

@@ -245,10 +245,11 @@ def q_dedupe_latest(spark, sf_dir):
 def q_enrich_directories(spark, sf_dir):
     t = _tables(spark, sf_dir)
     clean, _ = Q.split(_metas(spark, sf_dir), LITERACY, stamp=False)
-    ents = latest_per_key(MP.municipios_extract(t), ["id_municipio"], [])
-    groups = latest_per_key(MP.ufs_extract(t), ["sigla_uf"], [])
-    out = join_directory(clean, ents.select("id_municipio", "nome_municipio"), "id_municipio")
-    return join_directory(out, groups.select("sigla_uf", "nome_uf", "regiao"), "sigla_uf")
+    ents_raw, groups_raw = MP.municipios_extract(t), MP.ufs_extract(t)
+    ents = latest_per_key(ents_raw, ["id_municipio"], [])
+    groups = latest_per_key(groups_raw, ["sigla_uf"], [])
+    out = join_directory(clean, ents.select("id_municipio", "nome_municipio"), "id_municipio", probe=ents_raw)
+    return join_directory(out, groups.select("sigla_uf", "nome_uf", "regiao"), "sigla_uf", probe=groups_raw)
 
 
 def _orders_versioned(t):
