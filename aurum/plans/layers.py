@@ -177,3 +177,27 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, cfg: Doma
     monitor_stage("silver_to_gold", keep, cfg.alert_rate_pct, batch_id)(to_gold)(
         spark, root, cfg, layers=layers)
     return layers
+
+
+def register_gold(spark: SparkSession, run: Layers, database: str | None = None,
+                  as_tables: bool = False) -> list[str]:
+    """Expose the gold tables to SQL: temp views, or catalog tables over the written files.
+
+    Catalog tables are created with ``CREATE TABLE … USING parquet LOCATION``
+    and their partitions recovered from the paths (never by file globbing).
+    """
+    from aurum.sources.catalog import register_external
+    names = []
+    if as_tables and database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, df in run.gold.items():
+        if as_tables:
+            full = f"{database}.{name}" if database else name
+            register_external(spark, full, f"{run.root}/gold/{name}",
+                              partitioned=bool(GOLD_PARTITIONS.get(name)))
+            names.append(full)
+        else:
+            df.createOrReplaceTempView(name)
+            names.append(name)
+    return names
+

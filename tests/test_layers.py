@@ -52,3 +52,26 @@ def test_missing_required_bronze_fails_the_stage(spark, scratch):
     import pytest
     with pytest.raises(RuntimeError):
         L.to_silver(spark, scratch)
+
+
+def test_sql_text_of_the_four_queries_matches_the_frames(spark, scratch):
+    from aurum.operators import analytics as A
+    run = L.run(spark, FX.sources(spark), scratch, batch_id="20260830_120000")
+    g = run.gold
+    frames = {
+        "state_ranking": A.state_ranking(g["fato_indicador_alfabetizacao"]),
+        "yoy_evolution": A.yoy_evolution(g["fato_indicador_alfabetizacao"]),
+        "closest_to_target": A.closest_to_target(g["fato_indicador_alfabetizacao"], g["dim_municipio"]),
+        "target_by_region": A.target_by_region(g["fato_metas_vs_resultado"], g["dim_uf"]),
+    }
+    for as_tables in (False, True):
+        L.register_gold(spark, run, "gold_test" if as_tables else None, as_tables=as_tables)
+        if as_tables:
+            for name in g:
+                spark.catalog.dropTempView(name)   # temp views would shadow the catalog tables
+            spark.sql("USE gold_test")
+        try:
+            for name, df in frames.items():
+                assert [tuple(r) for r in spark.sql(A.SQL[name]).collect()] == [tuple(r) for r in df.collect()], name
+        finally:
+            spark.sql("USE default")
