@@ -9,6 +9,7 @@ directory (the gold tables are written once and read by every query).
 
 from __future__ import annotations
 
+import threading
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,16 +72,18 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 _LAYERS: dict = {}
+_LAYERS_LOCK = threading.Lock()
 
 
 def layers(spark: SparkSession, sf_dir: str) -> L.Layers:
     """The layered run over ``sf_dir``, once per session (gold is read back from files)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _LAYERS:
-        root = shared_path(spark, "layers")
-        _LAYERS[key] = L.run(spark, MP.sources(_tables(spark, sf_dir)), root, LITERACY,
-                             FIXED_BATCH_ID, FIXED_INGESTED_AT)
-    return _LAYERS[key]
+    with _LAYERS_LOCK:
+        if key not in _LAYERS:
+            root = shared_path(spark, "layers")
+            _LAYERS[key] = L.run(spark, MP.sources(_tables(spark, sf_dir)), root, LITERACY,
+                                 FIXED_BATCH_ID, FIXED_INGESTED_AT)
+        return _LAYERS[key]
 
 
 def _gold(spark, sf_dir, name) -> DataFrame:

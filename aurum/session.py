@@ -59,3 +59,22 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
         segs.append(uuid.uuid4().hex[:12])
     return "/".join(segs)
 
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Shuffle and scan sizing for a given input volume and cluster size.
+
+    Start with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the input (never fewer than twice the cores)
+    and let AQE coalesce small ones and split skewed ones at run time.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
