@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aurum import config as C
+from aurum.functions.literals import literal_frame
 from aurum.functions.rounding import round_half_up
 
 log = logging.getLogger("aurum.metrics")
@@ -141,7 +142,7 @@ def observed(df: DataFrame, name: str, reason_col: str | None = None) -> tuple[D
 
 def metrics_frame(spark: SparkSession, metrics: list[dict]) -> DataFrame:
     rows = [{f.name: m.get(f.name) for f in METRIC_SCHEMA.fields} for m in metrics]
-    return spark.createDataFrame(rows, METRIC_SCHEMA)
+    return literal_frame(spark, rows, METRIC_SCHEMA)
 
 
 def json_sink(spark: SparkSession, root: str) -> Callable[[dict], None]:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from aurum import config as C
 from aurum.config import DomainConfig, LITERACY
 from aurum.functions import rules as R
+from aurum.functions.literals import literal_frame
 from aurum.functions.normalize import normalize
 from aurum.functions.rounding import pct
 from aurum.operators.joins import maybe_broadcast
@@ -103,7 +104,7 @@ def consistency(df: DataFrame, codes: DataFrame, code_expr: Column,
 
 def state_code_table(spark, codes=C.IBGE_STATE_CODES, group_col: str = "sigla_uf") -> DataFrame:
     """The fixed state-code directory as a DataFrame (27 rows)."""
-    return spark.createDataFrame(list(codes), f"{group_col} string, code int")
+    return literal_frame(spark, list(codes), f"{group_col} string, code int")
 
 
 def lag_seconds(event_ts, write_ts) -> Column:

@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from aurum import config as C
 from aurum.config import LITERACY
-from aurum.functions.normalize import normalize, pad_id
+from aurum.functions.literals import literal_frame
+from aurum.functions.normalize import normalize
 from aurum.functions.rounding import round_half_up
 from aurum.operators import analytics as A
 from aurum.operators import documents as D
@@ -351,7 +352,7 @@ def q_quarantine_alert(spark, sf_dir):
 
 
 def q_unit_cost(spark, sf_dir):
-    costs = spark.createDataFrame(STAGE_COSTS, "stage string, cost double")
+    costs = literal_frame(spark, STAGE_COSTS, "stage string, cost double")
     return MT.unit_cost(_metrics(spark, sf_dir), costs).select(
         "stage", "rows_input", "cost", "cost_per_million_rows")
 
