@@ -24,7 +24,7 @@ def main() -> None:
 
     from aurum.session import build_session
     spark = build_session("aurum-bench", f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "6g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "4g")})
     from aurum.plans import registry as R
 
     times: dict[str, float] = {}
