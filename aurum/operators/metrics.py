@@ -1,7 +1,8 @@
 """Stage metrics: a decorator that times a stage, merges its counts, alerts and logs.
 
-Counts come from ``Observation``s attached to the stage's own writes, so
-they cost no extra pass over the data.
+``observed`` attaches counters to a plan so they fill in during its own
+action (no extra pass); the layered run itself reads counts back from the
+written tables, which stay exact when failed tasks are re-run.
 """
 
 from __future__ import annotations

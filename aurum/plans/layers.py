@@ -2,8 +2,9 @@
 
 Stages hand over through tables written under the shared folder, which also
 cuts the lineage between stages (a lost executor recomputes from the last
-written table, not from the raw sources).  Every count comes from an
-``Observation`` on the stage's own write.
+written table, not from the raw sources).  Every count is read back from the
+written table: a Parquet ``count()`` reads only file footers, and unlike an
+accumulator it cannot be inflated by tasks that were re-run after a failure.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from aurum.operators import gold as G
 from aurum.operators.dedupe import latest_per_key
 from aurum.operators.joins import join_directory
 from aurum.operators.merge import to_envelope
-from aurum.operators.metrics import monitor_stage, observed, quarantine_rate
+from aurum.operators.metrics import monitor_stage, quarantine_rate
 from aurum.functions.normalize import normalize
 from aurum.operators.quality import REASON, evaluate
 from aurum.sinks.writers import overwrite_partitions, write_bronze, write_split, write_table
@@ -83,8 +84,10 @@ def ingest(spark: SparkSession, sources: dict[str, DataFrame], root: str, batch_
            ingested_at: str | None = None) -> dict:
     """Land every non-empty source as one bronze batch; failed writes are not counted."""
     def land(name, df):
-        df, obs = observed(with_lineage(df, name, batch_id, ingested_at), f"bronze_{name}_{batch_id}")
-        return obs.get["rows"] if write_bronze(df, f"{root}/bronze/{name}", batch_id) else 0
+        path = f"{root}/bronze/{name}"
+        if not write_bronze(with_lineage(df, name, batch_id, ingested_at), path, batch_id):
+            return 0
+        return spark.read.parquet(path).where(F.col("_batch_id") == batch_id).count()
 
     landed = concurrently({n: (lambda n=n, d=d: land(n, d)) for n, d in sources.items() if d is not None})
     total = sum(landed.values())
@@ -99,8 +102,7 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     raw = read_bronze(spark, f"{root}/bronze/{metas}")
     if raw is None:
         raise RuntimeError(f"bronze {metas!r} not found: run the ingestion first")
-    flagged, obs_in = observed(evaluate(raw, cfg), f"silver_in_{id(raw)}", REASON)
-    write_split(flagged, f"{root}/silver/_contract")
+    write_split(evaluate(raw, cfg), f"{root}/silver/_contract")
     split = spark.read.parquet(f"{root}/silver/_contract")
     clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON)
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
@@ -117,7 +119,7 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
         cols = [cfg.group_col] + [c for c in (cfg.group_name_col, cfg.region_col) if c in grp_dir.columns]
         clean = join_directory(clean, grp_dir.select(*cols), cfg.group_col, probe=grp_raw)
 
-    silver, obs_out = observed(latest_per_key(clean, list(cfg.key_cols), order), f"silver_out_{id(raw)}")
+    silver = latest_per_key(clean, list(cfg.key_cols), order)
     silver_schema = _write(silver, f"{root}/silver/fato_metas", (cfg.group_col,))
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            metas, [cfg.id_col], cfg.year_col)
@@ -125,8 +127,9 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     # partition, so a rerun replaces its rejects instead of appending them again
     overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"])
 
-    n_in, n_rej = obs_in.get["rows"], obs_in.get["rejected"]
-    n_out = obs_out.get["rows"]
+    n_in = split.count()
+    n_rej = split.where(F.col("_outcome") == "quarantine").count()
+    n_out = spark.read.parquet(f"{root}/silver/fato_metas").count()
     if layers is not None:
         layers.silver = _read(spark, f"{root}/silver/fato_metas", silver_schema)
         layers.silver_schema = silver_schema
@@ -145,9 +148,9 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
         census_df = census_df.drop("_ingestion_timestamp", "_source_table", "_batch_id")
     tables = G.build_gold(silver, census_df, cfg)
     def build(name, df):
-        df, o = observed(df, f"gold_{name}_{root}")
-        schema = _write(df, f"{root}/gold/{name}", GOLD_PARTITIONS.get(name, ()), GOLD_CLUSTER.get(name, ()))
-        return schema, o.get["rows"]
+        path = f"{root}/gold/{name}"
+        schema = _write(df, path, GOLD_PARTITIONS.get(name, ()), GOLD_CLUSTER.get(name, ()))
+        return schema, spark.read.parquet(path).count()
 
     done = concurrently({n: (lambda n=n, d=d: build(n, d)) for n, d in tables.items()})
     schemas = {n: v[0] for n, v in done.items()}

@@ -15,9 +15,15 @@ def make_batch_id(now: datetime | None = None) -> str:
     return (now or datetime.now(timezone.utc)).strftime(BATCH_FORMAT)
 
 
-def batch_id_of(ts) -> Column:
-    """The batch id of a timestamp column, same format as ``make_batch_id``."""
+def batch_id_of(ts, instant: bool = True) -> Column:
+    """The batch id of a timestamp column, same format as ``make_batch_id``.
+
+    For an instant (``timestamp``) the id is the UTC wall clock whatever the
+    session time zone; pass ``instant=False`` for a ``timestamp_ntz`` column.
+    """
     c = F.col(ts) if isinstance(ts, str) else ts
+    if instant:
+        c = F.to_utc_timestamp(c, F.current_timezone())
     return F.date_format(c, "yyyyMMdd_HHmmss")
 
 

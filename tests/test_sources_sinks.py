@@ -105,3 +105,15 @@ def test_kv_projection_format(spark):
     got = {r.key: r.value for r in kv_projection(df).collect()}
     assert got["kpi:municipio:3550308:ano:2023"] == '{"taxa": 82.40, "meta": 85.00, "status": "PARCIAL"}'
     assert got["kpi:municipio:1:ano:2024"] == '{"taxa": 1.01, "meta": null, "status": null}'
+
+
+def test_batch_id_is_utc_whatever_the_session_zone(spark):
+    from aurum.sources.lineage import batch_id_of
+    df = spark.createDataFrame([("2024-01-01T00:00:00+00:00",)], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Sao_Paulo", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert df.select(batch_id_of(F.to_timestamp("s")).alias("b")).first().b == "20240101_000000", tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
