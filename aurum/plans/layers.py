@@ -19,7 +19,7 @@ from aurum.config import DomainConfig, LITERACY
 from aurum.operators import gold as G
 from aurum.operators.dedupe import latest_per_key
 from aurum.operators.joins import join_directory
-from aurum.operators.merge import to_envelope
+from aurum.operators.merge import merge_into_buckets, to_envelope
 from aurum.operators.metrics import monitor_stage, quarantine_rate
 from aurum.functions.normalize import normalize
 from aurum.operators.quality import REASON, evaluate
@@ -49,6 +49,7 @@ class Layers:
     silver: DataFrame | None = None
     quarantine: DataFrame | None = None
     silver_schema: object = None
+    bronze_schemas: dict = field(default_factory=dict)
     gold: dict = field(default_factory=dict)
     metrics: list = field(default_factory=list)
 
@@ -81,12 +82,15 @@ def concurrently(tasks: dict, workers: int = 4) -> dict:
 
 
 def ingest(spark: SparkSession, sources: dict[str, DataFrame], root: str, batch_id: str,
-           ingested_at: str | None = None) -> dict:
+           ingested_at: str | None = None, layers: Layers | None = None) -> dict:
     """Land every non-empty source as one bronze batch; failed writes are not counted."""
     def land(name, df):
         path = f"{root}/bronze/{name}"
-        if not write_bronze(with_lineage(df, name, batch_id, ingested_at), path, batch_id):
+        landed = with_lineage(df, name, batch_id, ingested_at)
+        if not write_bronze(landed, path, batch_id):
             return 0
+        if layers is not None:
+            layers.bronze_schemas[name] = landed.schema
         return spark.read.parquet(path).where(F.col("_batch_id") == batch_id).count()
 
     landed = concurrently({n: (lambda n=n, d=d: land(n, d)) for n, d in sources.items() if d is not None})
@@ -99,7 +103,8 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
               metas: str = "metas_municipio", entities: str = "municipios",
               groups: str = "ufs", layers: Layers | None = None) -> dict:
     """Contract split (one pass), directory enrichment, de-duplication, quarantine."""
-    raw = read_bronze(spark, f"{root}/bronze/{metas}")
+    schemas = layers.bronze_schemas if layers is not None else {}
+    raw = read_bronze(spark, f"{root}/bronze/{metas}", schema=schemas.get(metas))
     if raw is None:
         raise RuntimeError(f"bronze {metas!r} not found: run the ingestion first")
     write_split(evaluate(raw, cfg), f"{root}/silver/_contract")
@@ -108,16 +113,7 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
 
     order = [cfg.ingest_ts_col, "_batch_id"]
-    ent_raw = read_bronze(spark, f"{root}/bronze/{entities}")
-    if ent_raw is not None:
-        ent_dir = latest_per_key(normalize(ent_raw, cfg), [cfg.id_col], order)
-        cols = [cfg.id_col] + [c for c in (cfg.entity_name_col,) if c in ent_dir.columns]
-        clean = join_directory(clean, ent_dir.select(*cols), cfg.id_col, probe=ent_raw)
-    grp_raw = read_bronze(spark, f"{root}/bronze/{groups}")
-    if grp_raw is not None:
-        grp_dir = latest_per_key(normalize(grp_raw, cfg), [cfg.group_col], order)
-        cols = [cfg.group_col] + [c for c in (cfg.group_name_col, cfg.region_col) if c in grp_dir.columns]
-        clean = join_directory(clean, grp_dir.select(*cols), cfg.group_col, probe=grp_raw)
+    clean = enrich(spark, clean, root, cfg, entities, groups, schemas)
 
     silver = latest_per_key(clean, list(cfg.key_cols), order)
     silver_schema = _write(silver, f"{root}/silver/fato_metas", (cfg.group_col,))
@@ -138,12 +134,74 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
             "rows_duplicate": n_in - n_rej - n_out, "quarantine_rate_pct": quarantine_rate(n_rej, n_in)}
 
 
+def enrich(spark: SparkSession, clean: DataFrame, root: str, cfg: DomainConfig = LITERACY,
+           entities: str = "municipios", groups: str = "ufs", schemas: dict | None = None) -> DataFrame:
+    """Left-join the latest directory rows (all batches) onto clean facts."""
+    schemas = schemas or {}
+    order = [cfg.ingest_ts_col, "_batch_id"]
+    ent_raw = read_bronze(spark, f"{root}/bronze/{entities}", schema=schemas.get(entities))
+    if ent_raw is not None:
+        ent_dir = latest_per_key(normalize(ent_raw, cfg), [cfg.id_col], order)
+        cols = [cfg.id_col] + [c for c in (cfg.entity_name_col,) if c in ent_dir.columns]
+        clean = join_directory(clean, ent_dir.select(*cols), cfg.id_col, probe=ent_raw)
+    grp_raw = read_bronze(spark, f"{root}/bronze/{groups}", schema=schemas.get(groups))
+    if grp_raw is not None:
+        grp_dir = latest_per_key(normalize(grp_raw, cfg), [cfg.group_col], order)
+        cols = [cfg.group_col] + [c for c in (cfg.group_name_col, cfg.region_col) if c in grp_dir.columns]
+        clean = join_directory(clean, grp_dir.select(*cols), cfg.group_col, probe=grp_raw)
+    return clean
+
+
+def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: DomainConfig = LITERACY,
+                          metas: str = "metas_municipio", entities: str = "municipios",
+                          groups: str = "ufs", buckets: int = 64, layers: Layers | None = None) -> dict:
+    """Process ONE bronze batch and merge it into a key-bucketed silver table.
+
+    The batch is read by partition pruning on ``_batch_id``; its contract
+    split and quarantine are written per batch (a rerun replaces them); its
+    clean rows are merged into ``silver/fato_metas_inc`` rewriting only the
+    key buckets they touch.  A daily run therefore costs the day's batch, not
+    the whole history.
+    """
+    schemas = layers.bronze_schemas if layers is not None else {}
+    bronze = read_bronze(spark, f"{root}/bronze/{metas}", schema=schemas.get(metas))
+    if bronze is None:
+        raise RuntimeError(f"bronze {metas!r} not found: run the ingestion first")
+    raw = bronze.where(F.col("_batch_id") == batch_id)
+    split_path = f"{root}/silver/_contract_inc"
+    flagged = evaluate(raw, cfg).withColumn(
+        "_outcome", F.when(F.col(REASON).isNull(), "clean").otherwise("quarantine"))
+    overwrite_partitions(flagged, split_path, ["_batch_id", "_outcome"])
+    split = spark.read.parquet(split_path).where(F.col("_batch_id") == batch_id)
+    clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON)
+    rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
+
+    enriched = latest_per_key(enrich(spark, clean, root, cfg, entities, groups, schemas),
+                              list(cfg.key_cols), [cfg.ingest_ts_col, "_batch_id"])
+    table = f"{root}/silver/fato_metas_inc"
+    merge_into_buckets(enriched, table, list(cfg.key_cols), [cfg.ingest_ts_col, "_batch_id"], buckets)
+    envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
+                           metas, [cfg.id_col], cfg.year_col).withColumn("_batch_id", F.lit(batch_id))
+    overwrite_partitions(envelope, f"{root}/silver/quarantine_inc", ["source", "_batch_id"])
+
+    n_in = split.count()
+    n_rej = split.where(F.col("_outcome") == "quarantine").count()
+    n_clean = enriched.count()
+    if layers is not None:
+        layers.silver = spark.read.parquet(table).drop("_bucket")
+        layers.quarantine = spark.read.parquet(f"{root}/silver/quarantine_inc")
+    return {"rows_input": n_in, "rows_clean": n_clean, "rows_quarantined": n_rej,
+            "rows_duplicate": n_in - n_rej - n_clean, "quarantine_rate_pct": quarantine_rate(n_rej, n_in)}
+
+
 def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
             census: str = "censo_escolar", layers: Layers | None = None) -> dict:
-    silver = (_read(spark, f"{root}/silver/fato_metas", layers.silver_schema)
-              if layers is not None and layers.silver_schema is not None
-              else spark.read.parquet(f"{root}/silver/fato_metas"))
-    census_df = read_bronze(spark, f"{root}/bronze/{census}")
+    if layers is not None and layers.silver is not None:
+        silver = layers.silver
+    else:
+        silver = spark.read.parquet(f"{root}/silver/fato_metas")
+    schemas = layers.bronze_schemas if layers is not None else {}
+    census_df = read_bronze(spark, f"{root}/bronze/{census}", schema=schemas.get(census))
     if census_df is not None:
         census_df = census_df.drop("_ingestion_timestamp", "_source_table", "_batch_id")
     tables = G.build_gold(silver, census_df, cfg)
@@ -163,8 +221,14 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
 
 
 def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, cfg: DomainConfig = LITERACY,
-        batch_id: str | None = None, ingested_at: str | None = None, sink=None) -> Layers:
-    """The three stages in order; an exception stops the run (and is logged as ERROR)."""
+        batch_id: str | None = None, ingested_at: str | None = None, sink=None,
+        incremental: bool = False, buckets: int = 64) -> Layers:
+    """The three stages in order; an exception stops the run (and is logged as ERROR).
+
+    ``incremental=True`` processes only this run's bronze batch at silver and
+    merges it into the bucketed silver table (``to_silver_incremental``);
+    the default recomputes silver from every bronze batch.
+    """
     batch_id = batch_id or make_batch_id()
     layers = Layers(root=root, batch_id=batch_id)
 
@@ -174,9 +238,13 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, cfg: Doma
             sink(metric)
 
     monitor_stage("batch_ingestion", keep, cfg.alert_rate_pct, batch_id)(ingest)(
-        spark, sources, root, batch_id, ingested_at)
-    monitor_stage("bronze_to_silver", keep, cfg.alert_rate_pct, batch_id)(to_silver)(
-        spark, root, cfg, layers=layers)
+        spark, sources, root, batch_id, ingested_at, layers)
+    if incremental:
+        monitor_stage("bronze_to_silver", keep, cfg.alert_rate_pct, batch_id)(to_silver_incremental)(
+            spark, root, batch_id, cfg, buckets=buckets, layers=layers)
+    else:
+        monitor_stage("bronze_to_silver", keep, cfg.alert_rate_pct, batch_id)(to_silver)(
+            spark, root, cfg, layers=layers)
     monitor_stage("silver_to_gold", keep, cfg.alert_rate_pct, batch_id)(to_gold)(
         spark, root, cfg, layers=layers)
     return layers

@@ -58,9 +58,17 @@ def read_csv_strings(spark: SparkSession, path: str, columns) -> DataFrame:
     return spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(path)
 
 
-def read_bronze(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
-    """All batches under a bronze prefix as one frame; ``None`` when the path is absent."""
+def read_bronze(spark: SparkSession, path: str, merge_schema: bool = True,
+                schema: T.StructType | None = None) -> DataFrame | None:
+    """All batches under a bronze prefix as one frame; ``None`` when the path is absent.
+
+    With a declared ``schema`` no footer is read to infer one (batches that
+    lack a declared column read it as null); otherwise the batches' schemas
+    are merged.
+    """
     try:
+        if schema is not None:
+            return spark.read.schema(schema).parquet(path)
         return spark.read.option("mergeSchema", merge_schema).parquet(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc) \

@@ -2,9 +2,9 @@
 
 from aurum.streaming.events import (
     EVENT_SCHEMA, with_corrupt_field, parse_payload, with_stream_lineage, kafka_source,
-    file_source, start_sink, dedupe_within_watermark, split_writer, run_available, upsert_writer, bucket_of,
+    file_source, start_sink, dedupe_within_watermark, split_writer, run_available, upsert_writer,
 )
 
 __all__ = ["EVENT_SCHEMA", "with_corrupt_field", "parse_payload", "with_stream_lineage",
            "kafka_source", "file_source", "start_sink", "dedupe_within_watermark",
-           "split_writer", "run_available", "upsert_writer", "bucket_of"]
+           "split_writer", "run_available", "upsert_writer"]

@@ -145,40 +145,15 @@ def run_available(df: DataFrame, checkpoint: str, batch_fn: Callable[[DataFrame,
         raise RuntimeError(str(q.exception()))
 
 
-def bucket_of(keys, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
 def upsert_writer(table: str, keys, order_cols, buckets: int = 64,
                   fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` keyed merge into a table bucketed by a hash of the key.
-
-    Each micro-batch rewrites only the buckets its keys fall in: the touched
-    buckets of the stored table are read, merged with the batch (latest row
-    per key wins, the batch winning ties), staged under ``_staging/<epoch>``
-    and then swapped in by dynamic partition overwrite.  Staging first means
-    no write overwrites files its own plan reads; re-running an epoch
-    produces the same buckets again (idempotent).
+    """``foreachBatch`` keyed merge: each micro-batch rewrites only the buckets it touches.
+
+    See ``operators.merge.merge_into_buckets``; re-running an epoch after a
+    failure produces the same buckets again (idempotent).
     """
-    from aurum.operators.dedupe import latest_per_key
-    from aurum.operators.merge import upsert
+    from aurum.operators.merge import merge_into_buckets
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        incoming = batch.withColumn("_bucket", bucket_of(keys, buckets))
-        touched = [r["_bucket"] for r in incoming.select("_bucket").distinct().collect()]
-        if not touched:
-            return
-        try:
-            stored = spark.read.format(fmt).load(table).where(F.col("_bucket").isin(touched))
-        except Exception:  # first epoch: nothing stored yet
-            stored = None
-        if stored is None:
-            merged = latest_per_key(incoming, keys, order_cols)
-        else:
-            merged = upsert(stored, incoming, keys, order_cols)
-        staging = f"{table.rstrip('/')}_staging/{epoch_id}"
-        merged.write.format(fmt).mode("overwrite").partitionBy("_bucket").save(staging)
-        (spark.read.format(fmt).load(staging).write.format(fmt).mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").save(table))
+        merge_into_buckets(batch, table, keys, order_cols, buckets, fmt)
     return write

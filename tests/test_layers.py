@@ -75,3 +75,24 @@ def test_sql_text_of_the_four_queries_matches_the_frames(spark, scratch):
                 assert [tuple(r) for r in spark.sql(A.SQL[name]).collect()] == [tuple(r) for r in df.collect()], name
         finally:
             spark.sql("USE default")
+
+
+def test_incremental_silver_merges_only_the_new_batch(spark, scratch):
+    src = FX.sources(spark)
+    first = L.run(spark, src, scratch, batch_id="20260830_120000", incremental=True, buckets=4)
+    s1 = {m["stage"]: m for m in first.metrics}["bronze_to_silver"]
+    assert (s1["rows_input"], s1["rows_clean"], s1["rows_quarantined"]) == (8, 7, 1)
+    assert first.silver.count() == 7
+    # the next delivery: SP revised, one new municipality, MG still out of range
+    rows = [(2023, "SP", "3550308", 85.0, 84.0, 760.0), (2023, "PE", "2611606", 80.0, 70.0, 700.0),
+            (2023, "MG", "3106200", 82.0, 115.0, 740.0)]
+    src2 = dict(src, metas_municipio=FX.metas(spark, rows))
+    second = L.run(spark, src2, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
+    s2 = {m["stage"]: m for m in second.metrics}["bronze_to_silver"]
+    assert (s2["rows_input"], s2["rows_clean"], s2["rows_quarantined"]) == (3, 2, 1)
+    silver = {r.id_municipio: r.media_proficiencia_saeb for r in second.silver.collect()}
+    assert len(silver) == 8 and silver["3550308"] == 760.0 and silver["2611606"] == 700.0
+    assert second.gold["fato_indicador_alfabetizacao"].count() == 8
+    assert second.quarantine.count() == 2          # one per batch
+    again = L.run(spark, src2, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
+    assert again.silver.count() == 8 and again.quarantine.count() == 2
