@@ -358,14 +358,26 @@ def q_unit_cost(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
+_MESSAGES: dict = {}
+
+
 def _events_to_files(spark, sf_dir, name, copies=1) -> str:
-    e = _tables(spark, sf_dir)["events"]
-    src = e
-    for _ in range(copies - 1):
-        src = src.unionByName(e)
-    path = shared_path(spark, "queries", name, "messages")
-    encode_json(src).write.text(path)
-    return path
+    """The events table as JSON messages (``copies`` deliveries of each), landed once per session.
+
+    Every stream query consumes the same landed messages, as several
+    consumers of one topic would.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), copies)
+    with _LAYERS_LOCK:
+        if key not in _MESSAGES:
+            e = _tables(spark, sf_dir)["events"]
+            src = e
+            for _ in range(copies - 1):
+                src = src.unionByName(e)
+            path = shared_path(spark, "queries", "messages")
+            encode_json(src).write.text(path)
+            _MESSAGES[key] = path
+        return _MESSAGES[key]
 
 
 def _stream(spark, path):
