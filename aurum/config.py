@@ -36,7 +36,26 @@ PERIOD_FIRST = "2023-2026"
 PERIOD_SECOND = "2027-2030"
 ALERT_LEVEL = "CRITICAL_ALERT"
 
-# IBGE numeric state codes: the first two digits of a municipality id.
+# Stage names of the layered run.
+STAGE_INGEST = "batch_ingestion"
+STAGE_SILVER = "bronze_to_silver"
+STAGE_GOLD = "silver_to_gold"
+
+# Numbers of the model (defaults of DomainConfig below).
+CUTOFF = 743.0                 # score cutoff
+SCORE_RANGE = (0.0, 1000.0)    # inclusive
+RATE_RANGE = (0.0, 100.0)      # inclusive
+ID_LENGTH = 7
+INTERVENTION_GAP = 50.0        # gap above this: critical
+PARTIAL_GAP_PCT = -10.0        # percent gap at or above this: partial
+URBAN_SHARE, RURAL_SHARE = 70.0, 30.0
+POLICY_LOW_PCT, POLICY_MEDIUM_PCT = 80.0, 50.0
+ALERT_RATE_PCT = 10.0          # quarantine rate strictly above this: alert
+PERIOD_FIRST_YEARS, PERIOD_SECOND_YEARS = (2023, 2026), (2027, 2030)
+# -----------------------------------------------------------------------------
+
+# Public IBGE numeric state codes (not part of the published code): the first
+# two digits of a municipality id, used by the consistency rule.
 IBGE_STATE_CODES = (
     ("RO", 11), ("AC", 12), ("AM", 13), ("RR", 14), ("PA", 15), ("AP", 16), ("TO", 17),
     ("MA", 21), ("PI", 22), ("CE", 23), ("RN", 24), ("PB", 25), ("PE", 26), ("AL", 27),
@@ -62,22 +81,22 @@ class DomainConfig:
     region_col: str = "regiao"
     ingest_ts_col: str = "_ingestion_timestamp"
 
-    # thresholds and ranges (inclusive ranges)
-    cutoff: float = 743.0
-    score_min: float = 0.0
-    score_max: float = 1000.0
-    rate_min: float = 0.0
-    rate_max: float = 100.0
-    id_length: int = 7
-    intervention_gap: float = 50.0
-    partial_gap_pct: float = -10.0
-    urban_share: float = 70.0
-    rural_share: float = 30.0
-    policy_low: float = 80.0
-    policy_medium: float = 50.0
-    alert_rate_pct: float = 10.0
-    period_first: tuple = (2023, 2026)
-    period_second: tuple = (2027, 2030)
+    # thresholds and ranges (inclusive ranges); defaults are the fixed values above
+    cutoff: float = CUTOFF
+    score_min: float = SCORE_RANGE[0]
+    score_max: float = SCORE_RANGE[1]
+    rate_min: float = RATE_RANGE[0]
+    rate_max: float = RATE_RANGE[1]
+    id_length: int = ID_LENGTH
+    intervention_gap: float = INTERVENTION_GAP
+    partial_gap_pct: float = PARTIAL_GAP_PCT
+    urban_share: float = URBAN_SHARE
+    rural_share: float = RURAL_SHARE
+    policy_low: float = POLICY_LOW_PCT
+    policy_medium: float = POLICY_MEDIUM_PCT
+    alert_rate_pct: float = ALERT_RATE_PCT
+    period_first: tuple = PERIOD_FIRST_YEARS
+    period_second: tuple = PERIOD_SECOND_YEARS
 
     # behaviour switches
     strict_validity: bool = True   # evaluate the id rule on the raw id

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aurum import config as C
 from aurum.config import DomainConfig, LITERACY
 from aurum.operators import gold as G
 from aurum.operators.dedupe import latest_per_key
@@ -237,15 +238,15 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, cfg: Doma
         if sink is not None:
             sink(metric)
 
-    monitor_stage("batch_ingestion", keep, cfg.alert_rate_pct, batch_id)(ingest)(
+    monitor_stage(C.STAGE_INGEST, keep, cfg.alert_rate_pct, batch_id)(ingest)(
         spark, sources, root, batch_id, ingested_at, layers)
     if incremental:
-        monitor_stage("bronze_to_silver", keep, cfg.alert_rate_pct, batch_id)(to_silver_incremental)(
+        monitor_stage(C.STAGE_SILVER, keep, cfg.alert_rate_pct, batch_id)(to_silver_incremental)(
             spark, root, batch_id, cfg, buckets=buckets, layers=layers)
     else:
-        monitor_stage("bronze_to_silver", keep, cfg.alert_rate_pct, batch_id)(to_silver)(
+        monitor_stage(C.STAGE_SILVER, keep, cfg.alert_rate_pct, batch_id)(to_silver)(
             spark, root, cfg, layers=layers)
-    monitor_stage("silver_to_gold", keep, cfg.alert_rate_pct, batch_id)(to_gold)(
+    monitor_stage(C.STAGE_GOLD, keep, cfg.alert_rate_pct, batch_id)(to_gold)(
         spark, root, cfg, layers=layers)
     return layers
 

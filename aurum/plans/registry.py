@@ -52,7 +52,7 @@ REPLAY_BATCH = "19980101_000000"
 OVERWRITE_FROM_YEAR = 2000
 EVENT_VALUE_RANGE = (0.0, 300.0)
 LATE_AFTER_S = 43_200
-STAGE_COSTS = [("batch_ingestion", 0.40), ("bronze_to_silver", 0.25), ("silver_to_gold", 0.15)]
+STAGE_COSTS = [(C.STAGE_INGEST, 0.40), (C.STAGE_SILVER, 0.25), (C.STAGE_GOLD, 0.15)]
 TOP_K = 5
 # -----------------------------------------------------------------------------
 
