@@ -31,6 +31,35 @@ def append_if_absent(existing: DataFrame, incoming: DataFrame, keys) -> DataFram
     return existing.unionByName(insert_if_absent(existing, incoming, keys).select(*existing.columns))
 
 
+def merge_measurements(fact: DataFrame, updates: DataFrame, keys, cols, ts_col: str) -> DataFrame:
+    """Newer measurements win, column by column; the fact's other columns are kept.
+
+    ``fact`` and ``updates`` hold at most one row per key.  For a key in both,
+    ``cols`` (and ``ts_col``) come from ``updates`` when its ``ts_col`` is newer
+    or the fact has none; keys only in ``updates`` are added with the
+    fact-only columns null.  Output columns keep the fact's types.
+    """
+    f, u = fact.alias("f"), updates.alias("u")
+    j = f.join(u, [F.col(f"f.{k}") == F.col(f"u.{k}") for k in keys], "full_outer")
+    in_f, in_u = F.col(f"f.{keys[0]}").isNotNull(), F.col(f"u.{keys[0]}").isNotNull()
+    f_ts, u_ts = F.col(f"f.{ts_col}").cast("timestamp"), F.col(f"u.{ts_col}").cast("timestamp")
+    newer = ~in_f | (in_u & (f_ts.isNull() | (u_ts > f_ts)))
+    types = {fl.name: fl.dataType for fl in fact.schema.fields}
+    out = []
+    for c in fact.columns:
+        if c in keys:
+            v = F.coalesce(F.col(f"f.{c}"), F.col(f"u.{c}"))
+        elif c not in updates.columns:
+            v = F.col(f"f.{c}")
+        elif c in cols or c == ts_col:
+            v = F.when(newer, F.col(f"u.{c}").cast(types[c])).otherwise(F.col(f"f.{c}"))
+        else:   # descriptive columns: the fact's, filled for new keys
+            v = F.coalesce(F.col(f"f.{c}"), F.col(f"u.{c}").cast(types[c]))
+        out.append(v.alias(c))
+    out += [F.when(newer, F.col(f"u.{c}")).alias(c) for c in cols if c in updates.columns and c not in types]
+    return j.select(*out)
+
+
 def bucket_of(keys, buckets: int):
     """Stable hash bucket of a key (the layout of a bucketed merge table)."""
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")

@@ -28,7 +28,10 @@ def evaluate(df: DataFrame, cfg: DomainConfig = LITERACY) -> DataFrame:
     """
     if not cfg.strict_validity:
         df = normalize(df, cfg)
-    flagged = df.withColumn(REASON, R.rejection_reason(cfg))
+    reason = R.rejection_reason(cfg)
+    if "_corrupt_record" in df.columns:   # parsed messages: a malformed one is rejected as such
+        reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit(C.REASON_MALFORMED)).otherwise(reason)
+    flagged = df.withColumn(REASON, reason)
     return normalize(flagged, cfg) if cfg.strict_validity else flagged
 
 

@@ -20,7 +20,7 @@ from aurum.config import DomainConfig, LITERACY
 from aurum.operators import gold as G
 from aurum.operators.dedupe import latest_per_key
 from aurum.operators.joins import join_directory
-from aurum.operators.merge import merge_into_buckets, to_envelope
+from aurum.operators.merge import merge_into_buckets, merge_measurements, to_envelope
 from aurum.operators.metrics import monitor_stage, quarantine_rate
 from aurum.functions.normalize import normalize
 from aurum.operators.quality import REASON, evaluate
@@ -100,10 +100,44 @@ def ingest(spark: SparkSession, sources: dict[str, DataFrame], root: str, batch_
             "rows_duplicate": 0, "quarantine_rate_pct": 0.0}
 
 
+STREAM_MEASURES = ("media_proficiencia_saeb", "indicador_alfabetizacao", "total_alunos_avaliados")
+
+
+def stream_to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
+                     stream: str = "medicoes_stream") -> tuple[DataFrame | None, int, int]:
+    """Bronze stream rows through the same contract as batch rows.
+
+    Writes ``silver/fato_medicoes_stream`` (latest event per key, partitioned by
+    group) and the stream's quarantine partition; returns (latest clean
+    measurements, rows in, rows rejected).  ``(None, 0, 0)`` without a stream.
+    """
+    st = read_bronze(spark, f"{root}/bronze/{stream}")
+    if st is None:
+        return None, 0, 0
+    write_split(evaluate(st, cfg), f"{root}/silver/_contract_stream")
+    split = spark.read.parquet(f"{root}/silver/_contract_stream")
+    clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON, "_corrupt_record", "_payload")
+    rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
+    order = [c for c in (cfg.ingest_ts_col, "timestamp_medicao", "event_id") if c in clean.columns]
+    latest = latest_per_key(clean, list(cfg.key_cols), order)
+    _write(latest, f"{root}/silver/fato_medicoes_stream", (cfg.group_col,))
+    envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
+                           stream, ["event_id"], cfg.year_col)
+    overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"])
+    n_in, n_rej = split.count(), split.where(F.col("_outcome") == "quarantine").count()
+    return spark.read.parquet(f"{root}/silver/fato_medicoes_stream"), n_in, n_rej
+
+
 def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
               metas: str = "metas_municipio", entities: str = "municipios",
-              groups: str = "ufs", layers: Layers | None = None) -> dict:
-    """Contract split (one pass), directory enrichment, de-duplication, quarantine."""
+              groups: str = "ufs", layers: Layers | None = None,
+              stream: str | None = "medicoes_stream", merge_stream: bool = True) -> dict:
+    """Contract split (one pass), directory enrichment, de-duplication, quarantine.
+
+    When a bronze stream table exists its rows pass the same contract; with
+    ``merge_stream`` newer stream measurements then replace the batch ones in
+    the silver fact (column by column, the batch target is kept).
+    """
     schemas = layers.bronze_schemas if layers is not None else {}
     raw = read_bronze(spark, f"{root}/bronze/{metas}", schema=schemas.get(metas))
     if raw is None:
@@ -117,6 +151,11 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     clean = enrich(spark, clean, root, cfg, entities, groups, schemas)
 
     silver = latest_per_key(clean, list(cfg.key_cols), order)
+    st_latest, st_in, st_rej = (stream_to_silver(spark, root, cfg, stream) if stream else (None, 0, 0))
+    if st_latest is not None and merge_stream:
+        updates = st_latest.select(*[c for c in st_latest.columns
+                                     if c in (*cfg.key_cols, cfg.group_col, cfg.ingest_ts_col, *STREAM_MEASURES)])
+        silver = merge_measurements(silver, updates, list(cfg.key_cols), list(STREAM_MEASURES), cfg.ingest_ts_col)
     silver_schema = _write(silver, f"{root}/silver/fato_metas", (cfg.group_col,))
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            metas, [cfg.id_col], cfg.year_col)
@@ -131,8 +170,14 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
         layers.silver = _read(spark, f"{root}/silver/fato_metas", silver_schema)
         layers.silver_schema = silver_schema
         layers.quarantine = spark.read.parquet(f"{root}/silver/quarantine")
-    return {"rows_input": n_in, "rows_clean": n_out, "rows_quarantined": n_rej,
-            "rows_duplicate": n_in - n_rej - n_out, "quarantine_rate_pct": quarantine_rate(n_rej, n_in)}
+    out = {"rows_input": n_in, "rows_clean": n_out, "rows_quarantined": n_rej,
+           "rows_duplicate": n_in - n_rej - n_out, "quarantine_rate_pct": quarantine_rate(n_rej, n_in)}
+    if st_latest is not None:
+        # stream rows are reported alongside (input and rejects), as separate fields too
+        n_st_clean = st_latest.count()
+        out.update(stream_rows_input=st_in, stream_rows_quarantined=st_rej,
+                   stream_rows_clean=n_st_clean, stream_rows_duplicate=st_in - st_rej - n_st_clean)
+    return out
 
 
 def enrich(spark: SparkSession, clean: DataFrame, root: str, cfg: DomainConfig = LITERACY,

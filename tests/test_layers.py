@@ -96,3 +96,32 @@ def test_incremental_silver_merges_only_the_new_batch(spark, scratch):
     assert second.quarantine.count() == 2          # one per batch
     again = L.run(spark, src2, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
     assert again.silver.count() == 8 and again.quarantine.count() == 2
+
+
+def test_stream_rows_pass_the_contract_and_newer_measurements_win(spark, scratch):
+    import json
+    from aurum.streaming import events as S
+    good = {"event_id": "e1", "id_municipio": "3550308", "sigla_uf": "SP", "ano": 2023,
+            "media_proficiencia_saeb": 770.0, "indicador_alfabetizacao": 84.0, "total_alunos_avaliados": 120,
+            "timestamp_medicao": "2026-08-30T10:00:00"}
+    new_key = dict(good, event_id="e2", id_municipio="2611606", sigla_uf="pe")
+    bad = dict(good, event_id="e3", id_municipio="2304400", sigla_uf="CE",
+               media_proficiencia_saeb=-50.0, indicador_alfabetizacao=120.0)
+    msgs = [json.dumps(good), json.dumps(new_key), json.dumps(bad), "{broken"]
+    raw = spark.createDataFrame([(m,) for m in msgs], "value string")
+    S.with_stream_lineage(S.parse_payload(raw), "topic").write.parquet(f"{scratch}/bronze/medicoes_stream")
+
+    run = L.run(spark, FX.sources(spark), scratch, batch_id="20200101_000000",
+                ingested_at="2020-01-01T00:00:00+00:00")   # the batch landed before the events
+    silver = {r.id_municipio: r for r in run.silver.collect()}
+    assert silver["3550308"].media_proficiencia_saeb == 770.0          # stream is newer than the batch
+    assert silver["3550308"].total_alunos_avaliados == 120
+    assert silver["3550308"].meta_alfabetizacao == 85.0                # the batch target is kept
+    assert silver["2611606"].sigla_uf == "PE" and silver["2611606"].meta_alfabetizacao is None
+    assert silver["2304400"].media_proficiencia_saeb == 762.5          # rejected event changes nothing
+    reasons = {(r.source, r.rejection_reason) for r in run.quarantine.collect()}
+    assert ("medicoes_stream", C.REASON_ACCURACY) in reasons and ("medicoes_stream", C.REASON_MALFORMED) in reasons
+    assert ("metas_municipio", C.REASON_ACCURACY) in reasons
+    fact = run.gold["fato_indicador_alfabetizacao"]
+    assert "total_alunos_avaliados" in fact.columns and fact.count() == 8
+    assert spark.read.parquet(f"{scratch}/silver/fato_medicoes_stream").count() == 2
