@@ -95,8 +95,24 @@ def fact_target(silver: DataFrame, cfg: DomainConfig = LITERACY) -> DataFrame |
                          I.fulfilment_status("indicador_real", "meta_oficial", "gap_percentual", cfg))
 
 
+def level_target(metas: DataFrame, keys, cfg: DomainConfig = LITERACY) -> DataFrame:
+    """Target versus result at an aggregate level (state or nation): one row per ``keys``.
+
+    Adds the percent gap and fulfilment status of ``fact_target`` and the
+    cutoff gap and flag of ``fact_indicator`` for the level's mean score.
+    """
+    df = metas.select(*keys, F.col(cfg.target_col).alias("meta_oficial"),
+                      F.col(cfg.rate_col).alias("indicador_real"), F.col(cfg.score_col))
+    df = df.withColumn("gap_percentual", I.percent_gap("indicador_real", "meta_oficial"))
+    return (df.withColumn("status_cumprimento",
+                          I.fulfilment_status("indicador_real", "meta_oficial", "gap_percentual", cfg))
+              .withColumn("gap_proficiencia", I.gap_to_cutoff(cfg.score_col, cfg))
+              .withColumn("atingiu_corte_alfabetizado", I.reached_cutoff(cfg.score_col, cfg)))
+
+
 def build_gold(silver: DataFrame, census: DataFrame | None = None,
-               cfg: DomainConfig = LITERACY) -> dict[str, DataFrame]:
+               cfg: DomainConfig = LITERACY, metas_uf: DataFrame | None = None,
+               metas_brasil: DataFrame | None = None) -> dict[str, DataFrame]:
     spark = silver.sparkSession
     out = {
         "dim_tempo": dim_time(silver, cfg),
@@ -108,4 +124,9 @@ def build_gold(silver: DataFrame, census: DataFrame | None = None,
     target = fact_target(silver, cfg)
     if target is not None:
         out["fato_metas_vs_resultado"] = target
+    if metas_uf is not None:
+        uf = metas_uf.withColumn(cfg.group_col, F.upper(cfg.group_col))
+        out["fato_metas_uf"] = level_target(uf, [cfg.group_col, cfg.year_col], cfg)
+    if metas_brasil is not None:
+        out["fato_metas_brasil"] = level_target(metas_brasil, [cfg.year_col], cfg)
     return out

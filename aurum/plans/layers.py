@@ -36,6 +36,7 @@ GOLD_PARTITIONS = {
     "dim_tempo": ("ano",),
     "fato_indicador_alfabetizacao": ("ano",),
     "fato_metas_vs_resultado": ("ano",),
+    "fato_metas_uf": ("ano",),
 }
 GOLD_CLUSTER = {
     "fato_indicador_alfabetizacao": ("sigla_uf", "id_municipio"),
@@ -250,7 +251,11 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     census_df = read_bronze(spark, f"{root}/bronze/{census}", schema=schemas.get(census))
     if census_df is not None:
         census_df = census_df.drop("_ingestion_timestamp", "_source_table", "_batch_id")
-    tables = G.build_gold(silver, census_df, cfg)
+    levels = {}
+    for name in ("metas_uf", "metas_brasil"):
+        lv = read_bronze(spark, f"{root}/bronze/{name}", schema=schemas.get(name))
+        levels[name] = lv.drop("_ingestion_timestamp", "_source_table", "_batch_id") if lv is not None else None
+    tables = G.build_gold(silver, census_df, cfg, levels["metas_uf"], levels["metas_brasil"])
     def build(name, df):
         path = f"{root}/gold/{name}"
         schema = _write(df, path, GOLD_PARTITIONS.get(name, ()), GOLD_CLUSTER.get(name, ()))

@@ -63,9 +63,9 @@ def entity_year(t: dict) -> DataFrame:
             .select(F.col("c_custkey").alias("ent"), F.col("n_name").alias("grp"), "yr", "n", "q", "d"))
 
 
-def metas_extract(t: dict) -> DataFrame:
+def metas_extract(t: dict, ey: DataFrame | None = None) -> DataFrame:
     """The municipality-indicator extract (ano, sigla_uf, id_municipio, target, rate, score)."""
-    ey = entity_year(t)
+    ey = entity_year(t) if ey is None else ey
     return ey.select(
         F.col("yr").cast("int").alias("ano"),
         F.col("grp").alias("sigla_uf"),
@@ -90,6 +90,32 @@ def ufs_extract(t: dict) -> DataFrame:
                     F.col("r_name").alias("regiao"))
 
 
+def _level_measures(ey: DataFrame, keys) -> DataFrame:
+    g = ey.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum("d").alias("d"))
+    return g.select(*keys,
+                    ((F.col("d") * 10).cast("double") / F.col("n")).alias("indicador_alfabetizacao"),
+                    ((F.col("q") * 29).cast("double") / F.col("n")).alias("media_proficiencia_saeb"))
+
+
+def metas_uf_extract(t: dict, ey: DataFrame | None = None) -> DataFrame:
+    """State-level (nation) indicators per year: pooled ratios; target 60 + nation key."""
+    ey = (entity_year(t) if ey is None else ey)
+    ey = ey.withColumnRenamed("grp", "sigla_uf").withColumn("ano", F.col("yr").cast("int"))
+    lv = _level_measures(ey, ["sigla_uf", "ano"])
+    nation = maybe_broadcast(t["nation"].select(F.col("n_name").alias("sigla_uf"), "n_nationkey"), 100_000)
+    return lv.join(nation, "sigla_uf", "left").select(
+        "ano", "sigla_uf", "indicador_alfabetizacao",
+        (F.lit(60) + F.col("n_nationkey")).cast("double").alias("meta_alfabetizacao"),
+        "media_proficiencia_saeb")
+
+
+def metas_brasil_extract(t: dict, ey: DataFrame | None = None) -> DataFrame:
+    """National indicators per year: pooled ratios; target 70."""
+    ey = (entity_year(t) if ey is None else ey).withColumn("ano", F.col("yr").cast("int"))
+    return _level_measures(ey, ["ano"]).withColumn("meta_alfabetizacao", F.lit(70.0)).select(
+        "ano", "indicador_alfabetizacao", "meta_alfabetizacao", "media_proficiencia_saeb")
+
+
 def census_extract(t: dict) -> DataFrame:
     """One row per line item as a 'student record' of the order's 'school'.
 
@@ -110,11 +136,23 @@ def state_codes(t: dict) -> DataFrame:
     return t["nation"].select(F.col("n_name").alias("sigla_uf"), F.col("n_nationkey").alias("code"))
 
 
-def sources(t: dict) -> dict[str, DataFrame]:
-    """The batch extracts of the layered run, keyed by bronze source name."""
+def sources(t: dict, share_aggregate: bool = True) -> dict[str, DataFrame]:
+    """The batch extracts of the layered run, keyed by bronze source name.
+
+    The entity-year aggregate feeds three extracts; with ``share_aggregate`` it
+    is computed once and materialised by a reliable checkpoint (in the shared
+    checkpoint folder) instead of scanning the line items three times.
+    """
+    ey = None
+    if share_aggregate:
+        from aurum.session import shared_root
+        shared_root(t["lineitem"].sparkSession)   # makes sure a checkpoint folder is named
+        ey = entity_year(t).checkpoint(eager=True)
     return {
-        "metas_municipio": metas_extract(t),
+        "metas_municipio": metas_extract(t, ey),
         "municipios": municipios_extract(t),
         "ufs": ufs_extract(t),
         "censo_escolar": census_extract(t),
+        "metas_uf": metas_uf_extract(t, ey),
+        "metas_brasil": metas_brasil_extract(t, ey),
     }

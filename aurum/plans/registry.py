@@ -310,6 +310,14 @@ def q_fact_target(spark, sf_dir):
     return _gold(spark, sf_dir, "fato_metas_vs_resultado")
 
 
+def q_state_targets(spark, sf_dir):
+    return _gold(spark, sf_dir, "fato_metas_uf")
+
+
+def q_national_targets(spark, sf_dir):
+    return _gold(spark, sf_dir, "fato_metas_brasil")
+
+
 def q_state_ranking(spark, sf_dir):
     return A.state_ranking(_gold(spark, sf_dir, "fato_indicador_alfabetizacao"))
 
@@ -493,6 +501,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_context": q_dim_context,
     "fact_indicator": q_fact_indicator,
     "fact_target": q_fact_target,
+    "state_targets": q_state_targets,
+    "national_targets": q_national_targets,
     "state_ranking": q_state_ranking,
     "yoy_evolution": q_yoy_evolution,
     "closest_to_target": q_closest_to_target,
