@@ -6,7 +6,7 @@ from aurum.sinks.writers import overwrite_partitions, write_bronze, write_split,
 from aurum.sources.catalog import register_external
 from aurum.sources.lineage import as_of_batch, make_batch_id, with_file_lineage, with_lineage
 from aurum.sources.readers import (
-    SourceSpec, csv_reader, extract, parquet_reader, query_reader, read_bronze, read_csv_strings,
+    SourceSpec, csv_reader, extract, parquet_reader, query_reader, read_bronze,
     read_first_available, read_inputs,
 )
 
