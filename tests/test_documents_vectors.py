@@ -66,10 +66,21 @@ def test_top_k_matches_brute_force_for_every_metric_and_chunking(spark):
     qdf = spark.createDataFrame(queries, "qid bigint, qvec array<double>")
     for metric in V.METRICS:
         want = _brute(base, queries, 5, metric)
-        for maxq in (1024, 3):
-            got = sorted((r.qid, r.vec_id, r.rank)
-                         for r in V.top_k(bdf, qdf, k=5, metric=metric, max_queries=maxq).collect())
-            assert got == want, (metric, maxq)
+        for engine in ("numpy", "sql"):
+            for maxq in (1024, 3):
+                got = sorted((r.qid, r.vec_id, r.rank) for r in
+                             V.top_k(bdf, qdf, k=5, metric=metric, max_queries=maxq, engine=engine).collect())
+                assert got == want, (metric, maxq, engine)
+
+
+def test_top_k_keeps_exact_ties_and_excludes_self(spark):
+    # four identical vectors tie exactly: the smaller ids must win, whatever batch they are in
+    base = [(i, [1.0, 0.0]) for i in (9, 3, 7, 5)] + [(1, [0.0, 1.0]), (2, [0.5, 0.5])]
+    bdf = spark.createDataFrame(base, "vec_id bigint, embedding array<double>").repartition(3)
+    q = spark.createDataFrame([(3, [1.0, 0.0])], "qid bigint, qvec array<double>")
+    for engine in ("numpy", "sql"):
+        got = [r.vec_id for r in V.top_k(bdf, q, k=3, exclude_self=True, engine=engine).orderBy("rank").collect()]
+        assert got == [5, 7, 9], engine
 
 
 def test_filtered_retrieval(spark):

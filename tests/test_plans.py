@@ -26,8 +26,13 @@ def plans(spark):
     return out
 
 
+# the vector search scores Arrow batches with numpy by design (see operators.vectors)
+PYTHON_BY_DESIGN = {"vector_top_k": ("MapInPandas",)}
+
+
 def test_no_cross_joins_and_no_python_in_any_plan(plans):
-    bad = {n: [f for f in FORBIDDEN if f in p] for n, p in plans.items()}
+    bad = {n: [f for f in FORBIDDEN if f in p and f not in PYTHON_BY_DESIGN.get(n, ())]
+           for n, p in plans.items()}
     assert not {n: f for n, f in bad.items() if f}
 
 
