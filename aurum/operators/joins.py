@@ -11,8 +11,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
+
+
+def row_width(schema: T.StructType) -> int:
+    """A conservative in-memory width of one row (strings and nested values count 64 bytes)."""
+    def width(t: T.DataType) -> int:
+        if isinstance(t, (T.ByteType, T.BooleanType)):
+            return 1
+        if isinstance(t, (T.ShortType,)):
+            return 2
+        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+            return 4
+        if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+            return 8
+        if isinstance(t, T.DecimalType):
+            return 16
+        if isinstance(t, T.StructType):
+            return sum(width(f.dataType) for f in t.fields)
+        return 64
+    return 16 + sum(width(f.dataType) for f in schema.fields)
+
+
+def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    return max(1, min(max_rows, max_bytes // row_width(df.schema)))
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
@@ -20,18 +46,22 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                    probe: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` when at most ``max_rows`` rows are proven, else ``df``.
+                    probe: DataFrame | None = None, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df`` (a shuffle join).
 
-    ``probe`` is a frame with at least as many rows as ``df`` that is cheaper to
-    count, e.g. the raw directory before its de-duplication: counting the raw
-    scan stops after ``max_rows + 1`` rows, while counting the de-duplicated
-    frame would shuffle the whole directory once just to size it.
+    The bound is ``max_rows`` rows and at most ``max_bytes`` at a conservative
+    width per row (``row_width``).  ``probe`` is a frame with at least as many
+    rows as ``df`` that is cheaper to count, e.g. the raw directory before its
+    de-duplication: counting the raw scan stops after bound + 1 rows, while
+    counting the de-duplicated frame would shuffle the whole directory once
+    just to size it.
     """
-    return F.broadcast(df) if is_bounded(probe if probe is not None else df, max_rows) else df
+    bound = broadcast_row_bound(df, max_rows, max_bytes)
+    return F.broadcast(df) if is_bounded(probe if probe is not None else df, bound) else df
 
 
 def join_directory(fact: DataFrame, directory: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS, probe: DataFrame | None = None) -> DataFrame:
+                   max_rows: int = DEFAULT_BROADCAST_ROWS, probe: DataFrame | None = None,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join a fact to a directory (one row per key is the caller's duty)."""
-    return fact.join(maybe_broadcast(directory, max_rows, probe), on, how)
+    return fact.join(maybe_broadcast(directory, max_rows, probe, max_bytes), on, how)

@@ -117,3 +117,24 @@ def test_batch_id_is_utc_whatever_the_session_zone(spark):
             assert df.select(batch_id_of(F.to_timestamp("s")).alias("b")).first().b == "20240101_000000", tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_broadcast_only_behind_a_size_bound(spark):
+    from aurum.operators.joins import broadcast_row_bound, maybe_broadcast, row_width
+    small = spark.range(10).selectExpr("id", "cast(id as string) AS s")
+    big = spark.range(5000).selectExpr("id", "cast(id as string) AS s")
+    assert row_width(small.schema) == 16 + 8 + 64
+    assert broadcast_row_bound(big, max_rows=10**6, max_bytes=88 * 100) == 100
+    fact = spark.range(100).withColumnRenamed("id", "k")
+
+    def plan(d):
+        return fact.join(d.withColumnRenamed("id", "k"), "k", "left")._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(maybe_broadcast(small, max_rows=100))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(maybe_broadcast(big, max_rows=100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
