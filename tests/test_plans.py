@@ -90,3 +90,36 @@ def test_hot_key_is_cut_to_one_row_per_task_before_the_exchange(spark):
     assert hot.v == 999                                    # the maximum v among the hot key's rows
     m = re.search(r"WindowGroupLimit .*Partial", _plan(out))
     assert m is not None
+
+
+def test_hot_key_in_a_shuffle_join_is_split_by_aqe(spark):
+    """A directory too large to broadcast, a fact key holding a third of the rows: AQE splits it."""
+    from pyspark.sql import functions as F
+    from aurum.operators.joins import join_directory
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        fact = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("k"), "id")
+        directory = spark.range(5000).select(F.col("id").alias("k"), F.concat(F.lit("name-"), F.col("id")).alias("name"))
+        out = join_directory(fact, directory, "k", max_rows=10)
+        rows = out.collect()   # runs this Dataset's own plan, so its final adaptive plan can be read
+        assert len(rows) == n and all(r.name is not None for r in rows)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
