@@ -20,18 +20,44 @@ REASON = "rejection_reason"
 QUARANTINE_TS = "_quarantine_timestamp"
 
 
+def measure_types(cfg: DomainConfig = LITERACY) -> dict[str, str]:
+    return {cfg.year_col: "int", cfg.score_col: "double", cfg.rate_col: "double", cfg.target_col: "double"}
+
+
+def type_measures(df: DataFrame, cfg: DomainConfig = LITERACY) -> tuple[DataFrame, dict]:
+    """``try_cast`` the text-typed measure columns; ``_type_bad`` flags values that did not convert."""
+    casts = {c: t for c, t in measure_types(cfg).items()
+             if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)}
+    bad = F.lit(False)
+    for c, t in casts.items():
+        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
+    out = df.withColumn("_type_bad", bad)
+    if casts:
+        out = out.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items()})
+    return out, casts
+
+
 def evaluate(df: DataFrame, cfg: DomainConfig = LITERACY) -> DataFrame:
     """Add ``rejection_reason`` (null = conforming), then normalise the keys.
 
+    Text-typed measure columns (a CSV fall-back lands every column as text)
+    are typed first with ``try_cast``; a value that is present but does not
+    convert is rejected with the type reason instead of failing the job.
+    Priority: malformed message > completeness > type > accuracy > validity.
     With ``cfg.strict_validity`` the id rule sees the raw id; otherwise the id
     is padded first, as the published code does (where the rule cannot fail).
     """
+    df, casts = type_measures(df, cfg)
     if not cfg.strict_validity:
         df = normalize(df, cfg)
     reason = R.rejection_reason(cfg)
+    if casts:
+        reason = (F.when(~R.completeness(cfg), F.lit(C.REASON_COMPLETENESS))
+                  .when(F.col("_type_bad"), F.lit(C.REASON_TYPE))
+                  .otherwise(reason))
     if "_corrupt_record" in df.columns:   # parsed messages: a malformed one is rejected as such
         reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit(C.REASON_MALFORMED)).otherwise(reason)
-    flagged = df.withColumn(REASON, reason)
+    flagged = df.withColumn(REASON, reason).drop("_type_bad")
     return normalize(flagged, cfg) if cfg.strict_validity else flagged
 
 
@@ -62,8 +88,11 @@ def scorecard(df: DataFrame, cfg: DomainConfig = LITERACY, keys=None) -> DataFra
     row per map task at the shuffle.
     """
     keys = list(keys or cfg.key_cols)
-    flags = violation_flags(cfg)
+    df, casts = type_measures(df, cfg)
+    flags = {"type": F.col("_type_bad"), **violation_flags(cfg)}
     reason = R.rejection_reason(cfg)
+    if casts:
+        reason = F.when(F.col("_type_bad"), F.lit(C.REASON_TYPE)).otherwise(reason)
     per_key = (df.select(*keys, *[f.cast("int").alias(n) for n, f in flags.items()],
                          reason.isNotNull().cast("int").alias("_rej"))
                  .groupBy(*keys)
