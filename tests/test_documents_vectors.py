@@ -106,3 +106,12 @@ def test_feature_table_clusters_and_risk(spark):
     assert clusters.count() == 60 and clusters.select("cluster").distinct().count() == 3
     risk = ML.fit_risk(feats)
     assert {"prediction", "probability"} <= set(risk.columns) and risk.count() == 60
+
+
+def test_top_k_skips_vectors_that_break_the_contract(spark):
+    base = [(1, [1.0, 0.0]), (2, None), (3, [1.0, 0.0, 5.0]), (4, [float("nan"), 1.0]), (5, [0.5, 0.5])]
+    bdf = spark.createDataFrame(base, "vec_id bigint, embedding array<double>")
+    q = spark.createDataFrame([(9, [1.0, 0.0])], "qid bigint, qvec array<double>")
+    for engine in ("numpy", "sql"):
+        got = [r.vec_id for r in V.top_k(bdf, q, k=5, engine=engine).orderBy("rank").collect()]
+        assert got == [1, 5], engine
