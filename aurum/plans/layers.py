@@ -234,15 +234,27 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
     n_in = split.count()
     n_rej = split.where(F.col("_outcome") == "quarantine").count()
     n_clean = enriched.count()
+    # the years this batch changed (a handful of values): gold rebuilds only those fact partitions
+    years = sorted(r[0] for r in clean.select(cfg.year_col).distinct().collect() if r[0] is not None)
     if layers is not None:
         layers.silver = spark.read.parquet(table).drop("_bucket")
         layers.quarantine = spark.read.parquet(f"{root}/silver/quarantine_inc")
     return {"rows_input": n_in, "rows_clean": n_clean, "rows_quarantined": n_rej,
-            "rows_duplicate": n_in - n_rej - n_clean, "quarantine_rate_pct": quarantine_rate(n_rej, n_in)}
+            "rows_duplicate": n_in - n_rej - n_clean, "quarantine_rate_pct": quarantine_rate(n_rej, n_in),
+            "touched_years": years}
+
+
+FACTS = ("fato_indicador_alfabetizacao", "fato_metas_vs_resultado")
 
 
 def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
-            census: str = "censo_escolar", layers: Layers | None = None) -> dict:
+            census: str = "censo_escolar", layers: Layers | None = None, years=None) -> dict:
+    """Build and write the gold tables from silver.
+
+    With ``years`` (an incremental run) the two facts are rebuilt only for those
+    years and swapped in by dynamic partition overwrite of their ``ano``
+    partitions; the other tables are rebuilt whole.
+    """
     if layers is not None and layers.silver is not None:
         silver = layers.silver
     else:
@@ -258,6 +270,13 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     tables = G.build_gold(silver, census_df, cfg, levels["metas_uf"], levels["metas_brasil"])
     def build(name, df):
         path = f"{root}/gold/{name}"
+        if years is not None and name in FACTS:
+            schema = df.schema
+            part = df.where(F.col(cfg.year_col).isin(list(years)))
+            part = part.hint("rebalance", cfg.year_col).sortWithinPartitions(
+                cfg.year_col, *GOLD_CLUSTER.get(name, ()))
+            overwrite_partitions(part, path, [cfg.year_col])
+            return schema, spark.read.parquet(path).count()
         schema = _write(df, path, GOLD_PARTITIONS.get(name, ()), GOLD_CLUSTER.get(name, ()))
         return schema, spark.read.parquet(path).count()
 
@@ -290,14 +309,16 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, cfg: Doma
 
     monitor_stage(C.STAGE_INGEST, keep, cfg.alert_rate_pct, batch_id)(ingest)(
         spark, sources, root, batch_id, ingested_at, layers)
+    years = None
     if incremental:
-        monitor_stage(C.STAGE_SILVER, keep, cfg.alert_rate_pct, batch_id)(to_silver_incremental)(
+        res = monitor_stage(C.STAGE_SILVER, keep, cfg.alert_rate_pct, batch_id)(to_silver_incremental)(
             spark, root, batch_id, cfg, buckets=buckets, layers=layers)
+        years = res["touched_years"]
     else:
         monitor_stage(C.STAGE_SILVER, keep, cfg.alert_rate_pct, batch_id)(to_silver)(
             spark, root, cfg, layers=layers)
     monitor_stage(C.STAGE_GOLD, keep, cfg.alert_rate_pct, batch_id)(to_gold)(
-        spark, root, cfg, layers=layers)
+        spark, root, cfg, layers=layers, years=years)
     return layers
 
 

@@ -96,6 +96,12 @@ def test_incremental_silver_merges_only_the_new_batch(spark, scratch):
     assert second.quarantine.count() == 2          # one per batch
     again = L.run(spark, src2, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
     assert again.silver.count() == 8 and again.quarantine.count() == 2
+    # a batch of another year rewrites only that year's fact partition
+    src3 = dict(src, metas_municipio=FX.metas(spark, [(2024, "SP", "3550308", 86.0, 85.0, 765.0)]))
+    third = L.run(spark, src3, scratch, batch_id="20260901_120000", incremental=True, buckets=4)
+    fact = third.gold["fato_indicador_alfabetizacao"]
+    assert fact.where("ano = 2023").count() == 8 and fact.where("ano = 2024").count() == 1
+    assert {r.ano for r in third.gold["dim_tempo"].collect()} == {2023, 2024}
 
 
 def test_stream_rows_pass_the_contract_and_newer_measurements_win(spark, scratch):
