@@ -157,16 +157,22 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
         updates = st_latest.select(*[c for c in st_latest.columns
                                      if c in (*cfg.key_cols, cfg.group_col, cfg.ingest_ts_col, *STREAM_MEASURES)])
         silver = merge_measurements(silver, updates, list(cfg.key_cols), list(STREAM_MEASURES), cfg.ingest_ts_col)
-    silver_schema = _write(silver, f"{root}/silver/fato_metas", (cfg.group_col,))
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            metas, [cfg.id_col], cfg.year_col)
-    # one table for every source's rejects; each source replaces its own
-    # partition, so a rerun replaces its rejects instead of appending them again
-    overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"])
-
-    n_in = split.count()
-    n_rej = split.where(F.col("_outcome") == "quarantine").count()
-    n_out = spark.read.parquet(f"{root}/silver/fato_metas").count()
+    # the silver table and the quarantine are independent writes: submitted together.
+    # One quarantine table holds every source's rejects; each source replaces its own
+    # partition, so a rerun replaces its rejects instead of appending them again.
+    written = concurrently({
+        "silver": lambda: _write(silver, f"{root}/silver/fato_metas", (cfg.group_col,)),
+        "quarantine": lambda: overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"]),
+    })
+    silver_schema = written["silver"]
+    counts = concurrently({
+        "in": split.count,
+        "rej": lambda: split.where(F.col("_outcome") == "quarantine").count(),
+        "out": lambda: spark.read.parquet(f"{root}/silver/fato_metas").count(),
+    })
+    n_in, n_rej, n_out = counts["in"], counts["rej"], counts["out"]
     if layers is not None:
         layers.silver = _read(spark, f"{root}/silver/fato_metas", silver_schema)
         layers.silver_schema = silver_schema
