@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from aurum import config as C
 from aurum.config import DomainConfig, LITERACY
 from aurum.operators import gold as G
-from aurum.operators.dedupe import latest_per_key
+from aurum.operators.dedupe import latest_per_key, order_column
 from aurum.operators.joins import join_directory
 from aurum.operators.merge import merge_into_buckets, merge_measurements, to_envelope
 from aurum.operators.metrics import monitor_stage, quarantine_rate
@@ -148,9 +148,11 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON)
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
 
-    order = [cfg.ingest_ts_col, "_batch_id"]
     clean = enrich(spark, clean, root, cfg, entities, groups, schemas)
 
+    # W2: the ingestion time orders versions when present, else the year
+    order = [order_column(clean, (cfg.ingest_ts_col,), cfg.year_col)]
+    order += [c for c in ("_batch_id",) if c in clean.columns]
     silver = latest_per_key(clean, list(cfg.key_cols), order)
     st_latest, st_in, st_rej = (stream_to_silver(spark, root, cfg, stream) if stream else (None, 0, 0))
     if st_latest is not None and merge_stream:

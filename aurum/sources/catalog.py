@@ -19,7 +19,3 @@ def register_external(spark: SparkSession, name: str, path: str, fmt: str = "par
         spark.sql(f"MSCK REPAIR TABLE {_quote(name)}")
     return spark.table(name)
 
-
-def register_views(frames: dict[str, DataFrame]) -> None:
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)

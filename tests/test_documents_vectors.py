@@ -115,3 +115,12 @@ def test_top_k_skips_vectors_that_break_the_contract(spark):
     for engine in ("numpy", "sql"):
         got = [r.vec_id for r in V.top_k(bdf, q, k=5, engine=engine).orderBy("rank").collect()]
         assert got == [1, 5], engine
+
+
+def test_variant_path_access(spark):
+    base = D.from_json_object(spark.createDataFrame(
+        [("ESC-1", '{"infra": {"agua": true, "mbps": 100}, "recursos": ["Biblioteca", "Sala"]}')],
+        "id string, doc string"), "id", "doc")
+    r = base.select(F.variant_get(D.as_variant("body", "infra"), "$.mbps", "int").alias("mbps"),
+                    F.variant_get(D.as_variant("body", "recursos"), "$[1]", "string").alias("r1")).first()
+    assert (r.mbps, r.r1) == (100, "Sala")
