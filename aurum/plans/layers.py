@@ -52,6 +52,7 @@ class Layers:
     quarantine: DataFrame | None = None
     silver_schema: object = None
     bronze_schemas: dict = field(default_factory=dict)
+    batch_silver: DataFrame | None = None   # the last incremental batch's silver rows
     gold: dict = field(default_factory=dict)
     metrics: list = field(default_factory=list)
 
@@ -247,12 +248,14 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
     if layers is not None:
         layers.silver = spark.read.parquet(table).drop("_bucket")
         layers.quarantine = spark.read.parquet(f"{root}/silver/quarantine_inc")
+        layers.batch_silver = enriched
     return {"rows_input": n_in, "rows_clean": n_clean, "rows_quarantined": n_rej,
             "rows_duplicate": n_in - n_rej - n_clean, "quarantine_rate_pct": quarantine_rate(n_rej, n_in),
             "touched_years": years}
 
 
 FACTS = ("fato_indicador_alfabetizacao", "fato_metas_vs_resultado")
+MERGED_DIMS = {"dim_municipio": "id_col", "dim_uf": "group_col"}   # dimension -> key role
 
 
 def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
@@ -261,7 +264,9 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
 
     With ``years`` (an incremental run) the two facts are rebuilt only for those
     years and swapped in by dynamic partition overwrite of their ``ano``
-    partitions; the other tables are rebuilt whole.
+    partitions, and the entity and group dimensions merge the batch's rows
+    (latest year wins, a re-delivered year replaces) into key-bucketed tables;
+    the other tables are rebuilt whole.
     """
     if layers is not None and layers.silver is not None:
         silver = layers.silver
@@ -276,8 +281,15 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
         lv = read_bronze(spark, f"{root}/bronze/{name}", schema=schemas.get(name))
         levels[name] = lv.drop("_ingestion_timestamp", "_source_table", "_batch_id") if lv is not None else None
     tables = G.build_gold(silver, census_df, cfg, levels["metas_uf"], levels["metas_brasil"])
+    batch = layers.batch_silver if layers is not None else None
+
     def build(name, df):
         path = f"{root}/gold/{name}"
+        if years is not None and batch is not None and name in MERGED_DIMS:
+            key = getattr(cfg, MERGED_DIMS[name])
+            rows = batch.select(*[c for c in df.columns if c in batch.columns], cfg.year_col)
+            merge_into_buckets(latest_per_key(rows, [key], [cfg.year_col]), path, [key], [cfg.year_col])
+            return df.schema, spark.read.parquet(path).count()
         if years is not None and name in FACTS:
             schema = df.schema
             part = df.where(F.col(cfg.year_col).isin(list(years)))

@@ -102,6 +102,9 @@ def test_incremental_silver_merges_only_the_new_batch(spark, scratch):
     fact = third.gold["fato_indicador_alfabetizacao"]
     assert fact.where("ano = 2023").count() == 8 and fact.where("ano = 2024").count() == 1
     assert {r.ano for r in third.gold["dim_tempo"].collect()} == {2023, 2024}
+    dim = third.gold["dim_municipio"]
+    assert dim.count() == 8 and set(dim.columns) == {"id_municipio", "sigla_uf", "nome_municipio", "regiao"}
+    assert third.gold["dim_uf"].count() == 7                  # the fixture's six states plus PE
 
 
 def test_stream_rows_pass_the_contract_and_newer_measurements_win(spark, scratch):
