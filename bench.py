@@ -37,8 +37,9 @@ def main() -> None:
     warm.join(warm.groupBy("k").count(), "k").write.format("noop").mode("overwrite").save()
 
     t0 = time.time()
-    R.layers(spark, sf_dir)
+    run = R.layers(spark, sf_dir)
     times["layers_run"] = round(time.time() - t0, 3)
+    stages = {m["stage"]: m["latency_seconds"] for m in run.metrics}
 
     for name, fn in R.QUERIES.items():
         if only and name not in only:
@@ -52,7 +53,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir).replace("sf", "")
     out = {"metric": "total_wall_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-           "cpus": cpus}
+           "cpus": cpus, "layers_stages": stages}
     if errors:
         out["errors"] = errors
     print(json.dumps(out))
