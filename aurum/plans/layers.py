@@ -155,8 +155,10 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     order = [order_column(clean, (cfg.ingest_ts_col,), cfg.year_col)]
     order += [c for c in ("_batch_id",) if c in clean.columns]
     silver = latest_per_key(clean, list(cfg.key_cols), order)
+    batch_silver = silver
     st_latest, st_in, st_rej = (stream_to_silver(spark, root, cfg, stream) if stream else (None, 0, 0))
-    if st_latest is not None and merge_stream:
+    merged = st_latest is not None and merge_stream
+    if merged:
         updates = st_latest.select(*[c for c in st_latest.columns
                                      if c in (*cfg.key_cols, cfg.group_col, cfg.ingest_ts_col, *STREAM_MEASURES)])
         silver = merge_measurements(silver, updates, list(cfg.key_cols), list(STREAM_MEASURES), cfg.ingest_ts_col)
@@ -180,8 +182,13 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
         layers.silver = _read(spark, f"{root}/silver/fato_metas", silver_schema)
         layers.silver_schema = silver_schema
         layers.quarantine = spark.read.parquet(f"{root}/silver/quarantine")
-    out = {"rows_input": n_in, "rows_clean": n_out, "rows_quarantined": n_rej,
-           "rows_duplicate": n_in - n_rej - n_out, "quarantine_rate_pct": quarantine_rate(n_rej, n_in)}
+    # the balance input = clean + quarantined + duplicates is kept for the batch rows;
+    # keys that only the stream delivered are reported on their own
+    n_batch = batch_silver.count() if merged else n_out
+    out = {"rows_input": n_in, "rows_clean": n_batch, "rows_quarantined": n_rej,
+           "rows_duplicate": n_in - n_rej - n_batch, "quarantine_rate_pct": quarantine_rate(n_rej, n_in)}
+    if merged:
+        out["stream_keys_added"] = n_out - n_batch
     if st_latest is not None:
         # stream rows are reported alongside (input and rejects), as separate fields too
         n_st_clean = st_latest.count()

@@ -134,3 +134,5 @@ def test_stream_rows_pass_the_contract_and_newer_measurements_win(spark, scratch
     fact = run.gold["fato_indicador_alfabetizacao"]
     assert "total_alunos_avaliados" in fact.columns and fact.count() == 8
     assert spark.read.parquet(f"{scratch}/silver/fato_medicoes_stream").count() == 2
+    m = {x["stage"]: x for x in run.metrics}["bronze_to_silver"]
+    assert (m["rows_input"], m["rows_clean"], m["rows_quarantined"], m["rows_duplicate"]) == (8, 7, 1, 0)
