@@ -231,11 +231,11 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
     if bronze is None:
         raise RuntimeError(f"bronze {metas!r} not found: run the ingestion first")
     raw = bronze.where(F.col("_batch_id") == batch_id)
-    split_path = f"{root}/silver/_contract_inc"
-    flagged = evaluate(raw, cfg).withColumn(
-        "_outcome", F.when(F.col(REASON).isNull(), "clean").otherwise("quarantine"))
-    overwrite_partitions(flagged, split_path, ["_batch_id", "_outcome"])
-    split = spark.read.parquet(split_path).where(F.col("_batch_id") == batch_id)
+    # each batch owns one folder, replaced whole: a re-delivered batch with fewer
+    # rejects leaves no stale rows behind (a partition overwrite would keep them)
+    split_path = f"{root}/silver/_contract_inc/_batch_id={batch_id}"
+    write_split(evaluate(raw, cfg).drop("_batch_id"), split_path)
+    split = spark.read.parquet(split_path).withColumn("_batch_id", F.lit(batch_id))
     clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON)
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
 
@@ -244,8 +244,8 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
     table = f"{root}/silver/fato_metas_inc"
     merge_into_buckets(enriched, table, list(cfg.key_cols), [cfg.ingest_ts_col, "_batch_id"], buckets)
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
-                           metas, [cfg.id_col], cfg.year_col).withColumn("_batch_id", F.lit(batch_id))
-    overwrite_partitions(envelope, f"{root}/silver/quarantine_inc", ["source", "_batch_id"])
+                           metas, [cfg.id_col], cfg.year_col)
+    write_table(envelope, f"{root}/silver/quarantine_inc/_batch_id={batch_id}", "overwrite", ["source"])
 
     n_in = split.count()
     n_rej = split.where(F.col("_outcome") == "quarantine").count()

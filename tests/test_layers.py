@@ -96,15 +96,22 @@ def test_incremental_silver_merges_only_the_new_batch(spark, scratch):
     assert second.quarantine.count() == 2          # one per batch
     again = L.run(spark, src2, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
     assert again.silver.count() == 8 and again.quarantine.count() == 2
+    # the same batch re-delivered corrected (MG now in range): its old reject is gone
+    fixed = [r if r[2] != "3106200" else (2023, "MG", "3106200", 82.0, 95.0, 740.0) for r in rows]
+    src2b = dict(src, metas_municipio=FX.metas(spark, fixed))
+    again = L.run(spark, src2b, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
+    s2b = {m["stage"]: m for m in again.metrics}["bronze_to_silver"]
+    assert (s2b["rows_input"], s2b["rows_clean"], s2b["rows_quarantined"]) == (3, 3, 0)
+    assert again.quarantine.count() == 1 and again.silver.count() == 9
     # a batch of another year rewrites only that year's fact partition
     src3 = dict(src, metas_municipio=FX.metas(spark, [(2024, "SP", "3550308", 86.0, 85.0, 765.0)]))
     third = L.run(spark, src3, scratch, batch_id="20260901_120000", incremental=True, buckets=4)
     fact = third.gold["fato_indicador_alfabetizacao"]
-    assert fact.where("ano = 2023").count() == 8 and fact.where("ano = 2024").count() == 1
+    assert fact.where("ano = 2023").count() == 9 and fact.where("ano = 2024").count() == 1
     assert {r.ano for r in third.gold["dim_tempo"].collect()} == {2023, 2024}
     dim = third.gold["dim_municipio"]
-    assert dim.count() == 8 and set(dim.columns) == {"id_municipio", "sigla_uf", "nome_municipio", "regiao"}
-    assert third.gold["dim_uf"].count() == 7                  # the fixture's six states plus PE
+    assert dim.count() == 9 and set(dim.columns) == {"id_municipio", "sigla_uf", "nome_municipio", "regiao"}
+    assert third.gold["dim_uf"].count() == 8                  # the fixture's six states, MG and PE
 
 
 def test_stream_rows_pass_the_contract_and_newer_measurements_win(spark, scratch):
