@@ -2,12 +2,14 @@
 
 Intermediate tables (bronze batches, stream sinks, checkpoints) are written
 under the shared folder the cluster names in ``spark.checkpoint.dir``.  A
-private temporary folder is created only when that setting is absent, which
-is the case for local tests.
+private temporary folder is created only when that setting is absent and the
+master is local; on a cluster its absence is an error, because executors do
+not see each other's disks.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,11 +43,14 @@ def build_session(app: str = "aurum", master: str | None = None,
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temp dir only if unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a temp dir only if unset on a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all nodes of {master} share")
         root = tempfile.mkdtemp(prefix="aurum-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
