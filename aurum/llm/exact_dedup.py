@@ -10,7 +10,8 @@ of a slim row, so the result is exact for any filter size.
 Scale: pass one shuffles a partially aggregated ``(cell, count)`` per distinct text of a task, never the text.  The
 filter has about ten bits for each repeated cell and is broadcast while its counted rows fit a stated bound; beyond
 it the same test runs as a shuffle join of slim rows.  A text that a third of all rows share is aggregated before
-its shuffle, and the join that returns its group's figures to its rows is one that adaptive execution can split.
+its shuffle, and its group's figures are staged, so that the join which returns them to its rows is one that adaptive
+execution can split.
 
 Defined results: a null text counts as empty.  Rows with a null ``doc_id`` take part; they are kept only if the
 whole group has none.  Rows that repeat both id and text cannot be told apart by their verdict; ``deduplicate``
@@ -96,8 +97,8 @@ def verdicts(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
     maybe = slim.where("maybe")
-    groups = maybe.groupBy("text_sha256").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = staged(maybe.groupBy("text_sha256").agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "dedup_groups")
     again = maybe.join(groups, "text_sha256").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return once.unionByName(again)
@@ -111,6 +112,6 @@ def deduplicate(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFr
     tested = bloom.test(docs, body, flag)
     once = tested.where(~F.col(flag)).select(*docs.columns)
     maybe = tested.where(flag).drop(flag).withColumn(digest, F.sha2(body, 256))
-    groups = maybe.groupBy(digest).agg(F.max("doc_id").alias(keep))
+    groups = staged(maybe.groupBy(digest).agg(F.max("doc_id").alias(keep)), "dedup_groups")
     best = maybe.join(groups, digest).where(F.col("doc_id").eqNullSafe(F.col(keep)))
     return once.unionByName(best.dropDuplicates([digest]).select(*docs.columns))

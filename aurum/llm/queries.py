@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aurum.llm import exact_dedup
+from aurum.llm import exact_dedup, packing, token_store
+from aurum.session import shared_path
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+STORE_END_ID = 2
+PACK_END_ID = 0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +23,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "llm", "token_store")
+    token_store.write(_table(spark, sf_dir, "documents"), path, TOKENIZER, STORE_END_ID)
+    return token_store.read(spark, path, with_ids=False)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER, PACK_END_ID)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op9_token_store": op9_token_store,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 SQL: dict[str, str] = {
