@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aurum.llm import exact_dedup, mixing, packing, token_store
+from aurum.llm import exact_dedup, mixing, packing, token_store, toxicity
 from aurum.session import shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "llm", "token_store")
     token_store.write(_table(spark, sf_dir, "documents"), path, TOKENIZER, STORE_END_ID)
@@ -40,6 +44,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op7_source_mix": op7_source_mix,
+    "op8_toxicity": op8_toxicity,
     "op9_token_store": op9_token_store,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
