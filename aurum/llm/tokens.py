@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNKS, PIECES = 350_000, 150_000
+CHUNKS, PIECES = 200_000, 60_000
 _LONGEST_KEY = 64
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = frozenset(".,;:!?")
