@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aurum.llm import exact_dedup, mixing, packing, token_store, toxicity
+from aurum.llm import exact_dedup, mixing, packing, token_store, toxicity, warc_archive
 from aurum.session import shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archive.archived(_table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_warc_archive": op3_warc_archive,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_source_mix": op7_source_mix,
     "op8_toxicity": op8_toxicity,
@@ -50,6 +55,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_warc_archive": """
+        WITH hashed AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last_id
+            FROM pages)
+        SELECT page_id, payload_bytes,
+               list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)),
+                   'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+        FROM hashed
+    """,
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
