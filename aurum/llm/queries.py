@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aurum.llm import exact_dedup, mixing, packing, token_store, toxicity, warc_archive
+from aurum.llm import exact_dedup, mixing, packing, pivot_top_k, token_store, toxicity, warc_archive
 from aurum.session import shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archive.archived(_table(spark, sf_dir, "pages"))
 
@@ -46,6 +51,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pivot_top_k": op2_pivot_top_k,
     "op3_warc_archive": op3_warc_archive,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_source_mix": op7_source_mix,
@@ -55,6 +61,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_pivot_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
     "op3_warc_archive": """
         WITH hashed AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
