@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm import exact_dedup, mixing, packing, pivot_top_k, token_store, toxicity, warc_archive
+from aurum.llm import exact_dedup, mixing, packing, pivot_top_k, token_store, toxicity, url_filter, warc_archive
 from aurum.session import shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 STORE_END_ID = 2
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/"))
 PACK_END_ID = 0
 
 
@@ -32,6 +34,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.verdicts(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pivot_top_k": op2_pivot_top_k,
     "op3_warc_archive": op3_warc_archive,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_url_filter": op5_url_filter,
     "op7_source_mix": op7_source_mix,
     "op8_toxicity": op8_toxicity,
     "op9_token_store": op9_token_store,
