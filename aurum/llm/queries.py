@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm import exact_dedup, mixing, packing, pivot_top_k, token_store, toxicity, url_filter, warc_archive
+from aurum.llm import exact_dedup, html_extract, mixing, packing, pivot_top_k, token_store, toxicity, url_filter, warc_archive
 from aurum.session import shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.verdicts(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_archive": op3_warc_archive,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_filter": op5_url_filter,
+    "op6_html_extract": op6_html_extract,
     "op7_source_mix": op7_source_mix,
     "op8_toxicity": op8_toxicity,
     "op9_token_store": op9_token_store,
