@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm import exact_dedup, html_extract, mixing, packing, pivot_top_k, token_store, toxicity, url_filter, warc_archive
+from aurum.llm import exact_dedup, html_extract, mixing, ngram_join, packing, pivot_top_k, token_store, toxicity, url_filter, warc_archive
 from aurum.session import shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_components(_table(spark, sf_dir, "documents"))
+
+
 def op2_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -61,6 +65,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_pivot_top_k": op2_pivot_top_k,
     "op3_warc_archive": op3_warc_archive,
     "op4_exact_dedup": op4_exact_dedup,
@@ -73,6 +78,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT doc_id, unnest(CASE
+                WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3),
+                                                                   lambda i: array_to_string(w[i:i + 4], ' ')))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * c >= 75 * (p.n + q.n - c)),
+        edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach AS (
+            SELECT doc_id, doc_id AS r FROM documents
+            UNION SELECT reach.doc_id, edges.y FROM reach JOIN edges ON edges.x = reach.r)
+        SELECT reach.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
+        FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id GROUP BY reach.doc_id
+    """,
     "op2_pivot_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
