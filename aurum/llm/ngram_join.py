@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aurum.llm import signature_tree as tree
-from aurum.llm.common import bounded, staged
+from aurum.llm.common import bounded, staged, unused
 from aurum.llm.components import components
 from aurum.llm.shingles import WIDTH, shingle_sets
 
@@ -329,3 +329,12 @@ def linked_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
         .alias("component_id"))
+
+
+def deduplicate(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` with the document of smallest id of each component (and rows without an id); its columns only."""
+    found = linked_components(docs, width).where("doc_id <> component_id")
+    gone = staged(found.select(F.col("doc_id").alias("gone_id")).distinct(), "ngram_gone")
+    key = unused(docs, "gone_id")
+    gone = bounded(gone.withColumnRenamed("gone_id", key))
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(key), "left_anti")
