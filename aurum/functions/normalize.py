@@ -9,9 +9,9 @@ from aurum.config import DomainConfig, LITERACY
 
 
 def pad_id(c, length: int = 7) -> Column:
-    """Left-pad with zeros to ``length`` (like ``lpad`` it also cuts longer values)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.lpad(col.cast("string"), length, "0")
+    """Left-pad with zeros to ``length``; longer values stay whole, so distinct ids stay distinct."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.lpad(text, F.greatest(F.lit(length), F.length(text)), F.lit("0"))
 
 
 def upper_code(c) -> Column:

@@ -1,9 +1,8 @@
 """Decimal rounding.
 
-``round(x, 2)`` on a double is rounded half-up through a fixed-scale decimal,
-so the result does not depend on the binary expansion of ``x`` (1.005 rounds
-to 1.01, as a person would) and any engine that rounds decimals half-up gives
-the same value.  The result is a double again.
+``round(x, 2)`` of a double is taken half-up on the shortest decimal text of
+``x`` (1.005 rounds to 1.01, as a person would), once: Spark's own ``round``.
+The result is a double again.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ def _c(x) -> Column:
 
 
 def round_half_up(x, scale: int = 2) -> Column:
-    return F.round(_c(x).cast("decimal(24,6)"), scale).cast("double")
+    return F.round(_c(x).cast("double"), scale)
 
 
 def pct(num, den, scale: int = 2) -> Column:

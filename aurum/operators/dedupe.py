@@ -15,10 +15,17 @@ from pyspark.sql import functions as F
 def total_order(df: DataFrame, keys, order_cols, descending: bool = True) -> list[Column]:
     """The given order columns first, then every other column: a total order."""
     rest = [c for c in df.columns if c not in set(keys) | set(order_cols)]
-    cols = list(order_cols) + rest
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def sortable(name: str) -> Column:
+        # maps and variants have no order of their own; their JSON text has
+        kind = kinds.get(name, "")
+        return F.to_json(F.col(name)) if "map<" in kind or "variant" in kind else F.col(name)
+
+    cols = [sortable(c) for c in list(order_cols) + rest]
     if descending:
-        return [F.col(c).desc_nulls_last() for c in cols]
-    return [F.col(c).asc_nulls_first() for c in cols]
+        return [c.desc_nulls_last() for c in cols]
+    return [c.asc_nulls_first() for c in cols]
 
 
 def latest_per_key(df: DataFrame, keys, order_cols, n: int = 1,

@@ -25,10 +25,13 @@ def to_documents(df: DataFrame, key: str, fields=None) -> DataFrame:
 
 
 def from_json_object(df: DataFrame, key: str, json_col: str) -> DataFrame:
-    """A JSON object column -> (key, body) keeping each top-level field's JSON text."""
-    body = F.from_json(F.col(json_col), "map<string,string>")
-    # from_json turns nested values back into their JSON text, scalars into text
-    return df.select(F.col(key), body.alias("body"))
+    """A JSON object column -> (key, body) keeping each top-level field's JSON text.
+
+    The values go through VARIANT, which keeps their JSON types: ``"007"`` stays a quoted
+    text and an explicit ``null`` stays the text ``null``, as ``to_documents`` writes them.
+    """
+    fields = F.from_json(F.col(json_col), "map<string,variant>")
+    return df.select(F.col(key), F.transform_values(fields, lambda _, v: F.to_json(v)).alias("body"))
 
 
 def upsert_documents(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -44,8 +47,8 @@ def upsert_documents(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def field(body: str, name: str, dtype: str = "string") -> Column:
-    """A field of the body as ``dtype`` (null when absent or JSON null)."""
-    return F.col(body)[name].try_cast(dtype)
+    """A field of the body as ``dtype`` (null when absent or JSON null; text without its quotes)."""
+    return F.try_variant_get(F.try_parse_json(F.col(body)[name]), "$", dtype)
 
 
 def as_variant(body: str, name: str) -> Column:

@@ -1,8 +1,7 @@
 """Joins against directories whose size is checked before broadcasting.
 
-``broadcast()`` is applied only when the small side is proven to hold at most
-``max_rows`` rows (a ``limit(max_rows + 1).count()`` probe, which stops reading
-after ``max_rows + 1`` rows).  Beyond the bound the join is left to the planner
+``broadcast()`` is applied only when the small side is counted to hold at most
+``max_rows`` rows.  Beyond the bound the join is left to the planner
 (sort-merge on the key, with AQE skew splitting), so a directory that grows
 with the data never lands whole in every executor.
 """
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aurum.session import shared_path
+
 DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 64 << 20
 
@@ -42,7 +43,15 @@ def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    # an aggregate: each task sends one count (of file footers, if ``df`` is a scan), never rows
+    return df.count() <= max_rows
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: counting it again reads footers only."""
+    path = shared_path(df.sparkSession, "materialised", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -52,9 +61,8 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     The bound is ``max_rows`` rows and at most ``max_bytes`` at a conservative
     width per row (``row_width``).  ``probe`` is a frame with at least as many
     rows as ``df`` that is cheaper to count, e.g. the raw directory before its
-    de-duplication: counting the raw scan stops after bound + 1 rows, while
-    counting the de-duplicated frame would shuffle the whole directory once
-    just to size it.
+    de-duplication: counting a scan reads its file footers, while counting the
+    de-duplicated frame would shuffle the whole directory once just to size it.
     """
     bound = broadcast_row_bound(df, max_rows, max_bytes)
     return F.broadcast(df) if is_bounded(probe if probe is not None else df, bound) else df

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aurum.operators.dedupe import latest_per_key
+from aurum.sources.readers import no_table, read_declared
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys, order_cols) -> DataFrame:
@@ -65,34 +67,64 @@ def bucket_of(keys, buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def _table_buckets(spark, table: str, buckets: int) -> int:
+    """The bucket count that ``table`` was made with, stored beside it; another one is refused."""
+    layout = f"{table.rstrip('/')}_layout"
+    stored = [r["buckets"] for r in read_declared(spark, layout, "buckets int", "json").collect()]
+    if not stored:
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.json(layout)
+    elif stored[0] != buckets:
+        raise ValueError(f"{table} has {stored[0]} buckets, not {buckets}")
+    return buckets
+
+
+def _stored(spark, table: str, fmt: str) -> DataFrame | None:
+    try:
+        return spark.read.format(fmt).load(table)
+    except AnalysisException as exc:
+        if no_table(exc):
+            return None
+        raise
+
+
 def merge_into_buckets(incoming: DataFrame, table: str, keys, order_cols, buckets: int = 64,
                        fmt: str = "parquet") -> int:
     """Keyed merge of ``incoming`` into a table partitioned by ``_bucket`` (hash of the key).
 
     Only the buckets the incoming keys fall in are read, merged (latest row
     per key wins, incoming rows win ties) and rewritten: the work follows the
-    size of the change, not of the table.  The merged buckets are staged under
-    ``<table>_staging`` first, so no write overwrites files its own plan reads,
-    then swapped in by dynamic partition overwrite.  Re-running the same merge
+    size of the change, not of the table.  The number of buckets is a choice
+    for the table's size (about 128 MB a bucket); it is stored with the table
+    and a merge with another one is refused.  The change is staged under
+    ``<table>_incoming`` (computed once) and the merged buckets under
+    ``<table>_staging``, so no write overwrites files its own plan reads, then
+    swapped in by dynamic partition overwrite.  Re-running the same merge
     gives the same table (idempotent).  Returns the number of touched buckets.
     """
     spark = incoming.sparkSession
-    inc = incoming.withColumn("_bucket", bucket_of(keys, buckets))
-    touched = [r["_bucket"] for r in inc.select("_bucket").distinct().collect()]  # at most `buckets` ids
+    buckets = _table_buckets(spark, table, buckets)
+    base = table.rstrip("/")
+    change = incoming.withColumn("_bucket", bucket_of(keys, buckets))
+    change.write.format(fmt).mode("overwrite").save(f"{base}_incoming")
+    change = spark.read.schema(change.schema).format(fmt).load(f"{base}_incoming")
+    touched = [r["_bucket"] for r in change.select("_bucket").distinct().collect()]  # at most `buckets` ids
     if not touched:
         return 0
-    try:
-        stored = spark.read.format(fmt).load(table).where(F.col("_bucket").isin(touched))
-    except Exception:  # nothing stored yet
-        stored = None
-    merged = latest_per_key(inc, keys, order_cols) if stored is None else upsert(stored, inc, keys, order_cols)
-    staging = f"{table.rstrip('/')}_staging"
-    merged.write.format(fmt).mode("overwrite").partitionBy("_bucket").save(staging)
-    (spark.read.format(fmt).load(staging).write.format(fmt).mode("overwrite")
+    stored = _stored(spark, table, fmt)
+    if stored is None:
+        merged = latest_per_key(change, keys, order_cols)
+    else:
+        merged = upsert(stored.where(F.col("_bucket").isin(touched)), change, keys, order_cols)
+    staging = f"{base}_staging"
+    merged.hint("rebalance", "_bucket").write.format(fmt).mode("overwrite").partitionBy("_bucket").save(staging)
+    (spark.read.schema(merged.schema).format(fmt).load(staging).hint("rebalance", "_bucket")
+          .write.format(fmt).mode("overwrite")
           .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").save(table))
     return len(touched)
 
 
+ENVELOPE_SCHEMA = ("source string, record_key string, record_year int, rejection_reason string, payload string, "
+                   "_quarantine_timestamp timestamp")
 QUARANTINE_ENVELOPE = ("source", "record_key", "record_year", "rejection_reason", "payload",
                        "_quarantine_timestamp")
 

@@ -1,4 +1,4 @@
-"""Stage metrics: a decorator that times a stage, merges its counts, alerts and logs.
+"""Stage metrics: a context that times a stage, takes its counts, alerts and publishes the metric.
 
 ``observed`` attaches counters to a plan so they fill in during its own
 action (no extra pass); the layered run itself reads counts back from the
@@ -12,10 +12,9 @@ import logging
 import sys
 import time
 import traceback
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timezone
 from decimal import ROUND_HALF_UP, Decimal
-from functools import wraps
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,6 +24,7 @@ from pyspark.sql import types as T
 from aurum import config as C
 from aurum.functions.literals import literal_frame
 from aurum.functions.rounding import round_half_up
+from aurum.operators.joins import maybe_broadcast
 
 log = logging.getLogger("aurum.metrics")
 
@@ -42,8 +42,11 @@ METRIC_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("timestamp", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("traceback", T.StringType()),
 ])
 
+ALERT_TEXT = "quarantine rate %s%% exceeds the %s%% threshold"
+
 
 @dataclass
 class StageMetrics:
@@ -72,64 +75,56 @@ class StageMetrics:
 
 
 def quarantine_rate(rejected: int, total: int) -> float:
-    """round(rejected / total * 100, 2), half-up on the decimal value; 0 without input."""
+    """round(rejected / total * 100, 2), half-up on the decimal text of the double; 0 without input."""
     if not total:
         return 0.0
-    x = Decimal(repr(rejected / total * 100.0)).quantize(Decimal("0.000001"), ROUND_HALF_UP)
-    return float(x.quantize(Decimal("0.01"), ROUND_HALF_UP))
-
-
-def check_alert(metric: dict, threshold: float = 10.0) -> dict | None:
-    """A CRITICAL_ALERT record when the quarantine rate is strictly above ``threshold``."""
-    rate = metric.get("quarantine_rate_pct")
-    if rate is None or rate <= threshold:
-        return None
-    alert = {**metric, "level": C.ALERT_LEVEL,
-             "message": f"quarantine rate {rate}% exceeds the {threshold}% threshold"}
-    text = json.dumps(alert, default=str)
-    log.warning(text)
-    print(text, file=sys.stderr)
-    return alert
-
-
-def monitor_stage(stage: str, sink: Callable[[dict], None] | None = None,
-                  threshold: float = 10.0, batch_id: str | None = None):
-    """Decorator: run the stage, merge known count keys, alert, log; re-raise errors."""
-    def decorator(func):
-        @wraps(func)
-        def wrapper(*args, **kwargs):
-            now = datetime.now(timezone.utc)
-            m = StageMetrics(stage=stage, batch_id=batch_id or now.strftime("%Y%m%d_%H%M%S"),
-                             timestamp=now.isoformat())
-            start = time.time()
+    return float(Decimal(repr(rejected * 100.0 / total)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def alert_for(metric: dict, threshold: float = 10.0) -> dict | None:
+    """The metric as an alert record if its quarantine rate is above ``threshold``, else None."""
+    rate = metric.get("quarantine_rate_pct") or 0.0
+    return {**metric, "level": C.ALERT_LEVEL, "message": ALERT_TEXT % (rate, threshold)} if rate > threshold else None
+
+
+class StageRun:
+    """One run of a stage as a context: ``with StageRun("silver", publish) as run: run.report(counts)``.
+
+    On leaving, the latency, the outcome (an exception with its traceback, which goes on) and the reported counts
+    are published as one metric, and an alert goes to the log and to standard error if the rate calls for it.
+    Publishing is best effort: its own failure is logged and does not fail the stage.
+    """
+
+    def __init__(self, stage: str, publish: Callable[[dict], None] | None = None, threshold: float = 10.0,
+                 batch_id: str | None = None) -> None:
+        self.publish, self.threshold = publish, threshold
+        started = datetime.now(timezone.utc)
+        self.metrics = StageMetrics(stage, batch_id or f"{started:%Y%m%d_%H%M%S}", timestamp=started.isoformat())
+
+    def __enter__(self) -> "StageRun":
+        self._clock = time.monotonic()
+        return self
+
+    def report(self, counts: dict) -> dict:
+        """Take over the known counts; returns ``counts``."""
+        self.metrics = replace(self.metrics, **{k: counts[k] for k in METRIC_KEYS if k in counts})
+        return counts
+
+    def __exit__(self, kind, error, trace) -> None:
+        failed = {} if error is None else {
+            "error": str(error), "traceback": "".join(traceback.format_exception(kind, error, trace))}
+        self.metrics = replace(self.metrics, latency_seconds=round(time.monotonic() - self._clock, 2),
+                               status="SUCCESS" if error is None else "ERROR", **failed)
+        record = self.metrics.as_dict()
+        alert = alert_for(record, self.threshold) if error is None else None
+        if alert:
+            print(json.dumps(alert, default=str), file=sys.stderr)
+        log.log(logging.WARNING if alert else logging.INFO, "%s", json.dumps(alert or record, default=str))
+        if self.publish is not None:
             try:
-                result = func(*args, **kwargs)
-            except Exception as exc:
-                m.status, m.error, m.traceback = "ERROR", str(exc), traceback.format_exc()
-                m.latency_seconds = round(time.time() - start, 2)
-                _emit(m.as_dict(), sink)
-                raise
-            m.status = "SUCCESS"
-            m.latency_seconds = round(time.time() - start, 2)
-            if isinstance(result, dict):
-                for k in METRIC_KEYS:
-                    if k in result:
-                        setattr(m, k, result[k])
-                check_alert(m.as_dict(), threshold)
-            _emit(m.as_dict(), sink)
-            return result
-        return wrapper
-    return decorator
-
-
-def _emit(metric: dict, sink) -> None:
-    log.info(json.dumps(metric, default=str))
-    if sink is None:
-        return
-    try:
-        sink(metric)
-    except Exception as exc:  # a failed metric write never fails the stage
-        log.warning("metric write failed: %s", exc)
+                self.publish(record)
+            except Exception:
+                log.warning("the metric of %s was not published", record["stage"], exc_info=True)
 
 
 def observed(df: DataFrame, name: str, reason_col: str | None = None) -> tuple[DataFrame, Observation]:
@@ -154,16 +149,21 @@ def json_sink(spark: SparkSession, root: str) -> Callable[[dict], None]:
     return write
 
 
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    """The metrics that ``json_sink`` wrote under ``root``."""
+    return spark.read.schema(METRIC_SCHEMA).json(root)
+
+
 def alerts(metrics: DataFrame, threshold: float = 10.0) -> DataFrame:
     return (metrics.where(F.col("quarantine_rate_pct") > threshold)
             .withColumn("level", F.lit(C.ALERT_LEVEL))
-            .withColumn("message", F.format_string("quarantine rate %s%% exceeds the %s%% threshold",
+            .withColumn("message", F.format_string(ALERT_TEXT,
                                                     F.col("quarantine_rate_pct").cast("string"),
                                                     F.lit(str(threshold)))))
 
 
 def unit_cost(metrics: DataFrame, costs: DataFrame, rows_col: str = "rows_input") -> DataFrame:
     """Cost per million rows processed: ``cost / rows * 1e6`` per stage."""
-    j = metrics.join(F.broadcast(costs), "stage", "inner")
+    j = metrics.join(maybe_broadcast(costs), "stage", "inner")
     return j.withColumn("cost_per_million_rows",
                         round_half_up(F.try_divide(F.col("cost") * F.lit(1e6), F.col(rows_col).cast("double")), 4))

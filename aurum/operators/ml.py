@@ -38,7 +38,7 @@ def fit_clusters(features: DataFrame, k: int = 5, seed: int = 42, cols=FEATURES)
 
 
 def fit_risk(features: DataFrame, label: str = "label", cols=FEATURES[1:]) -> DataFrame:
-    """Logistic risk model (probability of not reaching the cutoff)."""
+    """Logistic model of ``label`` (1: the cutoff is reached); the risk is the probability of label 0."""
     cols = [c for c in cols if c in features.columns]
     clean = features.na.drop(subset=cols + [label])
     pipe = Pipeline(stages=[

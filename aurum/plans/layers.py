@@ -14,19 +14,24 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aurum import config as C
 from aurum.config import DomainConfig, LITERACY
+from aurum.functions import rules as R
 from aurum.operators import gold as G
 from aurum.operators.dedupe import latest_per_key, order_column
 from aurum.operators.joins import join_directory
-from aurum.operators.merge import merge_into_buckets, merge_measurements, to_envelope
-from aurum.operators.metrics import monitor_stage, quarantine_rate
+from aurum.operators.merge import ENVELOPE_SCHEMA, merge_into_buckets, merge_measurements, to_envelope
+from aurum.operators.metrics import StageRun, quarantine_rate
 from aurum.functions.normalize import normalize
 from aurum.operators.quality import REASON, evaluate
 from aurum.sinks.writers import overwrite_partitions, write_bronze, write_split, write_table
 from aurum.sources.lineage import make_batch_id, with_lineage
-from aurum.sources.readers import read_bronze
+from aurum.sources.readers import read_bronze, read_declared
+
+#: Sources without which a run stops.
+REQUIRED = ("metas_municipio",)
 
 # Facts are partitioned by year (the usual filter) and clustered by group
 # inside each file: a second partition level (year x state) multiplies small
@@ -71,8 +76,7 @@ def _write(df: DataFrame, path: str, partition_by=(), cluster_by=()):
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     # the declared schema keeps partition columns typed as written (no inference)
-    df = spark.read.schema(schema).parquet(path)
-    return df.select(*schema.fieldNames())
+    return read_declared(spark, path, schema).select(*schema.fieldNames())
 
 
 def concurrently(tasks: dict, workers: int = 4) -> dict:
@@ -85,12 +89,21 @@ def concurrently(tasks: dict, workers: int = 4) -> dict:
 
 
 def ingest(spark: SparkSession, sources: dict[str, DataFrame], root: str, batch_id: str,
-           ingested_at: str | None = None, layers: Layers | None = None) -> dict:
-    """Land every non-empty source as one bronze batch; failed writes are not counted."""
+           ingested_at: str | None = None, layers: Layers | None = None, required=REQUIRED) -> dict:
+    """Land every non-empty source as one bronze batch.
+
+    A required source that is missing or cannot be landed stops the run; another one that
+    cannot be landed is logged and not counted.
+    """
+    if missing := [n for n in required if sources.get(n) is None]:
+        raise RuntimeError(f"required sources are missing: {', '.join(missing)}")
+
     def land(name, df):
         path = f"{root}/bronze/{name}"
         landed = with_lineage(df, name, batch_id, ingested_at)
         if not write_bronze(landed, path, batch_id):
+            if name in required:
+                raise RuntimeError(f"required source {name!r} could not be landed")
             return 0
         if layers is not None:
             layers.bronze_schemas[name] = landed.schema
@@ -102,6 +115,16 @@ def ingest(spark: SparkSession, sources: dict[str, DataFrame], root: str, batch_
             "rows_duplicate": 0, "quarantine_rate_pct": 0.0}
 
 
+def _split(spark: SparkSession, flagged: DataFrame, path: str) -> DataFrame:
+    """The contract split under ``path``, written in one pass; either outcome may be empty."""
+    write_split(flagged, path)
+    return read_declared(spark, path, T.StructType([*flagged.schema.fields, T.StructField("_outcome", T.StringType())]))
+
+
+def _quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return read_declared(spark, path, ENVELOPE_SCHEMA)
+
+
 STREAM_MEASURES = ("media_proficiencia_saeb", "indicador_alfabetizacao", "total_alunos_avaliados")
 
 
@@ -116,18 +139,46 @@ def stream_to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERAC
     st = read_bronze(spark, f"{root}/bronze/{stream}")
     if st is None:
         return None, 0, 0
-    write_split(evaluate(st, cfg), f"{root}/silver/_contract_stream")
-    split = spark.read.parquet(f"{root}/silver/_contract_stream")
+    split = _split(spark, evaluate(st, cfg), f"{root}/silver/_contract_stream")
     clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON, "_corrupt_record", "_payload")
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
     order = [c for c in (cfg.ingest_ts_col, "timestamp_medicao", "event_id") if c in clean.columns]
     latest = latest_per_key(clean, list(cfg.key_cols), order)
-    _write(latest, f"{root}/silver/fato_medicoes_stream", (cfg.group_col,))
+    schema = _write(latest, f"{root}/silver/fato_medicoes_stream", (cfg.group_col,))
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            stream, ["event_id"], cfg.year_col)
     overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"])
     n_in, n_rej = split.count(), split.where(F.col("_outcome") == "quarantine").count()
-    return spark.read.parquet(f"{root}/silver/fato_medicoes_stream"), n_in, n_rej
+    return _read(spark, f"{root}/silver/fato_medicoes_stream", schema), n_in, n_rej
+
+
+def _measurements(latest: DataFrame, cfg: DomainConfig) -> DataFrame:
+    wanted = (*cfg.key_cols, cfg.group_col, cfg.ingest_ts_col, *STREAM_MEASURES)
+    return latest.select(*[c for c in latest.columns if c in wanted])
+
+
+CENSUS_KEYS = ("id_escola",)
+
+
+def census_to_silver(spark: SparkSession, root: str, cfg: DomainConfig, census: str = "censo_escolar",
+                     schemas: dict | None = None) -> dict:
+    """The latest census row per school and year to ``silver/<census>``; rows whose id breaks the contract go to quarantine."""
+    raw = read_bronze(spark, f"{root}/bronze/{census}", schema=(schemas or {}).get(census))
+    if raw is None:
+        return {}
+    keys = [k for k in (*CENSUS_KEYS, cfg.id_col, cfg.year_col) if k in raw.columns]
+    latest = latest_per_key(raw, keys, [cfg.ingest_ts_col, "_batch_id"])
+    normal = normalize(latest, cfg)
+    flagged = normal.withColumn(REASON, F.when(~R.validity(cfg), F.lit(C.REASON_VALIDITY)))
+    split = _split(spark, flagged, f"{root}/silver/_contract_{census}")
+    rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
+    year = cfg.year_col if cfg.year_col in raw.columns else None
+    overwrite_partitions(to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()), census,
+                                     [cfg.id_col], year), f"{root}/silver/quarantine", ["source"])
+    n_in, n_out = raw.count(), split.count()
+    n_rej = split.where(F.col("_outcome") == "quarantine").count()
+    return {"census_rows_input": n_in, "census_rows_clean": n_out - n_rej, "census_rows_quarantined": n_rej,
+            "census_rows_duplicate": n_in - n_out}
 
 
 def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
@@ -144,8 +195,7 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     raw = read_bronze(spark, f"{root}/bronze/{metas}", schema=schemas.get(metas))
     if raw is None:
         raise RuntimeError(f"bronze {metas!r} not found: run the ingestion first")
-    write_split(evaluate(raw, cfg), f"{root}/silver/_contract")
-    split = spark.read.parquet(f"{root}/silver/_contract")
+    split = _split(spark, evaluate(raw, cfg), f"{root}/silver/_contract")
     clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON)
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
 
@@ -159,9 +209,7 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     st_latest, st_in, st_rej = (stream_to_silver(spark, root, cfg, stream) if stream else (None, 0, 0))
     merged = st_latest is not None and merge_stream
     if merged:
-        updates = st_latest.select(*[c for c in st_latest.columns
-                                     if c in (*cfg.key_cols, cfg.group_col, cfg.ingest_ts_col, *STREAM_MEASURES)])
-        silver = merge_measurements(silver, updates, list(cfg.key_cols), list(STREAM_MEASURES), cfg.ingest_ts_col)
+        silver = merge_measurements(silver, _measurements(st_latest, cfg), list(cfg.key_cols), list(STREAM_MEASURES), cfg.ingest_ts_col)
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            metas, [cfg.id_col], cfg.year_col)
     # the silver table and the quarantine are independent writes: submitted together.
@@ -172,21 +220,23 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
         "quarantine": lambda: overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"]),
     })
     silver_schema = written["silver"]
+    census_counts = census_to_silver(spark, root, cfg, schemas=schemas)
     counts = concurrently({
         "in": split.count,
         "rej": lambda: split.where(F.col("_outcome") == "quarantine").count(),
-        "out": lambda: spark.read.parquet(f"{root}/silver/fato_metas").count(),
+        "out": lambda: _read(spark, f"{root}/silver/fato_metas", silver_schema).count(),
     })
     n_in, n_rej, n_out = counts["in"], counts["rej"], counts["out"]
     if layers is not None:
         layers.silver = _read(spark, f"{root}/silver/fato_metas", silver_schema)
         layers.silver_schema = silver_schema
-        layers.quarantine = spark.read.parquet(f"{root}/silver/quarantine")
+        layers.quarantine = _quarantine(spark, f"{root}/silver/quarantine")
     # the balance input = clean + quarantined + duplicates is kept for the batch rows;
     # keys that only the stream delivered are reported on their own
     n_batch = batch_silver.count() if merged else n_out
     out = {"rows_input": n_in, "rows_clean": n_batch, "rows_quarantined": n_rej,
-           "rows_duplicate": n_in - n_rej - n_batch, "quarantine_rate_pct": quarantine_rate(n_rej, n_in)}
+           "rows_duplicate": n_in - n_rej - n_batch, "quarantine_rate_pct": quarantine_rate(n_rej, n_in),
+           **census_counts}
     if merged:
         out["stream_keys_added"] = n_out - n_batch
     if st_latest is not None:
@@ -217,14 +267,16 @@ def enrich(spark: SparkSession, clean: DataFrame, root: str, cfg: DomainConfig =
 
 def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: DomainConfig = LITERACY,
                           metas: str = "metas_municipio", entities: str = "municipios",
-                          groups: str = "ufs", buckets: int = 64, layers: Layers | None = None) -> dict:
+                          groups: str = "ufs", buckets: int = 64, layers: Layers | None = None,
+                          stream: str | None = "medicoes_stream") -> dict:
     """Process ONE bronze batch and merge it into a key-bucketed silver table.
 
     The batch is read by partition pruning on ``_batch_id``; its contract
     split and quarantine are written per batch (a rerun replaces them); its
     clean rows are merged into ``silver/fato_metas_inc`` rewriting only the
     key buckets they touch.  A daily run therefore costs the day's batch, not
-    the whole history.
+    the whole history.  Newer stream measurements are then merged into the
+    stored rows of their keys the same way.
     """
     schemas = layers.bronze_schemas if layers is not None else {}
     bronze = read_bronze(spark, f"{root}/bronze/{metas}", schema=schemas.get(metas))
@@ -234,15 +286,24 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
     # each batch owns one folder, replaced whole: a re-delivered batch with fewer
     # rejects leaves no stale rows behind (a partition overwrite would keep them)
     split_path = f"{root}/silver/_contract_inc/_batch_id={batch_id}"
-    write_split(evaluate(raw, cfg).drop("_batch_id"), split_path)
-    split = spark.read.parquet(split_path).withColumn("_batch_id", F.lit(batch_id))
+    split = _split(spark, evaluate(raw, cfg).drop("_batch_id"), split_path).withColumn("_batch_id", F.lit(batch_id))
     clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON)
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
 
-    enriched = latest_per_key(enrich(spark, clean, root, cfg, entities, groups, schemas),
-                              list(cfg.key_cols), [cfg.ingest_ts_col, "_batch_id"])
+    keys, order = list(cfg.key_cols), [cfg.ingest_ts_col, "_batch_id"]
+    enriched = latest_per_key(enrich(spark, clean, root, cfg, entities, groups, schemas), keys, order)
+    # written once: the merge, the counts and the dimensions read it back
+    batch_schema = _write(enriched, f"{root}/silver/_batch")
+    enriched = _read(spark, f"{root}/silver/_batch", batch_schema)
     table = f"{root}/silver/fato_metas_inc"
-    merge_into_buckets(enriched, table, list(cfg.key_cols), [cfg.ingest_ts_col, "_batch_id"], buckets)
+    merge_into_buckets(enriched, table, keys, order, buckets)
+    st_latest, st_in, st_rej = stream_to_silver(spark, root, cfg, stream) if stream else (None, 0, 0)
+    if st_latest is not None:
+        updates = _measurements(st_latest, cfg)
+        stored = read_declared(spark, table, T.StructType([*batch_schema.fields, T.StructField("_bucket", T.IntegerType())]))
+        stored = stored.drop("_bucket").join(updates.select(*keys), keys, "left_semi")
+        merge_into_buckets(merge_measurements(stored, updates, keys, list(STREAM_MEASURES), cfg.ingest_ts_col),
+                           table, keys, order, buckets)
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            metas, [cfg.id_col], cfg.year_col)
     write_table(envelope, f"{root}/silver/quarantine_inc/_batch_id={batch_id}", "overwrite", ["source"])
@@ -251,14 +312,19 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
     n_rej = split.where(F.col("_outcome") == "quarantine").count()
     n_clean = enriched.count()
     # the years this batch changed (a handful of values): gold rebuilds only those fact partitions
-    years = sorted(r[0] for r in clean.select(cfg.year_col).distinct().collect() if r[0] is not None)
+    changed = clean.select(cfg.year_col)
+    if st_latest is not None:
+        changed = changed.unionByName(st_latest.select(cfg.year_col))
+    years = sorted(r[0] for r in changed.distinct().collect() if r[0] is not None)
+    census_counts = census_to_silver(spark, root, cfg, schemas=schemas)
     if layers is not None:
-        layers.silver = spark.read.parquet(table).drop("_bucket")
-        layers.quarantine = spark.read.parquet(f"{root}/silver/quarantine_inc")
+        layers.silver = spark.read.option("mergeSchema", True).parquet(table).drop("_bucket") if years or n_clean \
+            else read_declared(spark, table, batch_schema)
+        layers.quarantine = read_declared(spark, f"{root}/silver/quarantine_inc", ENVELOPE_SCHEMA + ", _batch_id string")
         layers.batch_silver = enriched
     return {"rows_input": n_in, "rows_clean": n_clean, "rows_quarantined": n_rej,
             "rows_duplicate": n_in - n_rej - n_clean, "quarantine_rate_pct": quarantine_rate(n_rej, n_in),
-            "touched_years": years}
+            "touched_years": years, "stream_rows_input": st_in, "stream_rows_quarantined": st_rej, **census_counts}
 
 
 FACTS = ("fato_indicador_alfabetizacao", "fato_metas_vs_resultado")
@@ -280,13 +346,17 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     else:
         silver = spark.read.parquet(f"{root}/silver/fato_metas")
     schemas = layers.bronze_schemas if layers is not None else {}
-    census_df = read_bronze(spark, f"{root}/bronze/{census}", schema=schemas.get(census))
+    lineage = ("_ingestion_timestamp", "_source_table", "_batch_id")
+    census_df = read_bronze(spark, f"{root}/silver/_contract_{census}")
     if census_df is not None:
-        census_df = census_df.drop("_ingestion_timestamp", "_source_table", "_batch_id")
+        census_df = census_df.where(F.col("_outcome") == "clean").drop(*lineage, "_outcome", REASON)
     levels = {}
-    for name in ("metas_uf", "metas_brasil"):
+    for name, keys in (("metas_uf", (cfg.group_col, cfg.year_col)), ("metas_brasil", (cfg.year_col,))):
         lv = read_bronze(spark, f"{root}/bronze/{name}", schema=schemas.get(name))
-        levels[name] = lv.drop("_ingestion_timestamp", "_source_table", "_batch_id") if lv is not None else None
+        if lv is not None:  # the latest delivery of each key counts
+            order = [c for c in lineage if c in lv.columns and c != "_source_table"]
+            lv = latest_per_key(lv, [k for k in keys if k in lv.columns], order).drop(*lineage)
+        levels[name] = lv
     tables = G.build_gold(silver, census_df, cfg, levels["metas_uf"], levels["metas_brasil"])
     batch = layers.batch_silver if layers is not None else None
 
@@ -317,6 +387,16 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
             "rows_quarantined": 0, "rows_duplicate": 0, "quarantine_rate_pct": 0.0}
 
 
+def _claim_root(spark: SparkSession, root: str, mode: str) -> None:
+    """A root is used in one mode: the first run stores it there, a run in the other mode is refused."""
+    path = f"{root}/_mode"
+    stored = [r["mode"] for r in read_declared(spark, path, "mode string", "json").collect()]
+    if not stored:
+        spark.range(1).select(F.lit(mode).alias("mode")).write.json(path)
+    elif stored[0] != mode:
+        raise ValueError(f"{root} holds {stored[0]} runs; a run in {mode} mode would lose their rows")
+
+
 def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, cfg: DomainConfig = LITERACY,
         batch_id: str | None = None, ingested_at: str | None = None, sink=None,
         incremental: bool = False, buckets: int = 64) -> Layers:
@@ -328,24 +408,27 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, cfg: Doma
     """
     batch_id = batch_id or make_batch_id()
     layers = Layers(root=root, batch_id=batch_id)
+    _claim_root(spark, root, "incremental" if incremental else "full")
 
     def keep(metric: dict) -> None:
         layers.metrics.append(metric)
         if sink is not None:
             sink(metric)
 
-    monitor_stage(C.STAGE_INGEST, keep, cfg.alert_rate_pct, batch_id)(ingest)(
-        spark, sources, root, batch_id, ingested_at, layers)
+    def stage(name: str) -> StageRun:
+        return StageRun(name, keep, cfg.alert_rate_pct, batch_id)
+
+    with stage(C.STAGE_INGEST) as run_:
+        run_.report(ingest(spark, sources, root, batch_id, ingested_at, layers))
     years = None
-    if incremental:
-        res = monitor_stage(C.STAGE_SILVER, keep, cfg.alert_rate_pct, batch_id)(to_silver_incremental)(
-            spark, root, batch_id, cfg, buckets=buckets, layers=layers)
-        years = res["touched_years"]
-    else:
-        monitor_stage(C.STAGE_SILVER, keep, cfg.alert_rate_pct, batch_id)(to_silver)(
-            spark, root, cfg, layers=layers)
-    monitor_stage(C.STAGE_GOLD, keep, cfg.alert_rate_pct, batch_id)(to_gold)(
-        spark, root, cfg, layers=layers, years=years)
+    with stage(C.STAGE_SILVER) as run_:
+        if incremental:
+            years = run_.report(to_silver_incremental(spark, root, batch_id, cfg, buckets=buckets, layers=layers))[
+                "touched_years"]
+        else:
+            run_.report(to_silver(spark, root, cfg, layers=layers))
+    with stage(C.STAGE_GOLD) as run_:
+        run_.report(to_gold(spark, root, cfg, layers=layers, years=years))
     return layers
 
 

@@ -47,7 +47,6 @@ from aurum.streaming import events as S
 FIXED_BATCH_ID = "20240101_000000"
 FIXED_INGESTED_AT = "2024-01-01T00:00:00+00:00"
 EXTRACT_YEAR = 1998
-EXTRACT_LIMIT = 100_000
 REPLAY_BATCH = "19980101_000000"
 OVERWRITE_FROM_YEAR = 2000
 EVENT_VALUE_RANGE = (0.0, 300.0)
@@ -83,7 +82,7 @@ def layers(spark: SparkSession, sf_dir: str) -> L.Layers:
         if key not in _LAYERS:
             root = shared_path(spark, "layers")
             _LAYERS[key] = L.run(spark, MP.sources(_tables(spark, sf_dir)), root, LITERACY,
-                                 FIXED_BATCH_ID, FIXED_INGESTED_AT)
+                                 FIXED_BATCH_ID, FIXED_INGESTED_AT, sink=MT.json_sink(spark, f"{root}/log"))
         return _LAYERS[key]
 
 
@@ -115,7 +114,7 @@ def q_extract_bounded(spark, sf_dir):
                             "status": "o_orderstatus", "total_price": "o_totalprice",
                             "order_date": "o_orderdate", "priority": "o_orderpriority"},
                    where=(F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi),
-                   order_by=["order_id"], limit=EXTRACT_LIMIT)
+                   order_by=["order_id"])
 
 
 CUSTOMER_TYPES = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
@@ -346,7 +345,8 @@ def q_kv_projection(spark, sf_dir):
 
 # ---------------------------------------------------------------- metrics
 def _metrics(spark, sf_dir) -> DataFrame:
-    return MT.metrics_frame(spark, layers(spark, sf_dir).metrics)
+    """The metric log that the layered run wrote, read back."""
+    return MT.read_log(spark, f"{layers(spark, sf_dir).root}/log")
 
 
 def q_stage_metrics(spark, sf_dir):
@@ -389,7 +389,7 @@ def _events_to_files(spark, sf_dir, name, copies=1) -> str:
 
 
 def _stream(spark, path):
-    raw = S.file_source(spark, path, "text", max_files_per_trigger=4)
+    raw = S.file_source(spark, path, "text")
     return S.parse_payload(raw, EVENTS_SCHEMA, keep_payload=False)
 
 
@@ -404,22 +404,21 @@ def q_stream_parse_events(spark, sf_dir):
 
 def q_stream_dedupe(spark, sf_dir):
     msgs = _events_to_files(spark, sf_dir, "stream_dedupe", copies=2)
-    deduped = S.dedupe_within_watermark(_stream(spark, msgs), ["event_id"], "ts", "1 hour")
-    out = shared_path(spark, "queries", "stream_dedupe", "bronze")
-    q = S.start_sink(deduped, out, out + "_checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
-    return spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*EVENT_COLS)
+    base = shared_path(spark, "queries", "stream_dedupe")
+    S.run_available(_stream(spark, msgs), f"{base}/_checkpoint",
+                    S.first_delivery_writer(f"{base}/events", f"{base}/quarantine", ["event_id"]))
+    return spark.read.parquet(f"{base}/events").select(*EVENT_COLS)
 
 
 def q_stream_quarantine(spark, sf_dir):
     msgs = _events_to_files(spark, sf_dir, "stream_quarantine")
     base = shared_path(spark, "queries", "stream_quarantine")
-    S.run_available(_stream(spark, msgs), f"{base}/_checkpoint",
+    stream = _stream(spark, msgs)
+    S.run_available(stream, f"{base}/_checkpoint",
                     S.split_writer(f"{base}/clean", f"{base}/quarantine", _event_range_reason))
     cols = ["event_id", "user_id", "event_type", "value"]
-    clean = spark.read.parquet(f"{base}/clean").select(*cols, F.lit(None).cast("string").alias(Q.REASON))
-    rej = spark.read.parquet(f"{base}/quarantine").select(*cols, Q.REASON)
-    return clean.unionByName(rej)
+    clean, rejected = S.split_tables(spark, f"{base}/clean", f"{base}/quarantine", stream.schema)
+    return clean.select(*cols, F.lit(None).cast("string").alias(Q.REASON)).unionByName(rejected.select(*cols, Q.REASON))
 
 
 def q_stream_upsert(spark, sf_dir):

@@ -7,6 +7,8 @@ missing optional source is skipped, a missing required one is an error.
 
 from __future__ import annotations
 
+import logging
+
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -17,6 +19,8 @@ from pyspark.sql import types as T
 
 Reader = Callable[[SparkSession], DataFrame]
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class SourceSpec:
@@ -30,7 +34,8 @@ def read_first_available(spark: SparkSession, readers) -> tuple[DataFrame | None
     for i, read in enumerate(readers):
         try:
             df = read(spark)
-        except Exception:  # a reader that cannot open falls through to the next one
+        except Exception as exc:  # a reader that cannot open falls through to the next one
+            log.info("reader %d could not open its source: %s", i, exc)
             continue
         if df is not None and not df.isEmpty():
             return df, i
@@ -71,12 +76,26 @@ def read_bronze(spark: SparkSession, path: str, merge_schema: bool = True,
             return spark.read.schema(schema).parquet(path)
         return spark.read.option("mergeSchema", merge_schema).parquet(path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc) \
-                or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+        if no_table(exc):
             return None
         raise
 
 
+def no_table(exc: AnalysisException) -> bool:
+    """Whether a read failed only because nothing was written at its path."""
+    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_declared(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:
+    """The table under ``path`` with a declared schema; no row if no file (or no path) is there."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as exc:
+        if not no_table(exc):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def extract(df: DataFrame, columns: dict | list | None = None, where: Column | None = None,
             order_by=None, limit: int | None = None) -> DataFrame:
     """The extract query: filter, project (with renames), ordered limit.

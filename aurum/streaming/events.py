@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aurum import config as C
+from aurum.operators.dedupe import latest_per_key
 from aurum.sinks.writers import JSON_TIME_OPTIONS
+from aurum.sources.readers import read_declared
 
-# Measurement event (one JSON object per message).
+# The fields of a measurement event (one JSON object per message).
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("id_municipio", T.StringType(), False),
@@ -104,6 +106,8 @@ def dedupe_within_watermark(df: DataFrame, keys, event_time: str, delay: str = "
 
     The event-time column is cast to ``timestamp`` (watermarks refuse
     ``timestamp_ntz``); the state store is bounded by the watermark delay.
+    Spark drops rows that are older than the watermark, first deliveries too:
+    where none may be lost, use ``first_delivery_writer``.
     """
     ts = df.schema[event_time].dataType
     if isinstance(ts, T.TimestampNTZType):
@@ -119,7 +123,7 @@ def split_writer(clean_path: str, quarantine_path: str, reason: Callable[[], Col
     so a replayed epoch (after a failure) replaces its output, not doubles it.
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        flagged = batch.withColumn("rejection_reason", reason()).withColumn("_epoch", F.lit(epoch_id))
+        flagged = batch.withColumn("rejection_reason", reason()).withColumn("_epoch", F.lit(epoch_id).cast("long"))
         flagged = flagged.persist()
         try:
             for path, cond in ((clean_path, F.col("rejection_reason").isNull()),
@@ -136,6 +140,40 @@ def split_writer(clean_path: str, quarantine_path: str, reason: Callable[[], Col
     return write
 
 
+def split_tables(spark: SparkSession, clean_path: str, quarantine_path: str, schema: T.StructType,
+                 fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """What ``split_writer`` wrote for rows of ``schema``; a side that got no row is an empty frame."""
+    epoch = T.StructField("_epoch", T.LongType())
+    rejected = [T.StructField("rejection_reason", T.StringType()), T.StructField("_quarantine_timestamp", T.TimestampType())]
+    return (read_declared(spark, clean_path, T.StructType([*schema.fields, epoch]), fmt),
+            read_declared(spark, quarantine_path, T.StructType([*schema.fields, *rejected, epoch]), fmt))
+
+
+def first_delivery_writer(table: str, quarantine: str, keys, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: a row goes into ``table`` unless its key is there already, however late it comes.
+
+    Rows without a whole key go to ``quarantine``.  Both are partitioned by
+    ``_epoch``: a replayed epoch does not see its own rows and replaces them.
+    Only the key columns of the stored table are read, for the keys of the batch.
+    """
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        flagged = batch.withColumn("_epoch", F.lit(epoch_id).cast("long")).persist()
+        try:
+            seen = read_declared(spark, table, flagged.schema, fmt).where(F.col("_epoch") != epoch_id).select(*keys)
+            fresh = latest_per_key(flagged.where(whole), keys, [], descending=False).join(seen, list(keys), "left_anti")
+            rejects = flagged.where(~whole).withColumn("rejection_reason", F.lit(C.REASON_COMPLETENESS))
+            for path, part in ((table, fresh.select(*flagged.columns)), (quarantine, rejects)):
+                (part.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                     .partitionBy("_epoch").save(path))
+        finally:
+            flagged.unpersist()
+    return write
+
+
 def run_available(df: DataFrame, checkpoint: str, batch_fn: Callable[[DataFrame, int], None]) -> None:
     """Run a ``foreachBatch`` query over everything available now, then stop."""
     q = (df.writeStream.option("checkpointLocation", checkpoint)

@@ -5,14 +5,14 @@ from pyspark.sql import types as T
 METAS_COLS = ["ano", "sigla_uf", "id_municipio", "meta_alfabetizacao", "indicador_alfabetizacao",
               "media_proficiencia_saeb"]
 METAS_ROWS = [
-    (2023, "SP", "3550308", 85.0, 82.4, 755.2),
-    (2023, "RJ", "3304557", 80.0, 74.1, 738.0),
-    (2023, "CE", "2304400", 88.0, 89.2, 762.5),
-    (2023, "CE", "2312908", 95.0, 96.8, 789.0),
-    (2023, "AM", "1302603", 75.0, 68.5, 715.0),
-    (2023, "BA", "2927408", 78.0, 71.0, 725.4),
-    (2023, "MG", "3106200", 82.0, 115.0, 740.0),
-    (2023, "RS", "4314902", 86.0, 83.0, 750.0),
+    (2023, "PR", "4106902", 70.0, 73.5, 761.0),
+    (2023, "SC", "4205407", 64.0, 60.8, 731.0),
+    (2023, "PE", "2611606", 50.0, 56.0, 770.5),
+    (2023, "PE", "2609600", 80.0, 82.0, 801.5),
+    (2023, "PA", "1501402", 60.0, 51.0, 702.0),
+    (2023, "MA", "2111300", 72.0, 66.6, 684.0),
+    (2023, "GO", "5208707", 75.0, 104.5, 744.0),
+    (2023, "MS", "5002704", 68.0, 64.6, 752.0),
 ]
 METAS_SCHEMA = T.StructType([
     T.StructField("ano", T.IntegerType()), T.StructField("sigla_uf", T.StringType()),
@@ -22,15 +22,15 @@ METAS_SCHEMA = T.StructType([
 ])
 
 MUNICIPIOS = [(r[2], f"Municipio {r[2]}", r[1]) for r in METAS_ROWS]
-UFS = [("SP", "Sao Paulo", "Sudeste"), ("RJ", "Rio de Janeiro", "Sudeste"), ("MG", "Minas Gerais", "Sudeste"),
-       ("CE", "Ceara", "Nordeste"), ("BA", "Bahia", "Nordeste"), ("AM", "Amazonas", "Norte"),
-       ("RS", "Rio Grande do Sul", "Sul")]
+UFS = [("PR", "Parana", "Sul"), ("SC", "Santa Catarina", "Sul"), ("GO", "Goias", "Centro-Oeste"),
+       ("MS", "Mato Grosso do Sul", "Centro-Oeste"), ("PE", "Pernambuco", "Nordeste"),
+       ("MA", "Maranhao", "Nordeste"), ("PA", "Para", "Norte")]
 CENSUS_COLS = ["id_municipio", "sigla_uf", "ano", "id_escola", "localizacao", "dependencia_administrativa"]
-CENSUS = [("3550308", "SP", 2023, "E1", "Urbana", "Municipal"),
-          ("3304557", "RJ", 2023, "E2", "Urbana", "Municipal"),
-          ("2304400", "CE", 2023, "E3", "Urbana", "Estadual"),
-          ("2312908", "CE", 2023, "E4", "Rural", "Municipal"),
-          ("1302603", "AM", 2023, "E5", "Rural", "Municipal")]
+CENSUS = [("4106902", "PR", 2023, "E1", "Urbana", "Municipal"),
+          ("4205407", "SC", 2023, "E2", "Rural", "Municipal"),
+          ("2611606", "PE", 2023, "E3", "Urbana", "Estadual"),
+          ("2609600", "PE", 2023, "E4", "Urbana", "Municipal"),
+          ("1501402", "PA", 2023, "E5", "Rural", "Estadual")]
 
 from aurum.config import IBGE_STATE_CODES as STATE_CODES  # noqa: E402
 

@@ -14,14 +14,14 @@ def test_layered_run_on_the_fixture(spark, scratch):
     assert silver["quarantine_rate_pct"] == 12.5           # above 10: alert
     assert all(m["status"] == "SUCCESS" for m in run.metrics)
     q = run.quarantine.collect()
-    assert len(q) == 1 and q[0].record_key == "3106200" and q[0].rejection_reason == C.REASON_ACCURACY
-    assert '"indicador_alfabetizacao":115.0' in q[0].payload
+    assert len(q) == 1 and q[0].record_key == "5208707" and q[0].rejection_reason == C.REASON_ACCURACY
+    assert '"indicador_alfabetizacao":104.5' in q[0].payload
     gold = run.gold
     assert gold["fato_indicador_alfabetizacao"].count() == 7
     assert gold["dim_uf"].count() == 6 and gold["dim_municipio"].count() == 7
     assert gold["dim_contexto_escolar"].where("localizacao_predominante = 'Urbana'").count() == 3
-    sp = gold["fato_indicador_alfabetizacao"].where("id_municipio = '3550308'").first()
-    assert sp.gap_proficiencia == -12.2 and sp.status_intervencao == "ADEQUADO"
+    sp = gold["fato_indicador_alfabetizacao"].where("id_municipio = '4106902'").first()
+    assert sp.gap_proficiencia == -18.0 and sp.status_intervencao == "ADEQUADO"
     assert run.silver.where("nome_uf IS NULL OR regiao IS NULL").count() == 0
 
 
@@ -54,27 +54,16 @@ def test_missing_required_bronze_fails_the_stage(spark, scratch):
         L.to_silver(spark, scratch)
 
 
-def test_sql_text_of_the_four_queries_matches_the_frames(spark, scratch):
-    from aurum.operators import analytics as A
+def test_gold_is_readable_from_sql(spark, scratch):
     run = L.run(spark, FX.sources(spark), scratch, batch_id="20260830_120000")
-    g = run.gold
-    frames = {
-        "state_ranking": A.state_ranking(g["fato_indicador_alfabetizacao"]),
-        "yoy_evolution": A.yoy_evolution(g["fato_indicador_alfabetizacao"]),
-        "closest_to_target": A.closest_to_target(g["fato_indicador_alfabetizacao"], g["dim_municipio"]),
-        "target_by_region": A.target_by_region(g["fato_metas_vs_resultado"], g["dim_uf"]),
-    }
     for as_tables in (False, True):
-        L.register_gold(spark, run, "gold_test" if as_tables else None, as_tables=as_tables)
-        if as_tables:
-            for name in g:
-                spark.catalog.dropTempView(name)   # temp views would shadow the catalog tables
-            spark.sql("USE gold_test")
-        try:
-            for name, df in frames.items():
-                assert [tuple(r) for r in spark.sql(A.SQL[name]).collect()] == [tuple(r) for r in df.collect()], name
-        finally:
-            spark.sql("USE default")
+        names = L.register_gold(spark, run, "gold_test" if as_tables else None, as_tables=as_tables)
+        assert {n.rpartition(".")[2] for n in names} == set(run.gold)
+        for name in names:
+            plain = name.rpartition(".")[2]
+            assert spark.sql(f"SELECT count(*) FROM {name}").first()[0] == run.gold[plain].count(), name
+    for plain in run.gold:
+        spark.catalog.dropTempView(plain)
 
 
 def test_incremental_silver_merges_only_the_new_batch(spark, scratch):
@@ -83,45 +72,45 @@ def test_incremental_silver_merges_only_the_new_batch(spark, scratch):
     s1 = {m["stage"]: m for m in first.metrics}["bronze_to_silver"]
     assert (s1["rows_input"], s1["rows_clean"], s1["rows_quarantined"]) == (8, 7, 1)
     assert first.silver.count() == 7
-    # the next delivery: SP revised, one new municipality, MG still out of range
-    rows = [(2023, "SP", "3550308", 85.0, 84.0, 760.0), (2023, "PE", "2611606", 80.0, 70.0, 700.0),
-            (2023, "MG", "3106200", 82.0, 115.0, 740.0)]
+    # the next delivery: PR revised, one new municipality, GO still out of range
+    rows = [(2023, "PR", "4106902", 85.0, 84.0, 760.0), (2023, "AL", "2704302", 80.0, 70.0, 700.0),
+            (2023, "GO", "5208707", 82.0, 115.0, 740.0)]
     src2 = dict(src, metas_municipio=FX.metas(spark, rows))
     second = L.run(spark, src2, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
     s2 = {m["stage"]: m for m in second.metrics}["bronze_to_silver"]
     assert (s2["rows_input"], s2["rows_clean"], s2["rows_quarantined"]) == (3, 2, 1)
     silver = {r.id_municipio: r.media_proficiencia_saeb for r in second.silver.collect()}
-    assert len(silver) == 8 and silver["3550308"] == 760.0 and silver["2611606"] == 700.0
+    assert len(silver) == 8 and silver["4106902"] == 760.0 and silver["2704302"] == 700.0
     assert second.gold["fato_indicador_alfabetizacao"].count() == 8
     assert second.quarantine.count() == 2          # one per batch
     again = L.run(spark, src2, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
     assert again.silver.count() == 8 and again.quarantine.count() == 2
-    # the same batch re-delivered corrected (MG now in range): its old reject is gone
-    fixed = [r if r[2] != "3106200" else (2023, "MG", "3106200", 82.0, 95.0, 740.0) for r in rows]
+    # the same batch re-delivered corrected (GO now in range): its old reject is gone
+    fixed = [r if r[2] != "5208707" else (2023, "GO", "5208707", 82.0, 95.0, 740.0) for r in rows]
     src2b = dict(src, metas_municipio=FX.metas(spark, fixed))
     again = L.run(spark, src2b, scratch, batch_id="20260831_120000", incremental=True, buckets=4)
     s2b = {m["stage"]: m for m in again.metrics}["bronze_to_silver"]
     assert (s2b["rows_input"], s2b["rows_clean"], s2b["rows_quarantined"]) == (3, 3, 0)
     assert again.quarantine.count() == 1 and again.silver.count() == 9
     # a batch of another year rewrites only that year's fact partition
-    src3 = dict(src, metas_municipio=FX.metas(spark, [(2024, "SP", "3550308", 86.0, 85.0, 765.0)]))
+    src3 = dict(src, metas_municipio=FX.metas(spark, [(2024, "PR", "4106902", 86.0, 85.0, 765.0)]))
     third = L.run(spark, src3, scratch, batch_id="20260901_120000", incremental=True, buckets=4)
     fact = third.gold["fato_indicador_alfabetizacao"]
     assert fact.where("ano = 2023").count() == 9 and fact.where("ano = 2024").count() == 1
     assert {r.ano for r in third.gold["dim_tempo"].collect()} == {2023, 2024}
     dim = third.gold["dim_municipio"]
     assert dim.count() == 9 and set(dim.columns) == {"id_municipio", "sigla_uf", "nome_municipio", "regiao"}
-    assert third.gold["dim_uf"].count() == 8                  # the fixture's six states, MG and PE
+    assert third.gold["dim_uf"].count() == 8                  # the fixture's six states, GO and AL
 
 
 def test_stream_rows_pass_the_contract_and_newer_measurements_win(spark, scratch):
     import json
     from aurum.streaming import events as S
-    good = {"event_id": "e1", "id_municipio": "3550308", "sigla_uf": "SP", "ano": 2023,
+    good = {"event_id": "e1", "id_municipio": "4106902", "sigla_uf": "PR", "ano": 2023,
             "media_proficiencia_saeb": 770.0, "indicador_alfabetizacao": 84.0, "total_alunos_avaliados": 120,
             "timestamp_medicao": "2026-08-30T10:00:00"}
-    new_key = dict(good, event_id="e2", id_municipio="2611606", sigla_uf="pe")
-    bad = dict(good, event_id="e3", id_municipio="2304400", sigla_uf="CE",
+    new_key = dict(good, event_id="e2", id_municipio="2704302", sigla_uf="al")
+    bad = dict(good, event_id="e3", id_municipio="2611606", sigla_uf="PE",
                media_proficiencia_saeb=-50.0, indicador_alfabetizacao=120.0)
     msgs = [json.dumps(good), json.dumps(new_key), json.dumps(bad), "{broken"]
     raw = spark.createDataFrame([(m,) for m in msgs], "value string")
@@ -130,11 +119,11 @@ def test_stream_rows_pass_the_contract_and_newer_measurements_win(spark, scratch
     run = L.run(spark, FX.sources(spark), scratch, batch_id="20200101_000000",
                 ingested_at="2020-01-01T00:00:00+00:00")   # the batch landed before the events
     silver = {r.id_municipio: r for r in run.silver.collect()}
-    assert silver["3550308"].media_proficiencia_saeb == 770.0          # stream is newer than the batch
-    assert silver["3550308"].total_alunos_avaliados == 120
-    assert silver["3550308"].meta_alfabetizacao == 85.0                # the batch target is kept
-    assert silver["2611606"].sigla_uf == "PE" and silver["2611606"].meta_alfabetizacao is None
-    assert silver["2304400"].media_proficiencia_saeb == 762.5          # rejected event changes nothing
+    assert silver["4106902"].media_proficiencia_saeb == 770.0          # stream is newer than the batch
+    assert silver["4106902"].total_alunos_avaliados == 120
+    assert silver["4106902"].meta_alfabetizacao == 70.0                # the batch target is kept
+    assert silver["2704302"].sigla_uf == "AL" and silver["2704302"].meta_alfabetizacao is None
+    assert silver["2611606"].media_proficiencia_saeb == 770.5          # rejected event changes nothing
     reasons = {(r.source, r.rejection_reason) for r in run.quarantine.collect()}
     assert ("medicoes_stream", C.REASON_ACCURACY) in reasons and ("medicoes_stream", C.REASON_MALFORMED) in reasons
     assert ("metas_municipio", C.REASON_ACCURACY) in reasons

@@ -3,49 +3,41 @@ import pytest
 from aurum.operators import metrics as MT
 
 
-def test_monitor_keeps_return_value():
-    seen = []
-
-    @MT.monitor_stage("ok", sink=seen.append)
-    def stage():
-        return {"rows_input": 100, "rows_clean": 95, "rows_quarantined": 5, "quarantine_rate_pct": 5.0,
-                "other": 1}
-
-    assert stage()["rows_clean"] == 95
-    assert seen[0]["status"] == "SUCCESS" and seen[0]["rows_input"] == 100 and "other" not in seen[0]
+def _run(counts, sink=None, stage="s"):
+    with MT.StageRun(stage, sink, batch_id="b1") as run:
+        return run.report(counts)
 
 
-def test_monitor_reraises_and_logs_error():
+def test_a_stage_run_publishes_its_counts():
     seen = []
+    counts = {"rows_input": 40, "rows_clean": 38, "rows_quarantined": 2, "quarantine_rate_pct": 5.0, "other": 1}
+    assert _run(counts, seen.append) is counts
+    (metric,) = seen
+    assert (metric["status"], metric["batch_id"], metric["rows_clean"]) == ("SUCCESS", "b1", 38)
+    assert metric["latency_seconds"] >= 0 and "other" not in metric
 
-    @MT.monitor_stage("bad", sink=seen.append)
-    def stage():
-        raise ValueError("simulated")
-
-    with pytest.raises(ValueError, match="simulated"):
-        stage()
-    assert seen[0]["status"] == "ERROR" and "simulated" in seen[0]["error"]
 
+def test_a_failed_stage_goes_on_raising_and_keeps_its_traceback(spark, scratch):
+    sink = MT.json_sink(spark, f"{scratch}/log")
+    with pytest.raises(KeyError), MT.StageRun("broken", sink):
+        {}["no such key"]
+    row = MT.read_log(spark, f"{scratch}/log").first()
+    assert row.status == "ERROR" and "no such key" in row.error and "KeyError" in row.traceback
 
-def test_alert_above_threshold(capsys):
-    @MT.monitor_stage("alert")
-    def stage():
-        return {"rows_input": 100, "rows_clean": 80, "rows_quarantined": 20, "quarantine_rate_pct": 20.0}
 
-    stage()
+def test_an_alert_needs_a_rate_above_the_threshold(capsys):
+    _run({"rows_input": 50, "quarantine_rate_pct": 10.0})
+    assert capsys.readouterr().err == ""
+    _run({"rows_input": 50, "quarantine_rate_pct": 10.01})
     assert "CRITICAL_ALERT" in capsys.readouterr().err
-    assert MT.check_alert({"quarantine_rate_pct": 10.0}) is None
+    assert MT.alert_for({"quarantine_rate_pct": None}) is None
 
 
-def test_failing_sink_never_fails_the_stage():
+def test_a_sink_that_fails_does_not_fail_the_stage():
     def sink(_):
         raise OSError("disk gone")
 
-    @MT.monitor_stage("s", sink=sink)
-    def stage():
-        return {"rows_input": 1}
-
-    assert stage() == {"rows_input": 1}
+    assert _run({"rows_input": 1}, sink) == {"rows_input": 1}
 
 
 def test_rate_and_balance():

@@ -17,7 +17,7 @@ def test_batch_id_format():
 
 
 def test_lineage_columns(spark):
-    df = spark.createDataFrame([("3550308", 2023)], "id_municipio string, ano int")
+    df = spark.createDataFrame([("4106902", 2023)], "id_municipio string, ano int")
     r = with_lineage(df, "test_source", "20260830_120000").first()
     assert r._source_table == "test_source" and r._batch_id == "20260830_120000"
     assert r._ingestion_timestamp.endswith("+00:00")
@@ -99,11 +99,11 @@ def test_external_table_discovers_partitions(spark, scratch):
 
 
 def test_kv_projection_format(spark):
-    df = spark.createDataFrame([("3550308", 2023, 85.0, 82.4, "PARCIAL"), ("1", 2024, None, 1.005, None)],
+    df = spark.createDataFrame([("4106902", 2023, 85.0, 82.4, "PARCIAL"), ("1", 2024, None, 1.005, None)],
                                "id_municipio string, ano int, meta_oficial double, indicador_real double, "
                                "status_cumprimento string")
     got = {r.key: r.value for r in kv_projection(df).collect()}
-    assert got["kpi:municipio:3550308:ano:2023"] == '{"taxa": 82.40, "meta": 85.00, "status": "PARCIAL"}'
+    assert got["kpi:municipio:4106902:ano:2023"] == '{"taxa": 82.40, "meta": 85.00, "status": "PARCIAL"}'
     assert got["kpi:municipio:1:ano:2024"] == '{"taxa": 1.01, "meta": null, "status": null}'
 
 

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from aurum import config as C
 from aurum.streaming import events as S
 
-GOOD = {"event_id": "e1", "id_municipio": "3550308", "sigla_uf": "SP", "ano": 2023,
-        "media_proficiencia_saeb": 755.2, "indicador_alfabetizacao": 82.4, "total_alunos_avaliados": 120,
+GOOD = {"event_id": "e1", "id_municipio": "4106902", "sigla_uf": "PR", "ano": 2023,
+        "media_proficiencia_saeb": 761.0, "indicador_alfabetizacao": 73.5, "total_alunos_avaliados": 120,
         "timestamp_medicao": "2026-08-30T10:00:00"}
 
 
@@ -88,7 +88,7 @@ def test_stream_upsert_across_epochs_and_replay(spark, scratch):
 def test_binary_payload_and_kafka_source_wiring(spark):
     """P7: broker values arrive as bytes; the Kafka source is wired but its connector is absent here."""
     df = spark.createDataFrame([(bytearray(json.dumps(GOOD).encode()),)], "value binary")
-    assert S.parse_payload(df).first().id_municipio == "3550308"
+    assert S.parse_payload(df).first().id_municipio == "4106902"
     import pytest
     try:
         S.kafka_source(spark, "localhost:9092", "topic", starting_offsets="earliest")
