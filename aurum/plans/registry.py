@@ -446,14 +446,15 @@ def q_document_upsert(spark, sf_dir):
 
 
 def q_vector_insert_if_absent(spark, sf_dir):
-    """The whole table inserted twice into an empty vector table: the second insert adds nothing."""
+    """A vector table of the even ids, then two inserts of all rows by content: the second adds nothing."""
     emb = _tables(spark, sf_dir)["embeddings"]
-    table = emb.limit(0)
+    path = shared_path(spark, "queries", "vectors")
+    V.create_table(emb.where(F.col("vec_id") % 2 == 0), path, 64)
     for _ in range(2):
-        table = M.append_if_absent(table, emb, ["vec_id"])
-    checked = V.with_dimension_check(table, "embedding", 64)
-    return checked.select("vec_id", "label", F.size("embedding").alias("n_dims"),
-                          F.col("_dims_ok").alias("dims_ok"))
+        V.insert_if_absent_into(path, emb, ["label", "embedding"], 64)
+    stored = V.with_dimension_check(spark.read.schema(emb.schema).parquet(path), "embedding", 64)
+    return stored.select("vec_id", "label", F.size("embedding").alias("n_dims"),
+                         F.col("_dims_ok").alias("dims_ok"))
 
 
 def _query_vectors(emb: DataFrame) -> DataFrame:
@@ -468,6 +469,25 @@ def q_vector_top_k(spark, sf_dir):
     return res.withColumn("score", round_half_up("score", 6))
 
 
+def q_vector_top_k_filtered(spark, sf_dir):
+    """Filtered retrieval: each label's first vector against the rows of odd id."""
+    emb = _tables(spark, sf_dir)["embeddings"]
+    res = V.top_k(emb, _query_vectors(emb), k=TOP_K, filter_expr=F.col("vec_id") % 2 == 1, metric="l2")
+    return res.withColumn("score", round_half_up("score", 6))
+
+
+def q_feature_table(spark, sf_dir):
+    """The model's features of every entity and year, with the label."""
+    return ML.feature_table(_gold(spark, sf_dir, "fato_indicador_alfabetizacao"),
+                            _gold(spark, sf_dir, "fato_metas_vs_resultado"))
+
+
+def q_risk_model(spark, sf_dir):
+    """Predicted label of every entity and year (rows only: an iterative fit)."""
+    out = ML.fit_risk(q_feature_table(spark, sf_dir))
+    return out.select("id_municipio", "ano", F.col("label"), F.col("prediction").cast("int").alias("prediction"))
+
+
 def q_feature_clusters(spark, sf_dir):
     feats = ML.feature_table(_gold(spark, sf_dir, "fato_indicador_alfabetizacao"),
                              _gold(spark, sf_dir, "fato_metas_vs_resultado"))
@@ -518,5 +538,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_upsert": q_document_upsert,
     "vector_insert_if_absent": q_vector_insert_if_absent,
     "vector_top_k": q_vector_top_k,
+    "vector_top_k_filtered": q_vector_top_k_filtered,
+    "feature_table": q_feature_table,
+    "risk_model": q_risk_model,
     "feature_clusters": q_feature_clusters,
 }

@@ -15,10 +15,31 @@ def test_document_upsert_semantics(spark):
         "id string, doc string"), "id", "doc")
     out = {r.id: r.body for r in D.upsert_documents(base, new, "id").collect()}
     one = out["ESC-1"]
-    assert one["nome"] == "A" and one["obs"] == "x"                # untouched fields stay
+    assert one["nome"] == '"A"' and one["obs"] == '"x"'                # untouched fields stay
     assert one["infra"] == '{"agua":false}'                        # nested object replaced whole
-    assert "turmas" in one and one["turmas"] is None               # explicit null kept (vs absent)
-    assert out["ESC-2"] == {"nome": "B"}
+    assert one["turmas"] == "null"                                 # explicit null kept (vs absent)
+    assert out["ESC-2"] == {"nome": '"B"'}
+
+
+def test_both_encodings_of_a_body_are_the_same(spark):
+    row = spark.createDataFrame([(1, "007", 5, None)], "k bigint, s string, n int, v double")
+    text = spark.createDataFrame([(1, '{"s": "007", "n": 5}')], "k bigint, doc string")
+    bodies = [D.to_documents(row, "k"), D.from_json_object(text, "k", "doc")]
+    assert [b.first().body for b in bodies] == [{"s": '"007"', "n": "5"}] * 2
+    for b in bodies:
+        r = b.select(D.field("body", "s").alias("s"), D.field("body", "n", "int").alias("n"),
+                     F.variant_get(D.as_variant("body", "s"), "$", "string").alias("v")).first()
+        assert tuple(r) == ("007", 5, "007")
+
+
+def test_vector_table_is_created_inserted_into_and_read_back(spark, scratch):
+    rows = [(1, "a", [1.0, 0.0]), (2, "b", [0.0, 1.0]), (3, "a", [1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, title string, embedding array<float>")
+    stored = V.create_table(df.where("vec_id = 1"), f"{scratch}/v", 2)
+    assert stored.count() == 1
+    assert V.insert_if_absent_into(f"{scratch}/v", df, ["title", "embedding"], 2) == 1   # 3 breaks the contract
+    assert V.insert_if_absent_into(f"{scratch}/v", df, ["title", "embedding"], 2) == 0
+    assert sorted(r.vec_id for r in spark.read.parquet(f"{scratch}/v").collect()) == [1, 2]
 
 
 def test_to_documents_and_field_access(spark):
@@ -58,7 +79,7 @@ def _brute(base, queries, k, metric):
     return sorted(out)
 
 
-def test_top_k_matches_brute_force_for_every_metric_and_chunking(spark):
+def test_top_k_matches_brute_force_for_every_metric_and_block_size(spark, monkeypatch):
     rng = np.random.default_rng(7)
     base = [(i, rng.normal(size=8).round(3).tolist()) for i in range(200)]
     queries = [(1000 + j, rng.normal(size=8).round(3).tolist()) for j in range(7)]
@@ -66,11 +87,11 @@ def test_top_k_matches_brute_force_for_every_metric_and_chunking(spark):
     qdf = spark.createDataFrame(queries, "qid bigint, qvec array<double>")
     for metric in V.METRICS:
         want = _brute(base, queries, 5, metric)
-        for engine in ("numpy", "sql"):
-            for maxq in (1024, 3):
-                got = sorted((r.qid, r.vec_id, r.rank) for r in
-                             V.top_k(bdf, qdf, k=5, metric=metric, max_queries=maxq, engine=engine).collect())
-                assert got == want, (metric, maxq, engine)
+        for rows, asked in ((V.BASE_BLOCK, V.QUERY_BLOCK), (16, 2)):
+            monkeypatch.setattr(V, "BASE_BLOCK", rows)
+            monkeypatch.setattr(V, "QUERY_BLOCK", asked)
+            got = sorted((r.qid, r.vec_id, r.rank) for r in V.top_k(bdf, qdf, k=5, metric=metric).collect())
+            assert got == want, (metric, rows, asked)
 
 
 def test_top_k_keeps_exact_ties_and_excludes_self(spark):
@@ -78,9 +99,8 @@ def test_top_k_keeps_exact_ties_and_excludes_self(spark):
     base = [(i, [1.0, 0.0]) for i in (9, 3, 7, 5)] + [(1, [0.0, 1.0]), (2, [0.5, 0.5])]
     bdf = spark.createDataFrame(base, "vec_id bigint, embedding array<double>").repartition(3)
     q = spark.createDataFrame([(3, [1.0, 0.0])], "qid bigint, qvec array<double>")
-    for engine in ("numpy", "sql"):
-        got = [r.vec_id for r in V.top_k(bdf, q, k=3, exclude_self=True, engine=engine).orderBy("rank").collect()]
-        assert got == [5, 7, 9], engine
+    got = [r.vec_id for r in V.top_k(bdf, q, k=3, exclude_self=True).orderBy("rank").collect()]
+    assert got == [5, 7, 9]
 
 
 def test_filtered_retrieval(spark):
@@ -112,9 +132,8 @@ def test_top_k_skips_vectors_that_break_the_contract(spark):
     base = [(1, [1.0, 0.0]), (2, None), (3, [1.0, 0.0, 5.0]), (4, [float("nan"), 1.0]), (5, [0.5, 0.5])]
     bdf = spark.createDataFrame(base, "vec_id bigint, embedding array<double>")
     q = spark.createDataFrame([(9, [1.0, 0.0])], "qid bigint, qvec array<double>")
-    for engine in ("numpy", "sql"):
-        got = [r.vec_id for r in V.top_k(bdf, q, k=5, engine=engine).orderBy("rank").collect()]
-        assert got == [1, 5], engine
+    got = [r.vec_id for r in V.top_k(bdf, q, k=5).orderBy("rank").collect()]
+    assert got == [1, 5]
 
 
 def test_variant_path_access(spark):

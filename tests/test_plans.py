@@ -27,7 +27,7 @@ def plans(spark):
 
 
 # the vector search scores Arrow batches with numpy by design (see operators.vectors)
-PYTHON_BY_DESIGN = {"vector_top_k": ("MapInPandas",)}
+PYTHON_BY_DESIGN = {q: ("BatchEvalPython", "PythonUDF") for q in ("vector_top_k", "vector_top_k_filtered")}
 
 
 def test_no_cross_joins_and_no_python_in_any_plan(plans):
