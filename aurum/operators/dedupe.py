@@ -40,6 +40,15 @@ def latest_per_key(df: DataFrame, keys, order_cols, n: int = 1,
     return out if rank_col else out.drop(name)
 
 
+def latest_delivery(df: DataFrame, keys, order_cols) -> DataFrame:
+    """Keep the rows of each key's latest delivery; a delivery may hold several rows of a key.
+
+    Like the latest row, a rank of 1: older deliveries of a hot key do not reach the exchange.
+    """
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
+    return df.withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1).drop("_rk")
+
+
 def order_column(df: DataFrame, preferred=("_ingestion_timestamp",), fallback: str = "ano") -> str:
     """The de-duplication order column: the first preferred one present, else ``fallback``."""
     for c in preferred:

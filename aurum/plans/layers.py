@@ -20,7 +20,7 @@ from aurum import config as C
 from aurum.config import DomainConfig, LITERACY
 from aurum.functions import rules as R
 from aurum.operators import gold as G
-from aurum.operators.dedupe import latest_per_key, order_column
+from aurum.operators.dedupe import latest_delivery, latest_per_key, order_column
 from aurum.operators.joins import join_directory
 from aurum.operators.merge import ENVELOPE_SCHEMA, merge_into_buckets, merge_measurements, to_envelope
 from aurum.operators.metrics import StageRun, quarantine_rate
@@ -162,13 +162,12 @@ CENSUS_KEYS = ("id_escola",)
 
 def census_to_silver(spark: SparkSession, root: str, cfg: DomainConfig, census: str = "censo_escolar",
                      schemas: dict | None = None) -> dict:
-    """The latest census row per school and year to ``silver/<census>``; rows whose id breaks the contract go to quarantine."""
+    """The latest delivery of each school and year to ``silver/<census>``; rows whose id breaks the contract go to quarantine."""
     raw = read_bronze(spark, f"{root}/bronze/{census}", schema=(schemas or {}).get(census))
     if raw is None:
         return {}
     keys = [k for k in (*CENSUS_KEYS, cfg.id_col, cfg.year_col) if k in raw.columns]
-    latest = latest_per_key(raw, keys, [cfg.ingest_ts_col, "_batch_id"])
-    normal = normalize(latest, cfg)
+    normal = normalize(latest_delivery(raw, keys, [cfg.ingest_ts_col, "_batch_id"]), cfg)
     flagged = normal.withColumn(REASON, F.when(~R.validity(cfg), F.lit(C.REASON_VALIDITY)))
     split = _split(spark, flagged, f"{root}/silver/_contract_{census}")
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")

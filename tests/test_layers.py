@@ -132,3 +132,83 @@ def test_stream_rows_pass_the_contract_and_newer_measurements_win(spark, scratch
     assert spark.read.parquet(f"{scratch}/silver/fato_medicoes_stream").count() == 2
     m = {x["stage"]: x for x in run.metrics}["bronze_to_silver"]
     assert (m["rows_input"], m["rows_clean"], m["rows_quarantined"], m["rows_duplicate"]) == (8, 7, 1, 0)
+
+
+def _stages(run):
+    return {m["stage"]: m for m in run.metrics}
+
+
+def test_runs_without_a_rejected_row_finish(spark, scratch):
+    good = FX.metas(spark, [r for r in FX.METAS_ROWS if r[4] <= 100.0])
+    src = dict(FX.sources(spark), metas_municipio=good)
+    for incremental in (False, True):
+        run = L.run(spark, src, f"{scratch}/{incremental}", batch_id="20260830_120000", incremental=incremental)
+        assert _stages(run)["bronze_to_silver"]["rows_quarantined"] == 0
+        assert run.quarantine.count() == 0 and "rejection_reason" in run.quarantine.columns
+        assert run.gold["fato_indicador_alfabetizacao"].count() == 7
+
+
+def test_a_root_keeps_its_mode(spark, scratch):
+    import pytest
+    L.run(spark, FX.sources(spark), scratch, batch_id="20260830_120000")
+    with pytest.raises(ValueError, match="full"):
+        L.run(spark, FX.sources(spark), scratch, batch_id="20260831_120000", incremental=True)
+
+
+def test_a_missing_required_source_stops_the_run(spark, scratch):
+    import pytest
+    with pytest.raises(RuntimeError, match="metas_municipio"):
+        L.run(spark, dict(FX.sources(spark), metas_municipio=None), scratch)
+
+
+def test_two_deliveries_give_the_gold_of_the_latest(spark, scratch):
+    def levels(rate):
+        return {"metas_uf": spark.createDataFrame([(2023, "PR", rate, 70.0, 750.0)], "ano int, sigla_uf string, "
+                    "indicador_alfabetizacao double, meta_alfabetizacao double, media_proficiencia_saeb double"),
+                "metas_brasil": spark.createDataFrame([(2023, rate, 70.0, 750.0)], "ano int, "
+                    "indicador_alfabetizacao double, meta_alfabetizacao double, media_proficiencia_saeb double")}
+
+    src = FX.sources(spark)
+    once = L.run(spark, {**src, **levels(66.0)}, f"{scratch}/once", batch_id="20260830_120000")
+    L.run(spark, {**src, **levels(60.0)}, f"{scratch}/twice", batch_id="20260829_120000",
+          ingested_at="2026-08-29T12:00:00+00:00")
+    twice = L.run(spark, {**src, **levels(66.0)}, f"{scratch}/twice", batch_id="20260830_120000",
+                  ingested_at="2026-08-30T12:00:00+00:00")
+    for name in ("fato_metas_uf", "fato_metas_brasil", "dim_contexto_escolar"):
+        rows = [sorted(map(tuple, r.gold[name].collect()), key=str) for r in (once, twice)]
+        assert rows[0] == rows[1], name
+
+
+def test_long_ids_stay_distinct_and_balance(spark, scratch):
+    """Ids of more digits than the contract's are quarantined whole, census rows too; none are merged."""
+    rows = [(2023, "PR", i, 70.0, 73.5, 761.0) for i in ("1000000", "10000001", "10000002")]
+    census = spark.createDataFrame([(i, "PR", 2023, f"E{i}", "Urbana") for _, _, i, *_ in rows],
+                                   "id_municipio string, sigla_uf string, ano int, id_escola string, localizacao string")
+    run = L.run(spark, dict(FX.sources(spark), metas_municipio=FX.metas(spark, rows), censo_escolar=census), scratch,
+                batch_id="20260830_120000")
+    m = _stages(run)["bronze_to_silver"]
+    assert (m["rows_input"], m["rows_clean"], m["rows_quarantined"]) == (3, 1, 2)
+    keys = sorted((r.source, r.record_key) for r in spark.read.parquet(f"{scratch}/silver/quarantine").collect())
+    assert keys == [(s, k) for s in ("censo_escolar", "metas_municipio") for k in ("10000001", "10000002")]
+    assert [r.id_municipio for r in run.gold["dim_contexto_escolar"].collect()] == ["1000000"]
+    from aurum.functions.normalize import pad_id
+    from pyspark.sql import functions as F
+    ids = spark.range(1).select(*[pad_id(F.lit(i)).alias(f"c{i}") for i in (7, 10000001, 10000002)]).first()
+    assert tuple(ids) == ("0000007", "10000001", "10000002")
+
+
+def test_incremental_runs_merge_the_stream(spark, scratch):
+    import json
+    from aurum.streaming import events as S
+    event = {"event_id": "e1", "id_municipio": "4106902", "sigla_uf": "PR", "ano": 2023,
+             "media_proficiencia_saeb": 770.0, "indicador_alfabetizacao": 84.0, "total_alunos_avaliados": 120,
+             "timestamp_medicao": "2026-08-30T10:00:00"}
+    raw = spark.createDataFrame([(json.dumps(event),), ("{broken",)], "value string")
+    S.with_stream_lineage(S.parse_payload(raw), "topic").write.parquet(f"{scratch}/bronze/medicoes_stream")
+    run = L.run(spark, FX.sources(spark), scratch, batch_id="20200101_000000", incremental=True, buckets=4,
+                ingested_at="2020-01-01T00:00:00+00:00")
+    row = run.silver.where("id_municipio = '4106902'").first()
+    assert row.media_proficiencia_saeb == 770.0 and row.meta_alfabetizacao == 70.0
+    assert run.silver.count() == 7
+    fact = run.gold["fato_indicador_alfabetizacao"].where("id_municipio = '4106902'").first()
+    assert fact.media_proficiencia_saeb == 770.0

@@ -138,3 +138,34 @@ def test_broadcast_only_behind_a_size_bound(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_a_merge_refuses_another_bucket_count_and_an_unreadable_table(spark, scratch):
+    import glob
+    import pytest
+    from aurum.operators.merge import merge_into_buckets
+    table = f"{scratch}/merged"
+    rows = spark.range(100).selectExpr("id AS k", "1 AS ts", "0 AS v")
+    assert merge_into_buckets(rows, table, ["k"], ["ts"], buckets=4) == 4
+    change = rows.where("k = 7").selectExpr("k", "2 AS ts", "9 AS v")
+    with pytest.raises(ValueError, match="4 buckets"):
+        merge_into_buckets(change, table, ["k"], ["ts"], buckets=8)
+    merge_into_buckets(change, table, ["k"], ["ts"], buckets=4)
+    back = spark.read.parquet(table)
+    assert back.count() == 100 and [r.v for r in back.where("k = 7").collect()] == [9]
+    local = table.removeprefix("file:")
+    for f in glob.glob(f"{local}/**/*.parquet", recursive=True):
+        with open(f, "wb") as out:
+            out.write(b"not a footer")
+    with pytest.raises(Exception):
+        merge_into_buckets(change, table, ["k"], ["ts"], buckets=4)
+    assert len(glob.glob(f"{local}/**/*.parquet", recursive=True)) >= 4      # nothing was replaced
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from aurum.session import shared_root
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context))

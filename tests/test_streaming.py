@@ -53,6 +53,38 @@ def test_dedupe_within_watermark(spark, scratch):
     assert spark.read.parquet(out).count() == 10
 
 
+def test_no_first_delivery_is_lost_over_micro_batches(spark, scratch):
+    """Every id exactly once, however the messages are cut into files and micro-batches."""
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType())])
+    rows = [{"id": i, "ts": f"2024-01-{1 + i % 28:02d}T00:00:00"} for i in range(64)]   # days apart, out of order
+    msgs = [json.dumps(r) for r in rows + rows[::-1]] + [json.dumps({"ts": "2024-01-01T00:00:00"})]
+    for files, per_batch in ((1, 1), (4, 1), (16, 3)):
+        base = f"{scratch}/first{files}"
+        _write_messages(spark, f"{base}/in", msgs, parts=files)
+        stream = S.parse_payload(S.file_source(spark, f"{base}/in", max_files_per_trigger=per_batch), schema,
+                                 keep_payload=False)
+        write = S.first_delivery_writer(f"{base}/out", f"{base}/rejected", ["id"])
+        S.run_available(stream, f"{base}/cp", write)
+        assert sorted(r.id for r in spark.read.parquet(f"{base}/out").collect()) == list(range(64)), files
+        rejected = spark.read.parquet(f"{base}/rejected").collect()
+        assert [r.rejection_reason for r in rejected] == [C.REASON_COMPLETENESS]
+        write(S.parse_payload(spark.read.text(f"{base}/in"), schema, keep_payload=False), 0)   # an epoch replayed
+        assert sorted(r.id for r in spark.read.parquet(f"{base}/out").collect()) == list(range(64)), files
+
+
+def test_split_without_a_rejected_row(spark, scratch):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("v", T.DoubleType())])
+    _write_messages(spark, f"{scratch}/ok", [json.dumps({"v": 1.0})])
+    stream = S.parse_payload(S.file_source(spark, f"{scratch}/ok"), schema, keep_payload=False)
+    S.run_available(stream, f"{scratch}/cp", S.split_writer(f"{scratch}/c", f"{scratch}/q",
+                                                            lambda: F.lit(None).cast("string")))
+    clean, rejected = S.split_tables(spark, f"{scratch}/c", f"{scratch}/q", stream.schema)
+    assert clean.count() == 1 and rejected.count() == 0
+    assert {"v", "rejection_reason", "_quarantine_timestamp"} <= set(rejected.columns)
+
+
 def test_foreach_batch_split_and_epoch_replay(spark, scratch):
     src = f"{scratch}/vals"
     _write_messages(spark, src, [json.dumps({"v": v}) for v in (1.0, 500.0, None, 20.0)])
