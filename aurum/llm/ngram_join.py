@@ -5,22 +5,23 @@ Two documents link when their sets of distinct shingles have a Jaccard similarit
 1. One scan makes of each text its set's size, 128-bit fingerprint, bitmap and ``KEYS`` smallest shingle hashes.
    Equal sets are one class from here on, however many copies there are.
 2. Classes that share a key meet.  Of the union's smallest ``KEYS`` hashes a linked pair shares three quarters on
-   average, and fewer than a quarter with a probability below 1e-15 (the order of a 64-bit hash collision).  So a key
-   that more than ``NODE`` classes have is only needed for classes of which more than a quarter of the keys are so
-   frequent ("heavy"), and for those ``HEAVY_KEYS`` keys do.  A passage that many documents share thus costs nothing
-   for documents that have enough text of their own.
-3. The classes of a key are nodes of at most about ``NODE`` members, frequent keys being split by size and hash.  A
-   signature tree over each node is traversed against itself; bitmaps and size ranges prune the pairs, and pairs that
+   average, and at most three eighths with a probability below 1e-13.  So a key that more than ``NODE`` classes have is
+   only needed for classes of which more than three eighths of the keys are so frequent ("heavy"), and for those the
+   ``HEAVY_KEYS`` smallest hashes do (a pair shares none of them with a probability below 2e-11).  These are the only
+   chances of a miss, at a similarity of just 3/4, and fall fast above it.  A passage that many documents share thus
+   costs nothing for documents that have enough text of their own.
+3. The classes of a key are a node, frequent keys being split by size and hash into nodes of about ``HEAVY_NODE``
+   members.  A signature tree over each node is traversed against itself; bitmaps and size ranges prune the pairs, and pairs that
    other candidate pairs connect already are left out.  What remains, a forest, is verified on the exact sets.
 4. Components of the verified links.  Then the second traversal, which makes the result complete: every pair of
    members of a node, and every pair of nodes of one frequent key (but for nodes inside the key's largest component),
    is traversed again for pairs in different components, the nodes' roots pruning whole pairs of nodes first.  These
    candidates are verified too, and the components of all links are the result.
 
-No pair inside a component is looked at twice and copies are never expanded.  Verification ships one set for each
-candidate to the other's place, with the places of sets that have many candidates split.  Bitmaps are an eighth of
-the words, keys a bounded number for each document; texts are read three times, and shuffled only if the ids needed
-for verification cannot be broadcast (by their counted rows).
+A pair that shares several frequent keys is a candidate of the least of them only.  Verification ships one set for
+each candidate to the other's place, with the places of sets that have many candidates split.  Bitmaps are about a
+byte for each shingle, keys a bounded number for each document; texts are read three times, and shuffled only if the
+ids needed for verification cannot be broadcast (by their counted rows).
 
 Defined results: texts without words link with nothing and are components of their own.  Rows that share an id are one
 document with the links of them all; rows without an id take no part and have no component.  An empty table gives an
@@ -42,10 +43,11 @@ from aurum.llm.common import bounded, staged, unused
 from aurum.llm.components import components
 from aurum.llm.shingles import WIDTH, shingle_sets
 
-KEYS = 64
+KEYS = 96
 NODE = 64
-HEAVY_SHARE = 0.25
-HEAVY_KEYS = 24
+HEAVY_SHARE = 0.375
+HEAVY_KEYS = 18
+HEAVY_NODE = 256
 #: Sets that are compared with one set in one place.
 PLACE = 256
 #: Rows of a broadcast table of the sets to ship.
@@ -53,6 +55,7 @@ ORDERS = 300_000
 
 _SETS = "doc_id long, n long, c1 long, c2 long, bits binary, keys array<long>"
 _PAIR = "a long, b long"
+_ACROSS = ["side", "component", "key", "keys"]
 
 
 def sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -96,13 +99,13 @@ def _size_class():
 
 
 def _part(count: str):
-    """A node of a frequent key: by size, then by hash into nodes of about three quarters of ``NODE``."""
-    parts = F.ceil(F.col(count) / F.lit(NODE * 3 // 4))
+    """A node of a frequent key: by size, then by hash."""
+    parts = F.ceil(F.col(count) / F.lit(HEAVY_NODE))
     return _size_class() * F.lit(1 << 32) + F.pmod(F.xxhash64("rep", "key"), parts)
 
 
 def _in_nodes(nodes: DataFrame, bits: DataFrame, emit, extra: list[str]) -> DataFrame:
-    """``emit`` over the leaves of each node: ``nodes`` has ``node, rep`` and the long columns ``extra``."""
+    """``emit`` over the leaves of each node: ``nodes`` has ``node, rep`` and the columns ``extra``."""
     rows = nodes.join(bits, "rep").select("node", *extra, "rep", "n", "bits") \
         .repartition("node").sortWithinPartitions("node", *extra, "rep")
 
@@ -112,6 +115,7 @@ def _in_nodes(nodes: DataFrame, bits: DataFrame, emit, extra: list[str]) -> Data
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             for row in zip(*columns, strict=True):
+                row = tuple(tuple(x) if isinstance(x, list) else x for x in row)
                 if row[0] != node:
                     pairs += emit(list(rows.values()))
                     node, rows = row[0], {}
@@ -151,19 +155,25 @@ def _forest(rows: list[tuple]) -> list[tuple[int, int]]:
 
 
 def _across(rows: list[tuple]) -> list[tuple[int, int]]:
-    """All candidate pairs of different components; rows ``(side, component, rep, n, bits)``.
+    """All candidate pairs of different components; rows ``(side, component, key, keys, rep, n, bits)``.
 
-    Rows of side 0 meet those of side 1, rows of side 2 meet one another.
+    Rows of side 0 meet those of side 1, rows of side 2 meet one another.  Of pairs that share several ``keys`` only
+    those whose least is ``key`` count (all, if there are no keys).
     """
     out = set()
     sides: dict[int, list[tree.Node]] = {}
-    for side, component, rep, n, bits in rows:
+    keys_of: dict[int, frozenset[int]] = {}
+    for side, component, _, keys, rep, n, bits in rows:
         sides.setdefault(side, []).append(tree.leaf(rep, n, bits, component))
+        keys_of[rep] = frozenset(keys)
+    key = rows[0][2] if rows else None
     tops = {side: tree.build(leaves) for side, leaves in sides.items()}
     for x, y in ((0, 1), (2, 2)):
         if x in tops and y in tops:
             for p, q in tree.candidates(tops[x], tops[y], lambda p, q: p.part == q.part):
-                out.add((min(p.id, q.id), max(p.id, q.id)))
+                shared = keys_of[p.id] & keys_of[q.id]
+                if not shared or min(shared) == key:
+                    out.add((min(p.id, q.id), max(p.id, q.id)))
     return sorted(out)
 
 
@@ -246,6 +256,7 @@ def _frequent_pairs(hot: DataFrame, bits: DataFrame) -> DataFrame:
 
     ``hot`` has ``key, rep, n, c, component``.
     """
+    keys = staged(hot.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys")), "ngram_hot_keys_of")
     by_component = hot.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
     largest = by_component.groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("total")) \
         .where("total > top.m").select("key", F.col("top.component").alias("largest"), F.col("top.m").alias("m"), "total")
@@ -274,8 +285,9 @@ def _frequent_pairs(hot: DataFrame, bits: DataFrame) -> DataFrame:
     first = kept.select("node", "key", F.col("l_part").alias("part"), F.col("l_dom").alias("dom"),
                         F.when(same, 2).otherwise(0).cast("long").alias("side"))
     second = kept.where(~same).select("node", "key", "part", "dom", F.lit(1).cast("long").alias("side"))
-    rows = first.unionByName(second).join(nodes, ["key", "part", "dom"]).select("node", "side", "component", "rep")
-    return _in_nodes(rows, bits, _across, ["side", "component"])
+    rows = first.unionByName(second).join(nodes, ["key", "part", "dom"]).join(keys, "rep") \
+        .select("node", "side", "component", "key", "keys", "rep")
+    return _in_nodes(rows, bits, _across, _ACROSS)
 
 
 def linked_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -315,9 +327,11 @@ def linked_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     apart = nodes.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = staged(apart.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                    .where("x <> y").select("node"), "ngram_mixed")
-    inside = apart.join(mixed, "node", "left_semi").select("node", F.lit(2).cast("long").alias("side"), "component", "rep")
+    inside = apart.join(mixed, "node", "left_semi").select(
+        "node", F.lit(2).cast("long").alias("side"), "component", F.lit(0).cast("long").alias("key"),
+        F.array().cast("array<long>").alias("keys"), "rep")
     frequent = _frequent_pairs(placed.where("part >= 0").select("key", "rep", "n", "c", "component"), bits)
-    more = staged(_in_nodes(inside, bits, _across, ["side", "component"]).unionByName(frequent).distinct()
+    more = staged(_in_nodes(inside, bits, _across, _ACROSS).unionByName(frequent).distinct()
                   .join(forest, ["a", "b"], "left_anti"), "ngram_candidates")
     everything = components(links.unionByName(verified(docs, more, width)))
 

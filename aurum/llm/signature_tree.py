@@ -3,8 +3,8 @@
 A leaf is one set: its size and a bitmap in which every token sets the bit of its hash.  An inner node holds the
 OR-combined bitmaps of its leaves, the range of their sizes and the most tokens that any of them loses to shared bits
 (``excess``).  Two sets can have at most as many tokens in common as their bitmaps have common bits, plus the smaller
-excess; the same holds for all pairs below two nodes.  Bitmaps have a power-of-two width of at least twice the size
-and are folded to the narrower one before they are compared.
+excess; the same holds for all pairs below two nodes.  Bitmaps have a power-of-two width of at least five times the
+size, so that few tokens share a bit, and are folded to the narrower one before they are compared.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ FANOUT = 8
 
 def bitmap(tokens: np.ndarray) -> bytes:
     """The bitmap of distinct 64-bit hashes, little-endian."""
-    width = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    width = max(64, 1 << (5 * len(tokens) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
