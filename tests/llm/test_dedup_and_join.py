@@ -74,11 +74,12 @@ def corpus():
     return rows + [(4000 + k, rows[5][1]) for k in range(8)]
 
 
-@pytest.mark.parametrize("node, heavy_keys", [(64, 24), (4, 64)])
+@pytest.mark.parametrize("node, heavy_keys", [(64, 18), (4, 96)])
 def test_ngram_join_is_that_of_all_pairs(spark, monkeypatch, node, heavy_keys):
     """With small nodes nearly every shared key is a frequent one."""
     monkeypatch.setattr(ngram_join, "NODE", node)
     monkeypatch.setattr(ngram_join, "HEAVY_KEYS", heavy_keys)
+    monkeypatch.setattr(ngram_join, "HEAVY_NODE", 4 * node)
     rows = corpus() + EDGES
     df = documents(spark, rows, extra=True).repartition(4)
     got = ngram_join.linked_components(df).collect()

@@ -1,0 +1,200 @@
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from aurum.llm import mixing, packing, token_store, toxicity
+from aurum.session import shared_path
+from tests.llm.helpers import documents, words
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def n_words(text):
+    return len(re.findall("[^\x20\x09-\x0d]+", text or ""))
+
+
+def plain_targets(sizes, share=1.5, most=2):
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
+    left, out, free = share * sum(sizes.values()), {}, list(names)
+    while free:
+        total = sum(weight[n] for n in free)
+        over = [n for n in free if left * weight[n] / total >= most * sizes[n]]
+        out.update({n: float(most * sizes[n]) for n in over} if over else {n: left * weight[n] / total for n in free})
+        left -= sum(most * sizes[n] for n in over)
+        free = [n for n in free if n not in over] if over else []
+    return out
+
+
+MIX = [(i, " ".join(words(i * 7 % 60, i)), ["b", "a", None, "é", "B"][i % 5 if i % 3 else 0]) for i in range(400)] + [
+    (1000 + i, "same size here", "hot") for i in range(300)] + [(2000, None, "b"), (2001, "", "none"), (None, "x y", "b")]
+
+
+@pytest.mark.parametrize("parts, ranges", [(3, 4096), (7, 16)])
+def test_mix_meets_its_targets(spark, monkeypatch, parts, ranges):
+    monkeypatch.setattr(mixing, "RANGE", ranges)
+    df = documents(spark, MIX, extra=True).repartition(parts)
+    got = mixing.verdicts(df).collect()
+    size = Counter()
+    for _, text, source in MIX:
+        size[source] += n_words(text)
+    source_of = {i: s for i, _, s in MIX}
+    want, taken = plain_targets(size), Counter()
+    for r in got:
+        s = source_of[r.doc_id]
+        assert r.source_size == size[s] and abs(r.target - want[s]) < 1e-6 and 0 <= r.taken <= 2 * r["size"]
+        taken[s] += r.taken
+    assert len(got) == len(MIX)
+    for s, target in want.items():
+        assert target - 3 < taken[s] <= target + 1e-6, (s, target, taken[s])
+    again = Counter((r.doc_id, r.taken) for r in mixing.verdicts(df.repartition(2)).collect())
+    assert again == Counter((r.doc_id, r.taken) for r in got)
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns
+    copies = Counter((r.doc_id, r.text) for r in mixed.collect())
+    assert sum(n_words(t) * n for (_, t), n in copies.items()) == sum(taken.values())
+    if parts == 3:
+        assert mixing.verdicts(df.limit(0)).count() == 0 and mixing.mix(df.limit(0)).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 5), min_size=1, max_size=6), st.integers(0, 200), st.integers(0, 60))
+def test_a_budget_is_met_as_near_as_lengths_allow(items, budget, dp):
+    lengths, counts = np.array(list(items), np.int64), np.array(list(items.values()), np.int64)
+    got = mixing.fit_budget(lengths, counts, budget, dp_budget=max(dp, 30))
+    assert (got >= 0).all() and (got <= counts).all()
+    total = int((got * lengths).sum())
+    sums = {0}
+    for n, c in items.items():
+        sums = {s + n * k for s in sums for k in range(c + 1)}
+    assert total <= budget
+    if dp >= 30 and budget <= 30 or budget >= sum(n * c for n, c in items.items()):
+        assert total == max(s for s in sums if s <= budget)
+
+
+INSULTS = ["vilegit", "scumbax"]
+
+
+def labelled(spark, n=600):
+    rows, labels = [], []
+    for i in range(n):
+        w, bad = words(30, i, 5000), i % 5 == 0
+        if bad:
+            hit = ["vilegit", "v1legit", "vіlegit", "SCUMBAX", "scumbaxed", "scumbaxing"][i // 5 % 6]  # the third: Cyrillic
+            w[i % 29] = hit
+        elif i % 100 == 1:
+            w[3:5] = ["scumbax", "flower"]                    # harmless in this phrase
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    extra = [(n, 7), (n + 1, None), (None, 1)]
+    return rows, documents(spark, rows + [(9000, None), (9001, ""), (9002, "x " * 200_000)], extra=True), \
+        spark.createDataFrame(labels + extra, "doc_id long, toxic int")
+
+
+def test_toxicity_on_held_out_rows(spark):
+    rows, docs, labels = labelled(spark)
+    got = {r.doc_id: r for r in toxicity.verdicts(docs.repartition(3), labels).collect()}
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert {i for i, r in got.items() if r.held_out and i < 9000} == set(held)
+    right = sum(got[i].predicted == int(i % 5 == 0) for i in held)
+    assert right >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
+    assert [got[i].predicted for i in (9000, 9001, 9002)] == [0, 0, 0]
+    kept = toxicity.clean(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.predicted}
+
+
+def test_toxicity_without_labels_and_without_rows(spark):
+    _, docs, labels = labelled(spark, 40)
+    none = toxicity.verdicts(docs, labels.limit(0)).collect()
+    assert len(none) == 43 and {r.score for r in none} == {0.0}
+    assert toxicity.verdicts(docs.limit(0), labels).count() == 0
+
+
+def test_folding():
+    assert toxicity.fold("Yоu 1D10T, sc@m ｗｏｗ 2024 don't").split() == ["you", "idiot", "scam", "wow", "don", "t"]
+    assert toxicity.fold("1D10T!").split() == ["idiot"] and toxicity.fold("2024 $5").split() == []
+    assert toxicity.fold("ｗｏｗ").split() == ["wow"] and toxicity.fold(None) == " "
+
+
+TEXTS = [(i, " ".join(words(i * 37 % 900, i)) + (" äöü\n  x" if i % 3 else "")) for i in range(60)] + [
+    (70, None), (71, ""), (72, "very long " * 9_000), (5, "same id"), (5, "same id"), (None, "no id")]
+
+
+def test_token_store_round_trip(spark):
+    t = Tokenizer.from_file(PATH)
+    df = documents(spark, TEXTS, extra=True).repartition(5)
+    path = shared_path(spark, "tests", "store")
+    token_store.write(df, path, PATH, 2)
+    got = token_store.read(spark, path).orderBy("start").collect()
+    order = [r.doc_id for r in got]
+    assert order == sorted((i for i, _ in TEXTS if i is not None)) + [None]
+    want = Counter((i, tuple(t.encode(x or "", add_special_tokens=False).ids + [2])) for i, x in TEXTS)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in got) == want
+    start = 0
+    for r in got:
+        assert (r.start, r.n_tokens) == (start, len(r.ids))
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        start += r.n_tokens
+    some = token_store.lookup(spark, path, [7, 72, 12345])
+    assert some == {i: t.encode(x, add_special_tokens=False).ids + [2] for i, x in TEXTS if i in (7, 72)}
+
+
+def test_token_store_of_nothing(spark):
+    path = shared_path(spark, "tests", "store")
+    token_store.write(documents(spark, []), path, PATH, 2)
+    assert token_store.read(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("items", [50_000, 20])
+def test_packing(spark, items):
+    t = Tokenizer.from_file(PATH)
+    df = documents(spark, TEXTS, extra=True).repartition(4)
+    got = packing.pack(packing.pieces(df, PATH, 0, 256), 256, items).collect()
+    ids = defaultdict(list)
+    for i, x in TEXTS:
+        ids[i].append(t.encode(x or "", add_special_tokens=False).ids + [0])
+    total, want, seen = 0, Counter(), Counter()
+    for i, docs in ids.items():
+        for doc in docs:
+            total += len(doc)
+            first = len(doc) % 256 or 256
+            cuts = [0, *range(first, len(doc) + 1, 256)]
+            want.update((i, k, a, b - a, zlib.crc32(np.array(doc[a:b], "<u4").tobytes()))
+                        for k, (a, b) in enumerate(zip(cuts, cuts[1:])))
+    sequences = defaultdict(list)
+    for r in got:
+        seen[(r.doc_id, r.piece, r.start, r.length, r.ids_crc32)] += 1
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert seen == want
+    for s in sequences.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= 256
+    assert len(sequences) <= -(-total // 256) + (1 if items > 20 else len(got) // items + 1)
+
+
+def test_packing_of_nothing(spark):
+    assert packing.pack_documents(documents(spark, []), PATH, 0).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=40))
+def test_local_search_keeps_the_items_and_never_adds_a_bin(sizes):
+    lengths = np.array(sizes, np.int64)
+    worse = [[i] for i in range(len(sizes))]                 # one item a bin: much to do
+    bins = packing.local_search([list(b) for b in worse], lengths, 20)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+    assert all(0 < sum(sizes[i] for i in b) <= 20 for b in bins) and len(bins) <= len(worse)
+    best = packing.best_fit(lengths, 20)
+    assert len(packing.local_search([list(b) for b in best], lengths, 20)) <= len(best)
