@@ -76,6 +76,12 @@ def encode_json(df: DataFrame, cols=None, name: str = "value") -> DataFrame:
     return df.select(F.to_json(F.struct(*cols), JSON_TIME_OPTIONS).alias(name))
 
 
+def broker_messages(df: DataFrame, topic: str, key: str, cols=None) -> DataFrame:
+    """``topic, key, value`` of every row, the frame that a broker writer takes (``value`` as in ``encode_json``)."""
+    return df.select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"),
+                     F.to_json(F.struct(*(cols or df.columns)), JSON_TIME_OPTIONS).alias("value"))
+
+
 def write_events_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines, one message per line (stand-in for a topic when no broker is present)."""
     encode_json(df).write.mode(mode).text(path)

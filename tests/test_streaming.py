@@ -141,3 +141,10 @@ def test_event_encoder_round_trips_microseconds(spark, scratch):
                            T.StructField("v", T.DoubleType())])
     back = S.parse_payload(spark.read.text(f"{scratch}/topic"), schema, keep_payload=False).drop(S.CORRUPT)
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in df.collect()]
+
+
+def test_broker_messages_have_topic_key_and_value(spark):
+    from aurum.sinks.writers import broker_messages
+    df = spark.createDataFrame([(7, "a", 1.5)], "event_id bigint, kind string, v double")
+    (row,) = broker_messages(df, "measures", "event_id").collect()
+    assert (row.topic, row.key, json.loads(row.value)) == ("measures", "7", {"event_id": 7, "kind": "a", "v": 1.5})
