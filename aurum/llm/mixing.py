@@ -3,9 +3,9 @@
 The sources, ordered by code point with null last, get the weights in turn and share ``share`` times the words of all
 documents.  A target stops at ``most`` times its source's size and what is above is shared again by weight (one pass
 over the sources in order of size by weight finds that state).  For each source the documents are counted by exact
-length.  Whole rounds of the source come first; the rest of the budget is filled from the counts: proportionally over
-all lengths, then by longest lengths down to ``DP_BUDGET`` words, then by a bounded-knapsack subset-sum that comes as
-near the target from below as the lengths allow.  Which documents of a length are taken is decided by a seeded hash of
+length.  Whole rounds of the source come first; the rest of the budget is filled from the counts: all but the last
+``DP_BUDGET`` words proportionally over all lengths (what rounding leaves, by longest lengths), and those by a
+bounded-knapsack subset-sum that comes as near the target from below as the remaining documents allow.  Which documents of a length are taken is decided by a seeded hash of
 ``doc_id``: those up to the hash of the last one needed.
 
 Scale: texts are read once to measure them and never shuffled.  The only rows that meet in one task are the per-source
@@ -62,7 +62,7 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_budget:
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
-    taken = np.array([c * budget // total for c in counts.tolist()], np.int64)
+    taken = np.array([c * max(0, budget - dp_budget) // total for c in counts.tolist()], np.int64)
     left = budget - int((taken * lengths).sum())
     for i in np.argsort(-lengths, kind="stable").tolist():
         if left <= dp_budget:

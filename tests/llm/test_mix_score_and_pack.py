@@ -68,14 +68,14 @@ def test_mix_meets_its_targets(spark, monkeypatch, parts, ranges):
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 5), min_size=1, max_size=6), st.integers(0, 200), st.integers(0, 60))
 def test_a_budget_is_met_as_near_as_lengths_allow(items, budget, dp):
     lengths, counts = np.array(list(items), np.int64), np.array(list(items.values()), np.int64)
-    got = mixing.fit_budget(lengths, counts, budget, dp_budget=max(dp, 30))
+    got = mixing.fit_budget(lengths, counts, budget, dp)
     assert (got >= 0).all() and (got <= counts).all()
     total = int((got * lengths).sum())
     sums = {0}
     for n, c in items.items():
         sums = {s + n * k for s in sums for k in range(c + 1)}
     assert total <= budget
-    if dp >= 30 and budget <= 30 or budget >= sum(n * c for n, c in items.items()):
+    if budget <= dp or budget >= max(sums):
         assert total == max(s for s in sums if s <= budget)
 
 
