@@ -48,6 +48,8 @@ NODE = 64
 HEAVY_SHARE = 0.375
 HEAVY_KEYS = 18
 HEAVY_NODE = 256
+#: The same in the second traversal, where every pair of nodes of a key meets.
+MEETING_NODE = 2048
 #: Sets that are compared with one set in one place.
 PLACE = 256
 #: Rows of a broadcast table of the sets to ship.
@@ -81,14 +83,15 @@ def _members(classes: DataFrame) -> DataFrame:
     entries = classes.select(F.col("doc_id").alias("rep"), "n", F.posexplode("keys").alias("rank", "key"))
     counts = staged(classes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c"))
                     .where("c > 1"), "ngram_keys")
-    shared = staged(entries.join(bounded(counts), "key"), "ngram_shared")
+    shared = staged(entries.join(counts, "key"), "ngram_shared")
     hot = shared.where(F.col("c") > NODE)
     heavy = staged(hot.groupBy("rep").agg(F.count(F.lit(1)).alias("h"), F.min("n").alias("n"))
                    .where(F.col("h") > HEAVY_SHARE * F.least("n", F.lit(KEYS))).select("rep"), "ngram_heavy")
     chosen = staged(hot.where(F.col("rank") < HEAVY_KEYS).join(bounded(heavy), "rep", "left_semi")
                     .select("key", "rep", "n"), "ngram_hot")
     n = chosen.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-    split = chosen.join(bounded(staged(n, "ngram_hot_keys")), "key").select("key", "rep", "n", "c", _part("c").alias("part"))
+    split = chosen.join(bounded(staged(n, "ngram_hot_keys")), "key") \
+        .select("key", "rep", "n", "c", _part("c", HEAVY_NODE).alias("part"))
     return staged(shared.where(F.col("c") <= NODE).select("key", "rep", "n", "c", F.lit(-1).cast("long").alias("part"))
                   .unionByName(split), "ngram_members")
 
@@ -98,9 +101,9 @@ def _size_class():
     return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3)) + 1e-9)
 
 
-def _part(count: str):
-    """A node of a frequent key: by size, then by hash."""
-    parts = F.ceil(F.col(count) / F.lit(HEAVY_NODE))
+def _part(count: str, node: int):
+    """A node of a frequent key: by size, then by hash into nodes of about ``node``."""
+    parts = F.ceil(F.col(count) / F.lit(node))
     return _size_class() * F.lit(1 << 32) + F.pmod(F.xxhash64("rep", "key"), parts)
 
 
@@ -263,7 +266,7 @@ def _frequent_pairs(hot: DataFrame, bits: DataFrame) -> DataFrame:
     marked = hot.join(bounded(staged(largest, "ngram_largest")), "key") \
         .withColumn("dom", F.col("component") == F.col("largest")) \
         .withColumn("c", F.when(F.col("dom"), F.col("m")).otherwise(F.col("total") - F.col("m")))
-    nodes = staged(marked.select("key", _part("c").alias("part"), "dom", "rep", "component"), "ngram_hot_nodes")
+    nodes = staged(marked.select("key", _part("c", MEETING_NODE).alias("part"), "dom", "rep", "component"), "ngram_hot_nodes")
     roots = _roots(nodes, bits)
     left, right = roots.select([F.col(c).alias(f"l_{c}") for c in roots.columns]), roots
     near = F.abs(F.shiftright("l_part", 32) - F.shiftright("part", 32)) <= 1
