@@ -79,7 +79,8 @@ def test_ngram_join_is_that_of_all_pairs(spark, monkeypatch, node, heavy_keys):
     """With small nodes nearly every shared key is a frequent one."""
     monkeypatch.setattr(ngram_join, "NODE", node)
     monkeypatch.setattr(ngram_join, "HEAVY_KEYS", heavy_keys)
-    monkeypatch.setattr(ngram_join, "HEAVY_NODE", 4 * node)
+    monkeypatch.setattr(ngram_join, "HEAVY_NODE", node)
+    monkeypatch.setattr(ngram_join, "MEETING_NODE", 2 * node)
     rows = corpus() + EDGES
     df = documents(spark, rows, extra=True).repartition(4)
     got = ngram_join.linked_components(df).collect()
