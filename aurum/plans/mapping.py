@@ -132,6 +132,26 @@ def census_extract(t: dict) -> DataFrame:
     )
 
 
+def broken_metas(t: dict) -> DataFrame:
+    """Indicator rows made from the customers that break every rule of the contract now and then.
+
+    Null, short, long and non-numeric ids, null years, rates above 100, years 2021 to 2032, and a
+    second copy of every tenth row.
+    """
+    padded = pad_id("c_custkey")
+    kind = F.col("c_custkey") % 11
+    rows = t["customer"].select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 13 != 0, (F.lit(2021) + F.col("c_custkey") % 12).cast("int")).alias("ano"),
+        F.concat(F.lit("u"), (F.col("c_custkey") % 5).cast("string")).alias("sigla_uf"),
+        F.when(kind == 1, F.substring(padded, 5, 3)).when(kind == 2, F.concat(F.lit("9"), padded))
+        .when(kind == 3, F.concat(F.lit("x"), F.substring(padded, 2, 6))).when(kind != 0, padded).alias("id_municipio"),
+        F.lit(70.0).alias("meta_alfabetizacao"),
+        (F.col("c_custkey") % 130).cast("double").alias("indicador_alfabetizacao"),
+        (F.lit(500) + F.col("c_custkey") % 300).cast("double").alias("media_proficiencia_saeb"))
+    return rows.unionByName(rows.where(F.col("c_custkey") % 10 == 4)).drop("c_custkey")
+
+
 def state_codes(t: dict) -> DataFrame:
     return t["nation"].select(F.col("n_name").alias("sigla_uf"), F.col("n_nationkey").alias("code"))
 

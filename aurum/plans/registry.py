@@ -35,7 +35,7 @@ from aurum.plans import layers as L
 from aurum.plans import mapping as MP
 from aurum.session import shared_path
 from aurum.sinks.projections import kv_projection
-from aurum.sinks.writers import encode_json, overwrite_partitions, write_bronze, write_table
+from aurum.sinks.writers import JSON_TIME_OPTIONS, encode_json, overwrite_partitions, write_bronze, write_table
 from aurum.sources.catalog import register_external
 from aurum.sources.lineage import as_of_batch, batch_id_of, with_file_lineage, with_lineage
 from aurum.sources.readers import (
@@ -430,6 +430,40 @@ def q_stream_upsert(spark, sf_dir):
     return spark.read.parquet(f"{base}/table").select(*EVENT_COLS)
 
 
+# ---------------------------------------------------------------- inputs that break the rules
+def q_contract_cases(spark, sf_dir):
+    """Rows that break every rule of the contract, with the first rule that each breaks."""
+    return Q.evaluate(MP.broken_metas(_tables(spark, sf_dir)), LITERACY).select(
+        "id_municipio", "sigla_uf", "ano", "indicador_alfabetizacao", Q.REASON)
+
+
+def q_scorecard_cases(spark, sf_dir):
+    return Q.scorecard(MP.broken_metas(_tables(spark, sf_dir)), LITERACY)
+
+
+def q_alert_cases(spark, sf_dir):
+    """The alert that those rows raise."""
+    card = q_scorecard_cases(spark, sf_dir).withColumn("stage", F.lit("contract_cases"))
+    return MT.alerts(card, LITERACY.alert_rate_pct).select("stage", "quarantine_rate_pct", "level", "message")
+
+
+def q_period_cases(spark, sf_dir):
+    """The time dimension over years inside and outside both target periods."""
+    rows = Q.evaluate(MP.broken_metas(_tables(spark, sf_dir)), LITERACY)
+    return G.dim_time(rows.where(F.col(Q.REASON).isNull()))
+
+
+def q_parse_cases(spark, sf_dir):
+    """Messages of which every seventh is cut off: parsed rows, and the reason for those that are malformed."""
+    e = _tables(spark, sf_dir)["events"]
+    text = F.to_json(F.struct(*e.columns), JSON_TIME_OPTIONS)
+    sent = e.select(F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), F.col("event_type"))).otherwise(text)
+                    .alias("value"))
+    parsed = S.parse_payload(sent, EVENTS_SCHEMA)
+    return parsed.select("event_id", "user_id", "event_type", "value", S.malformed_reason().alias(Q.REASON),
+                         F.col(S.CORRUPT).alias("corrupt"))
+
+
 # ---------------------------------------------------------------- documents / vectors / ml
 def q_document_upsert(spark, sf_dir):
     e = _tables(spark, sf_dir)["events"].select(
@@ -535,6 +569,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedupe": q_stream_dedupe,
     "stream_quarantine": q_stream_quarantine,
     "stream_upsert": q_stream_upsert,
+    "contract_cases": q_contract_cases,
+    "scorecard_cases": q_scorecard_cases,
+    "alert_cases": q_alert_cases,
+    "period_cases": q_period_cases,
+    "parse_cases": q_parse_cases,
     "document_upsert": q_document_upsert,
     "vector_insert_if_absent": q_vector_insert_if_absent,
     "vector_top_k": q_vector_top_k,
