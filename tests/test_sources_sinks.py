@@ -169,3 +169,11 @@ def test_no_machine_local_folder_on_a_cluster():
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context))
+
+
+def test_a_callers_limit_is_ordered(spark):
+    from aurum.sources.readers import extract
+    df = spark.range(50).selectExpr("49 - id AS k", "id % 2 AS odd").repartition(4)
+    got = extract(df, {"n": "k"}, where=df["odd"] == 1, order_by=["n"], limit=3)
+    assert [r.n for r in got.collect()] == [0, 2, 4]
+    assert extract(df, {"n": "k"}).count() == 50
