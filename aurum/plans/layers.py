@@ -121,6 +121,11 @@ def _split(spark: SparkSession, flagged: DataFrame, path: str) -> DataFrame:
     return read_declared(spark, path, T.StructType([*flagged.schema.fields, T.StructField("_outcome", T.StringType())]))
 
 
+def _write_quarantine(envelope: DataFrame, root: str, source: str) -> None:
+    """Replace the quarantine partition of one source whole: a rerun without rejects leaves none behind."""
+    write_table(envelope.drop("source"), f"{root}/silver/quarantine/source={source}")
+
+
 def _quarantine(spark: SparkSession, path: str) -> DataFrame:
     return read_declared(spark, path, ENVELOPE_SCHEMA)
 
@@ -147,7 +152,7 @@ def stream_to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERAC
     schema = _write(latest, f"{root}/silver/fato_medicoes_stream", (cfg.group_col,))
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            stream, ["event_id"], cfg.year_col)
-    overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"])
+    _write_quarantine(envelope, root, stream)
     n_in, n_rej = split.count(), split.where(F.col("_outcome") == "quarantine").count()
     return _read(spark, f"{root}/silver/fato_medicoes_stream", schema), n_in, n_rej
 
@@ -172,8 +177,8 @@ def census_to_silver(spark: SparkSession, root: str, cfg: DomainConfig, census:
     split = _split(spark, flagged, f"{root}/silver/_contract_{census}")
     rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
     year = cfg.year_col if cfg.year_col in raw.columns else None
-    overwrite_partitions(to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()), census,
-                                     [cfg.id_col], year), f"{root}/silver/quarantine", ["source"])
+    _write_quarantine(to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()), census,
+                                  [cfg.id_col], year), root, census)
     n_in, n_out = raw.count(), split.count()
     n_rej = split.where(F.col("_outcome") == "quarantine").count()
     return {"census_rows_input": n_in, "census_rows_clean": n_out - n_rej, "census_rows_quarantined": n_rej,
@@ -216,7 +221,7 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
     # partition, so a rerun replaces its rejects instead of appending them again.
     written = concurrently({
         "silver": lambda: _write(silver, f"{root}/silver/fato_metas", (cfg.group_col,)),
-        "quarantine": lambda: overwrite_partitions(envelope, f"{root}/silver/quarantine", ["source"]),
+        "quarantine": lambda: _write_quarantine(envelope, root, metas),
     })
     silver_schema = written["silver"]
     census_counts = census_to_silver(spark, root, cfg, schemas=schemas)

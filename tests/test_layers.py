@@ -212,3 +212,11 @@ def test_incremental_runs_merge_the_stream(spark, scratch):
     assert run.silver.count() == 7
     fact = run.gold["fato_indicador_alfabetizacao"].where("id_municipio = '4106902'").first()
     assert fact.media_proficiencia_saeb == 770.0
+
+
+def test_a_rerun_without_rejects_leaves_none_behind(spark, scratch):
+    src = FX.sources(spark)
+    assert L.run(spark, src, scratch, batch_id="20260830_120000").quarantine.count() == 1
+    good = FX.metas(spark, [r for r in FX.METAS_ROWS if r[4] <= 100.0])
+    again = L.run(spark, dict(src, metas_municipio=good), scratch, batch_id="20260830_120000")
+    assert again.quarantine.count() == 0
