@@ -120,3 +120,20 @@ def test_template_text_drops_out_and_slots_stay(spark):
     assert [got[100 + i].text for i in range(8)] == [f"Head {i}\nPara {i}" for i in range(8)]
     assert (got[200].text, got[201].text, got[202].text) == ("Only page", "", "")
     assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_every_slot_with_own_text_stays_on_pages_without_a_region(spark):
+    """A heading beside the body, lists and sections: siblings of the slot that holds most text."""
+    top = "<html><body><div class=x><p>Welcome to the site</p></div><nav><a>Home</a></nav>"
+    bodies = {"head.org": lambda i: (f"<div class=post><h1>Title {i}</h1><div class=body><p>Long own text {i} of {i * i}</p>"
+                                     f"<p>More {i}</p></div></div>"),
+              "list.org": lambda i: f"<div><p>Intro {i}</p><ul><li>First point {i}<li>Second point {i}</ul><p>End {i}</p></div>",
+              "parts.org": lambda i: "".join(f"<section class=s{'abc'[k]}><h2>H{k} {i}</h2><p>Part {k} of {i}</p></section>"
+                                             for k in range(3))}
+    own = {"head.org": lambda i: [f"Title {i}", f"Long own text {i} of {i * i}", f"More {i}"],
+           "list.org": lambda i: [f"Intro {i}", f"First point {i}", f"Second point {i}", f"End {i}"],
+           "parts.org": lambda i: [t for k in range(3) for t in (f"H{k} {i}", f"Part {k} of {i}")]}
+    rows = [(100 * h + i, f"http://{host}/{i}", f"{top}{body(i)}<p>All rights reserved by us</p></body></html>")
+            for h, (host, body) in enumerate(bodies.items()) for i in range(6)]
+    got = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()}
+    assert got == {100 * h + i: "\n".join(own[host](i)) for h, host in enumerate(bodies) for i in range(6)}
