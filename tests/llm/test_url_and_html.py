@@ -137,3 +137,22 @@ def test_every_slot_with_own_text_stays_on_pages_without_a_region(spark):
             for h, (host, body) in enumerate(bodies.items()) for i in range(6)]
     got = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()}
     assert got == {100 * h + i: "\n".join(own[host](i)) for h, host in enumerate(bodies) for i in range(6)}
+
+
+def test_articles_copied_inside_a_host_are_no_template(spark):
+    def page(host, i, date, story, mark=""):
+        inner = "".join(f"<p>{p}</p>" for p in story)
+        return (i, f"http://{host}/{i}", f"<html><body><div class=x><p>Welcome to the site</p></div><p>Day {date}</p>"
+                f"<div class=story>{mark and f'<{mark}>'}{inner}{mark and f'</{mark}>'}</div><p>All rights reserved by us</p></body></html>")
+
+    story = [f"Paragraph {k} of the story that was copied" for k in range(4)]
+    other = [[f"Other text {i} number {k}" for k in range(4)] for i in range(20)]
+    rows = [page("copies.org", i, 1, story if i < 6 else other[i]) for i in range(10)]  # equal pages
+    rows += [page("near.org", 100 + i, i, story if i < 5 else other[i]) for i in range(8)]  # equal but for the day
+    rows += [page("marked.org", 200 + i, i, story if i < 5 else other[i], "article") for i in range(8)]
+    rows += [page("long.org", 300 + i, 1, story if i < 3 else other[i]) for i in range(5)]  # three distinct pages only
+    got = {r.page_id: r.text.split("\n") for r in html_extract.extract(pages(spark, rows)).collect()}
+    assert all(got[i] == (story if i < 6 else other[i]) for i in range(10))
+    assert all(got[100 + i] == [f"Day {i}", *(story if i < 5 else other[i])] for i in range(8))
+    assert all(got[200 + i] == (story if i < 5 else other[i]) for i in range(8))
+    assert all(set(story if i < 3 else other[i]) <= set(got[300 + i]) for i in range(5))
