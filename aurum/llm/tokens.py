@@ -2,8 +2,9 @@
 
 A byte-level pre-tokenizer starts a new piece at every single space that stands between two other characters, so a
 text can be cut there and each chunk encoded on its own with the same ids.  Chunks repeat, so their ids are kept in a
-dictionary of bounded size; new chunks go through the library's pre-tokenizer and model.  A tokenizer of another kind
-is called on whole texts.  Ids are little-endian unsigned integers of two bytes, or four for larger vocabularies.
+dictionary of bounded size; new chunks go through the library's pre-tokenizer and model.  A text that contains the
+string of an added token (``<|endoftext|>``), and every text of a tokenizer of another kind, is encoded whole by the
+library, with the tokenizer's own defaults.  Ids are little-endian unsigned integers of two bytes, or four for larger vocabularies.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if wide else "<u2")
         self.kind = "I" if wide else "H"
@@ -83,7 +84,7 @@ class Encoder:
         """Packed ids of a text without special tokens; none for null or empty."""
         if not text:
             return b""
-        if not self.by_chunk:
+        if not self.by_chunk or any(token in text for token in self.added):
             return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         parts = text.split(" ") if "  " not in text and text[0] != " " and text[-1] != " " else _CUT.split(text)
         head = self._text(parts[0])

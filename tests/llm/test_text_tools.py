@@ -7,6 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from aurum.llm import shingles, signature_tree as tree
 from aurum.llm.tokens import Encoder
@@ -75,3 +76,10 @@ def test_ids_survive_a_full_cache():
     text = "one two, three one four! five two six. " * 5 + "x" * 300
     for _ in range(2):
         assert small.ids(small.encode(text)).tolist() == small.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_a_text_have_the_ids_of_an_unmodified_tokenizer():
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("hi <|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|>b  c", "one two <|endoftext|", "x <|endoftext|>\n"):
+        assert ENCODER.ids(ENCODER.encode(text)).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert ENCODER.ids(ENCODER.encode("hi <|endoftext|> x")).tolist() == [5303, 220, 50256, 2124]
