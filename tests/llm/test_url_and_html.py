@@ -156,3 +156,22 @@ def test_articles_copied_inside_a_host_are_no_template(spark):
     assert all(got[100 + i] == [f"Day {i}", *(story if i < 5 else other[i])] for i in range(8))
     assert all(got[200 + i] == (story if i < 5 else other[i]) for i in range(8))
     assert all(set(story if i < 3 else other[i]) <= set(got[300 + i]) for i in range(5))
+
+
+LONG = "The article's own text, a good deal longer than all that stands around it on the page."
+
+
+@pytest.mark.parametrize("source, text", [
+    *[(f"<div class='{c}'><div><p>{LONG}</p></div></div><p>x</p>", f"{LONG}\nx") for c in (
+        "wrap has-sidebar", "no-sidebar", "comments-open", "social-share-enabled", "search-results", "related")],
+    *[(f"<nav>n</nav><{e} class='{c}'><p>{LONG}</p></{e}><p>x</p>", LONG) for e in ("article", "main") for c in (
+        "has-sidebar", "comments-open", "search", "related")],
+    (f"<form id=f><div class=menu><article><p>{LONG}</p><div class=share-buttons>Share</div></article></div></form>", LONG),
+    (f"<article><p>{LONG[:40]}</p></article><div class=comments><article>{LONG}</article></div>", LONG[:40]),
+    (f"<main><article>{LONG[:40]}</article><div id=comments><p>{LONG}</p></div></main>", LONG[:40]),
+    (f"<main><div class=related><p>{LONG}</p></div></main>", LONG),
+    (f"<p>{LONG}</p><div class=comments><article>First!</article></div>", f"{LONG}\nFirst!"),
+    (f"<nav>{LONG}</nav><p>short</p><div class='left-sidebar'>s</div><div class='ad-300x250'>a</div>", "short"),
+    (f"<header><h1>site</h1></header><header><article>{LONG}</article></header>", LONG)])
+def test_an_element_that_holds_the_article_is_not_left_out(source, text):
+    assert html_extract.main_text(read(source), frozenset()) == text
