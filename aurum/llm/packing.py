@@ -4,8 +4,8 @@ Documents are encoded where they are read and become slim piece rows; no text an
 more than ``capacity`` ids is cut into full pieces, the first one taking the rest.  Full pieces are sequences as they
 are.  The others are dealt evenly, whatever their keys, to partitions of about ``ITEMS`` rows, and each partition is
 packed on its own: best fit in decreasing order, then a local search among the underfull sequences that moves a piece
-or exchanges one or two pieces for one whenever that raises the sum of squared fills, until sequences run empty, the
-partition's lower bound is reached or no step helps.  A partition of that size loses at most a few sequences to the
+or exchanges one or two pieces for one whenever that raises the sum of squared fills, until the partition's lower bound
+is reached or no step between any two of them helps.  A partition of that size loses at most a few sequences to the
 bound of all rows, so the shard size does not limit the result; memory is bounded by ``ITEMS`` slim rows.
 
 Defined results: a null or empty text is one piece that holds the end id alone.  Null ids and repeated rows are packed
@@ -28,7 +28,7 @@ from aurum.llm.tokens import encoder
 
 CAPACITY = 2048
 ITEMS = 50_000
-#: Sequences that one sweep of the local search looks at; the search stops at the first sweep without a step.
+#: Sequences that one sweep of the local search looks at; after a sweep without a step all underfull ones are searched.
 SWEEP = 400
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -96,7 +96,7 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, swee
             for b in targets:
                 if a != b and fill[a] <= fill[b] < capacity and bins[a]:
                     steps += _step(bins, fill, size, a, b, capacity)
-        if not steps:
+        if not steps and not _search_all(bins, fill, size, under, capacity):
             break
         if empty := [b for b in range(len(bins)) if not bins[b]]:
             for b in reversed(empty):
@@ -104,6 +104,44 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, swee
     return bins
 
 
+def _search_all(bins: list[list[int]], fill: list[int], size: list[int], under: list[int], capacity: int) -> int:
+    """One pass over all underfull bins, each with a partner that a step can fill; no step means that none exists.
+
+    From the fullest bin on: those before a bin are its possible partners, and of these the latest has most room, so
+    for every length of a piece (0: none is taken back) the latest bin with it is enough.
+    """
+    ends = np.zeros(capacity + 1, np.int64)  # by length t: t and the room of the latest bin that has such a piece
+    owner = np.full(capacity + 1, -1, np.int64)
+    steps = 0
+    for a in reversed(under):
+        room, held = capacity - fill[a], [size[i] for i in bins[a]]
+        reach = np.maximum.accumulate(ends)
+        for give in (_singles, _pairs):
+            sums = give(held)
+            sums = sums[sums <= capacity]
+            fits = sums[reach[sums - 1] >= sums]
+            if len(fits):
+                b = int(owner[np.argmax(ends[: int(fits[-1])])])
+                if fill[a] <= fill[b] < capacity and bins[a]:
+                    steps += _step(bins, fill, size, a, b, capacity)
+                break
+        else:  # unchanged, so a partner for those that follow
+            lengths = np.array([0, *held], np.int64)
+            ends[lengths] = lengths + room
+            owner[lengths] = a
+    return steps
+
+
+def _singles(held: list[int]) -> np.ndarray:
+    return np.unique(np.array(held, np.int64))
+
+
+def _pairs(held: list[int]) -> np.ndarray:
+    values = np.array(held, np.int64)
+    first, second = np.triu_indices(len(values), 1)
+    return np.unique(values[first] + values[second])
+
+
 def _step(bins: list[list[int]], fill: list[int], size: list[int], a: int, b: int, capacity: int) -> bool:
     """One best step from bin ``a`` to the fuller bin ``b``: the exchange that fills ``b`` most."""
     room = capacity - fill[b]

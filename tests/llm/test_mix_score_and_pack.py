@@ -198,3 +198,22 @@ def test_local_search_keeps_the_items_and_never_adds_a_bin(sizes):
     assert all(0 < sum(sizes[i] for i in b) <= 20 for b in bins) and len(bins) <= len(worse)
     best = packing.best_fit(lengths, 20)
     assert len(packing.local_search([list(b) for b in best], lengths, 20)) <= len(best)
+
+
+def test_local_search_finds_partners_among_all_underfull_sequences():
+    sizes = [51] * 400 + [99] * 400 + [30] * 18
+    bins = [[i] for i in range(800)] + [[800 + 2 * k, 801 + 2 * k] for k in range(9)]  # the last nine are in the middle
+    found = packing.local_search(bins, np.array(sizes, np.int64), 100)
+    assert sorted(i for b in found for i in b) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in b) <= 100 for b in found) and len(found) < 809
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=40))
+def test_local_search_ends_when_no_step_is_left(sizes):
+    lengths = np.array(sizes, np.int64)
+    bins = packing.local_search([[i] for i in range(len(sizes))], lengths, 20, sweep=1)
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    if len(bins) > -(-sum(sizes) // 20):
+        assert not any(packing._step(bins, fill, sizes, a, b, 20) for a in range(len(bins)) for b in range(len(bins))
+                       if a != b and fill[a] <= fill[b] < 20)
