@@ -5,8 +5,11 @@ documents.  A target stops at ``most`` times its source's size and what is above
 over the sources in order of size by weight finds that state).  For each source the documents are counted by exact
 length.  Whole rounds of the source come first; the rest of the budget is filled from the counts: all but the last
 ``DP_BUDGET`` words proportionally over all lengths (what rounding leaves, by longest lengths), and those by a
-bounded-knapsack subset-sum that comes as near the target from below as the remaining documents allow.  Which documents of a length are taken is decided by a seeded hash of
-``doc_id``: those up to the hash of the last one needed.
+bounded-knapsack subset-sum that comes as near the target from below as the remaining documents allow.  If that does not
+meet the target, as with few long documents, the fill is undone for four times as many words, again and again, until
+the target is met, the knapsack has the whole budget (then nothing comes nearer) or ``DP_MOST`` words (in units of the
+lengths' common divisor).  Which documents of a length are taken is decided by a seeded hash of ``doc_id``: those up to
+the hash of the last one needed.
 
 Scale: texts are read once to measure them and never shuffled.  The only rows that meet in one task are the per-source
 figures (one row a source) and one source's counts by length (one row a distinct length).  Ranks are taken inside hash
@@ -32,6 +35,7 @@ SHARE = 1.5
 MOST = 2
 SEED = 20240229
 DP_BUDGET = 1 << 16
+DP_MOST = 1 << 24
 RANGE = 4096
 PLAN_ROWS = 200_000
 
@@ -62,6 +66,20 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_budget:
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
+    unit = int(np.gcd.reduce(lengths))
+    lengths, budget, best = lengths // unit, budget // unit, None
+    while True:
+        found = _fit_window(lengths, counts, budget, dp_budget)
+        if best is None or (found * lengths).sum() > (best * lengths).sum():
+            best = found
+        if dp_budget >= min(budget, DP_MOST) or int((best * lengths).sum()) == budget:
+            return best
+        dp_budget = min(4 * max(1, dp_budget), DP_MOST)
+
+
+def _fit_window(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_budget: int) -> np.ndarray:
+    """``fit_budget`` with a knapsack over the last ``dp_budget`` words and a proportional and greedy fill before."""
+    total = int((lengths * counts).sum())
     taken = np.array([c * max(0, budget - dp_budget) // total for c in counts.tolist()], np.int64)
     left = budget - int((taken * lengths).sum())
     for i in np.argsort(-lengths, kind="stable").tolist():
@@ -82,7 +100,7 @@ def _subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
         return out
     reached = np.zeros(budget + 1, bool)
     reached[0] = True
-    first = np.full(budget + 1, -1, np.int64)
+    first = np.full(budget + 1, -1, np.int32)
     parcels: list[tuple[int, int]] = []
     for i in usable[np.argsort(-lengths[usable], kind="stable")].tolist():
         left, n = min(int(counts[i]), budget // int(lengths[i])), 1

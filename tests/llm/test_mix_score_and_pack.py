@@ -217,3 +217,11 @@ def test_local_search_ends_when_no_step_is_left(sizes):
     if len(bins) > -(-sum(sizes) // 20):
         assert not any(packing._step(bins, fill, sizes, a, b, 20) for a in range(len(bins)) for b in range(len(bins))
                        if a != b and fill[a] <= fill[b] < 20)
+
+
+@pytest.mark.parametrize("lengths, counts, budget, want", [
+    ([100_000, 70_000, 50_000], [1, 1, 1], 120_000, 120_000),
+    ([300_001, 200_003, 170_000, 90_007], [2, 1, 3, 1], 600_010, 600_007), ([1_000_000, 700_000], [1, 3], 1_500_000, 1_400_000)])
+def test_few_long_documents_meet_the_budget(lengths, counts, budget, want):
+    got = mixing.fit_budget(np.array(lengths, np.int64), np.array(counts, np.int64), budget)
+    assert (got <= counts).all() and int((got * lengths).sum()) == want
