@@ -96,7 +96,8 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, swee
             for b in targets:
                 if a != b and fill[a] <= fill[b] < capacity and bins[a]:
                     steps += _step(bins, fill, size, a, b, capacity)
-        if not steps and not _search_all(bins, fill, size, under, capacity):
+        if not steps and not _search_all(bins, fill, size, under, capacity) and not _search_all(
+                bins, fill, size, sorted(under, key=lambda b: (fill[b], -b)), capacity):  # equal fills the other way round
             break
         if empty := [b for b in range(len(bins)) if not bins[b]]:
             for b in reversed(empty):
@@ -105,7 +106,8 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, swee
 
 
 def _search_all(bins: list[list[int]], fill: list[int], size: list[int], under: list[int], capacity: int) -> int:
-    """One pass over all underfull bins, each with a partner that a step can fill; no step means that none exists.
+    """One pass over all underfull bins, each with a partner that a step can fill; no step in both orders of equal fills
+    means that none exists.
 
     From the fullest bin on: those before a bin are its possible partners, and of these the latest has most room, so
     for every length of a piece (0: none is taken back) the latest bin with it is enough.
