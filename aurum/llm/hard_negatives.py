@@ -152,9 +152,13 @@ def _selected(anchors: DataFrame, rows: DataFrame, dim: int, n_positives: int, k
     head = F.concat(*[_long(F.col("limits")[i]) for i in range(n_positives)], _long(F.col("least")))
     asked = _dealt(anchors.select("vec_id", "label", F.concat(head, _item(dim)).alias("item")),
                    max(4, size // ANCHOR_SHARE), same_label)
-    reach = bounded(staged(data.select("cell", F.col("parts").alias("reach")).distinct(), "negatives_parts"))
-    sent = _blocks(asked, "anchors").join(reach, "cell") \
-        .select("cell", "anchors", F.explode(F.sequence(F.lit(0).cast("long"), F.col("reach") - 1)).alias("part"))
+    asked = _blocks(asked, "anchors")
+    if same_label:
+        reach = data.select("cell", F.col("parts").alias("reach")).distinct()
+        asked = asked.join(bounded(staged(reach, "negatives_parts")), "cell")
+    else:
+        asked = asked.withColumn("reach", F.lit(data.agg(F.max("parts")).first()[0] or 1))
+    sent = asked.select("cell", "anchors", F.explode(F.sequence(F.lit(0).cast("long"), F.col("reach") - 1)).alias("part"))
     found = sent.join(data, ["cell", "part"]) \
         .select(F.explode(_products(dim, n_positives, k, same_label)).alias("f")).select("f.*")
     best = Window.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "vec_id")
