@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm import exact_dedup, hard_negatives, html_extract, mixing, ngram_join, packing, pivot_top_k, token_store, toxicity, url_filter, warc_archive
+from aurum.llm import (byte_bpe, exact_dedup, hard_negatives, html_extract, mixing, ngram_join, packing, pivot_top_k, token_store,
+                       toxicity, url_filter, warc_archive)
 from aurum.session import shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 STORE_END_ID = 2
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/"))
@@ -69,6 +71,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, noisy)
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.verdicts(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_pivot_top_k": op2_pivot_top_k,
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_store": op9_token_store,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 SQL: dict[str, str] = {
