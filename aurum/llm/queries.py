@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm import (byte_bpe, exact_dedup, hard_negatives, html_extract, mixing, ngram_join, packing, pivot_top_k, token_store,
+from aurum.llm import (byte_bpe, conversation_repair, exact_dedup, hard_negatives, html_extract, mixing, ngram_join, packing, pivot_top_k, token_store,
                        toxicity, url_filter, warc_archive)
 from aurum.session import shared_path
 
@@ -75,6 +75,11 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.verdicts(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return conversation_repair.verdicts(conversations, conversation_repair.damaged(conversations))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_pivot_top_k": op2_pivot_top_k,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {
@@ -168,4 +174,77 @@ SQL: dict[str, str] = {
              AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
         SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
     """,
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE kinds AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k,
+                   xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(k) + 1), lambda i: ascii(k[i])::BIGINT)),
+                       lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                           lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END)),
+                       4294967295::BIGINT) % 20 AS kind
+            FROM conversations),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM kinds WHERE kind <> 0),
+        placed AS (
+            SELECT *, left(role, 1) AS initial, row_number() OVER conv AS i, lag(left(role, 1)) OVER conv AS before,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+            FROM damaged WINDOW conv AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+        faulty AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                           WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+            FROM placed),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faulty GROUP BY conv_id),
+        -- cheapest (cost, audit) so far that ends at the start, behind a system row, a user row or an assistant row
+        parse AS (
+            SELECT conv_id, 0::BIGINT AS i, {'c': 0::BIGINT, 'a': ''} AS z, {'c': 1000000000::BIGINT, 'a': ''} AS s,
+                   {'c': 1000000000::BIGINT, 'a': ''} AS u, {'c': 1000000000::BIGINT, 'a': ''} AS t FROM counts
+            UNION ALL
+            SELECT conv_id, i,
+                   {'c': z.c + 4, 'a': z.a || 'D'},
+                   list_min([{'c': s.c + 4, 'a': s.a || 'D'},
+                             {'c': CASE WHEN stays AND initial = 's' THEN z.c + more ELSE 1000000000 END, 'a': z.a || 'K'}]),
+                   list_min([{'c': u.c + 4, 'a': u.a || 'D'}]
+                       || list_transform([z, s, t], lambda p: {'c': CASE WHEN stays AND initial = 'u' THEN p.c + more ELSE 1000000000 END, 'a': p.a || 'K'})
+                       || list_transform([z, s, t], lambda p: {'c': CASE WHEN stays THEN p.c + 3 + more ELSE 1000000000 END, 'a': p.a || 'R'})),
+                   list_min([{'c': t.c + 4, 'a': t.a || 'D'},
+                             {'c': CASE WHEN stays AND initial = 'a' THEN u.c + more ELSE 1000000000 END, 'a': u.a || 'K'},
+                             {'c': CASE WHEN stays THEN u.c + 3 + more ELSE 1000000000 END, 'a': u.a || 'R'}])
+            FROM (SELECT p.conv_id, f.i, f.initial, f.fault NOT IN ('blank', 'duplicate') AS stays,
+                         CASE WHEN f.fault = 'truncated' THEN 3 ELSE 0 END AS more, p.z, p.s,
+                         list_min([p.u] || list_transform([p.z, p.s, p.t], lambda q: {'c': q.c + 3, 'a': q.a || 'I'})) AS u,
+                         list_min([p.t, {'c': p.u.c + 3, 'a': p.u.a || 'I'}]
+                             || list_transform([p.z, p.s], lambda q: {'c': q.c + 6, 'a': q.a || 'II'})) AS t
+                  FROM parse p JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1)),
+        best AS (
+            SELECT conv_id, list_min([z, t, {'c': u.c + 3, 'a': u.a || 'I'}, {'c': s.c + 6, 'a': s.a || 'II'}]) AS b
+            FROM parse QUALIFY i = max(i) OVER (PARTITION BY conv_id)),
+        replay AS (
+            SELECT conv_id, b.a AS audit, 0::BIGINT AS j, 0::BIGINT AS i, '' AS last, '' AS done FROM best
+            UNION ALL
+            SELECT r.conv_id, audit, j + 1, CASE WHEN edit = 'I' THEN r.i ELSE r.i + 1 END,
+                   CASE WHEN edit = 'D' THEN last ELSE left(new_role, 1) END,
+                   CASE WHEN edit = 'D' THEN done ELSE
+                       done || CASE WHEN last = '' THEN '' ELSE chr(10) END || new_role || ':' ||
+                       CASE WHEN edit = 'I' THEN '' ELSE f.text END END
+            FROM (SELECT *, audit[j + 1] AS edit, CASE WHEN last = 'u' THEN 'assistant' ELSE 'user' END AS other
+                  FROM replay WHERE j < len(audit)) r
+            LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i + 1,
+            LATERAL (SELECT CASE WHEN edit = 'K' THEN f.role ELSE other END AS new_role)),
+        repaired AS (SELECT conv_id, sha256(done) AS h FROM replay WHERE j = len(audit))
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0)::BIGINT AS cost,
+               coalesce(b.a, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN best x ON x.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN repaired y ON y.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
 }
