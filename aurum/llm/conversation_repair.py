@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -75,7 +76,7 @@ def _runs(slim: DataFrame) -> DataFrame:
     """Rows with their run and place, and one summary for each run (``rows`` is not null); staged."""
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repairer, run, first = Repairer(), TaskContext.get().partitionId(), True
+        repairer, run, first = _repairer(), TaskContext.get().partitionId(), True
         rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in (
             "conv_key", "turn", "role", "content", "copies", "fault", "seen")), strict=True))
         out: list[dict] = []
@@ -128,8 +129,14 @@ def _run(repairer: Repairer, conv: str, run: int, rows: Iterable[tuple], starts:
                     for s, parse in parses.items() for end in parse.ends()]}
 
 
+@lru_cache(maxsize=1)
+def _repairer() -> Repairer:
+    """One for each worker process: its tables are the same for all conversations."""
+    return Repairer()
+
+
 def _joined(runs: list) -> tuple[int, list[tuple[str, str]]]:
-    return joined(Repairer(), [[tuple(end) for end in run] for run in runs])
+    return joined(_repairer(), [[tuple(end) for end in run] for run in runs])
 
 
 def audits(found: DataFrame) -> DataFrame:
