@@ -1,8 +1,9 @@
 """Token ids of whole texts with the ``tokenizers`` library, for tasks that encode many texts.
 
 A byte-level pre-tokenizer starts a new piece at every single space that stands between two other characters, so a
-text can be cut there and each chunk encoded on its own with the same ids.  Chunks repeat, so their ids are kept in a
-dictionary of bounded size; new chunks go through the library's pre-tokenizer and model.  A text that contains the
+text can be cut there and each chunk encoded on its own with the same ids.  A single line feed between two other
+characters is a piece of its own, so a chunk can be cut around it as well.  Chunks repeat, so their ids are kept in
+dictionaries of bounded size; new chunks go through the library's pre-tokenizer and model.  A text that contains the
 string of an added token (``<|endoftext|>``), and every text of a tokenizer of another kind, is encoded whole by the
 library, with the tokenizer's own defaults.  Ids are little-endian unsigned integers of two bytes, or four for larger vocabularies.
 """
@@ -16,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNKS, PIECES = 200_000, 60_000
+CHUNKS, HEADS, PIECES = 700_000, 100_000, 60_000
 _LONGEST_KEY = 64
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = frozenset(".,;:!?")
@@ -25,6 +26,11 @@ _PRINT = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _ALPHABET = {b: 0x100 + i for i, b in enumerate(sorted(set(range(0x100)) - set(_PRINT)))}
 
 
+def _letters(word: str) -> str:
+    """A word of letters in the byte-level alphabet."""
+    return word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+
+
 class _Cache(dict):
     """Ids by key, filled on demand.  When ``size`` keys are new, only those used since the last time stay."""
 
@@ -63,6 +69,8 @@ class Encoder:
             self.split, self.model = first.pre_tokenize_str, self.tokenizer.model
             self.pieces = _Cache(PIECES, self._piece)
             self.chunks = _Cache(CHUNKS, self._chunk)
+            self.heads = _Cache(HEADS, self._head)
+            self.line_feed = self._text("\n")
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one pre-token in the byte-level alphabet."""
@@ -74,12 +82,23 @@ class Encoder:
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a space and the chunk after it."""
         if chunk.isalpha():
-            letters = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(_ALPHABET)
-            return self._piece("Ġ" + letters)
+            return self._piece("Ġ" + _letters(chunk))
         if chunk[-1:] in _MARKS and chunk[:-1].isalpha():
             return self.chunks[chunk[:-1]] + self.pieces[chunk[-1]]
+        if "\n" in chunk:
+            lines = chunk.split("\n")
+            if all(lines) and len(lines) == len(chunk.split()):  # single line feeds, no other white space
+                return self.chunks[lines[0]] + b"".join([self.line_feed + self.heads[x] for x in lines[1:]])
         return self._text(" " + chunk)
 
+    def _head(self, chunk: str) -> bytes:
+        """Ids of a chunk without a space before it."""
+        if chunk.isalpha():
+            return self._piece(_letters(chunk))
+        if chunk[-1:] in _MARKS and chunk[:-1].isalpha():
+            return self.heads[chunk[:-1]] + self.pieces[chunk[-1]]
+        return self._text(chunk)
+
     def encode(self, text: str | None) -> bytes:
         """Packed ids of a text without special tokens; none for null or empty."""
         if not text:
