@@ -1,7 +1,7 @@
 """Token-id files: every document compressed on its own with one shared zstandard dictionary.
 
-``write`` sorts the documents by ``doc_id`` over the cluster (range partitioning), encodes each partition in order
-and writes blocks.  A block is a row of the table ``blocks``: the concatenated frames of consecutive documents
+``write`` encodes and compresses every document where it is read, then sorts the frames by ``doc_id`` over the cluster
+(range partitioning; no text is shuffled, shards hold about ``SHARD_BYTES``) and writes blocks.  A block is a row of the table ``blocks``: the concatenated frames of consecutive documents
 (``data``) and its offset index (``doc_ids``, ``ends``, ``counts``: the end byte and the number of ids of each
 frame), the SHA-256 of the dictionary, and its place (``shard``, ``block``).  The index columns can be read without
 the data column, and one short document costs one block row, one slice and one frame.  The table ``dictionary`` holds
@@ -29,12 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aurum.llm.common import staged
 from aurum.llm.tokens import encoder
 
 DICTIONARY_DOCS = 2_000
 DICTIONARY_IDS = 8_192
 DICTIONARY_BYTES = 112_640
 BLOCK_BYTES = 1 << 20
+SHARD_BYTES = 1 << 26
 LEVEL = 3
 
 _BLOCK = ("shard int, block int, n_docs int, n_ids long, doc_ids array<long>, ends array<long>, counts array<long>, "
@@ -83,8 +85,23 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
                           "sha256 string, dictionary binary, tokenizer string, end_id int") \
         .write.parquet(f"{path}/dictionary")
 
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, press = encoder(tokenizer), _compressor(dictionary)
+        for batch in batches:
+            start, counts, frames, size = 0, [], [], 0
+            for at, text in enumerate(batch.column(1), 1):
+                packed = _packed(enc, text.as_py(), end_id)
+                counts.append(len(packed) // enc.dtype.itemsize)
+                frames.append(press.compress(packed))
+                size += len(frames[-1])
+                if size >= BLOCK_BYTES or at == len(batch):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(start, at - start), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())],
+                        names=["doc_id", "n_ids", "frame"])
+                    start, counts, frames, size = at, [], [], 0
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, press, shard, block = encoder(tokenizer), _compressor(dictionary), TaskContext.get().partitionId(), 0
+        shard, block = TaskContext.get().partitionId(), 0
         ids, ends, counts, frames, size = [], [], [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -96,9 +113,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
                 names=["shard", "block", "n_docs", "n_ids", "doc_ids", "ends", "counts", "dictionary_sha256", "data"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                packed = _packed(enc, text.as_py(), end_id)
-                frame = press.compress(packed)
+            for doc_id, count, frame in zip(batch.column("doc_id").to_pylist(), batch.column("n_ids").to_pylist(),
+                                            batch.column("frame"), strict=True):
+                frame = frame.as_py()
                 if frames and size + len(frame) > BLOCK_BYTES:
                     yield row()
                     block += 1
@@ -107,14 +124,18 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
                 frames.append(frame)
                 ids.append(doc_id)
                 ends.append(size)
-                counts.append(len(packed) // enc.dtype.itemsize)
+                counts.append(count)
         if frames:
             yield row()
 
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = F.col("doc_id").asc_nulls_last()
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .repartitionByRange(shards, order).sortWithinPartitions(order)
+    # texts are encoded and compressed where they are read; ``place`` tells rows of one id apart, so they can be split
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .mapInArrow(compress, "doc_id long, n_ids long, frame binary").withColumn("place", F.monotonically_increasing_id())
+    packed = staged(packed, "token_frames", codec="uncompressed")
+    held = packed.agg(F.sum(F.length("frame"))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // SHARD_BYTES))
+    order = F.col("doc_id").asc_nulls_last(), F.col("place").asc()
+    ordered = packed.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     ordered.mapInArrow(blocks, _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
