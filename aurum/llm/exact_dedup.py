@@ -9,7 +9,8 @@ of a slim row, so the result is exact for any filter size.
 
 Scale: pass one shuffles a partially aggregated ``(cell, count)`` per distinct text of a task, never the text.  The
 filter has about ten bits for each repeated cell and is broadcast while its counted rows fit a stated bound; beyond
-it the same test runs as a shuffle join of slim rows.  A text that a third of all rows share is aggregated before
+it the same test runs as a shuffle join, in ``verdicts`` of slim rows (ids and hashes), in ``deduplicate`` of whole rows,
+which it has to return.  A text that a third of all rows share is aggregated before
 its shuffle, and its group's figures are staged, so that the join which returns them to its rows is one that adaptive
 execution can split.
 
@@ -31,8 +32,8 @@ KEYS_PER_WORD = 6
 MASK_BITS = 3
 
 
-def _cell(text: Column, cells: int) -> Column:
-    return F.xxhash64(text).bitwiseAND(F.lit(cells - 1))
+def _cell(text_hash: Column, cells: int) -> Column:
+    return text_hash.bitwiseAND(F.lit(cells - 1))
 
 
 def _word(cell: Column, words: int) -> Column:
@@ -58,9 +59,9 @@ class BloomFilter:
     def __init__(self, table: DataFrame, cells: int, words: int, broadcast_rows: int) -> None:
         self.table, self.cells, self.words, self.broadcast_rows = table, cells, words, broadcast_rows
 
-    def test(self, rows: DataFrame, text: Column, flag: str) -> DataFrame:
-        """``rows`` with the boolean column ``flag``: false only if the text occurs once in the fitted table."""
-        cell = _cell(text, self.cells)
+    def test(self, rows: DataFrame, text_hash: Column, flag: str) -> DataFrame:
+        """``rows`` with the boolean column ``flag``: false only if the text of this ``xxhash64`` occurs once in the fitted table."""
+        cell = _cell(text_hash, self.cells)
         word, mask = unused(rows, "bloom_word"), unused(rows, "bloom_mask")
         table = bounded(self.table.toDF(word, mask), self.broadcast_rows)
         need = unused(rows, "bloom_need")
@@ -73,7 +74,7 @@ def fit(docs: DataFrame, text: Column, broadcast_rows: int = BROADCAST_ROWS) ->
     """First pass: count cells over every row and build the filter of the cells that more than one row hits."""
     cells = _power_of_two(CELLS_PER_ROW * docs.count())
     repeated = staged(
-        docs.select(_cell(text, cells).alias("cell")).groupBy("cell").count().where("count > 1").select("cell"),
+        docs.select(_cell(F.xxhash64(text), cells).alias("cell")).groupBy("cell").count().where("count > 1").select("cell"),
         "bloom_cells")
     words = _power_of_two(repeated.count() // KEYS_PER_WORD)
     table = staged(
@@ -90,9 +91,9 @@ def verdicts(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     body = _text(docs)
     bloom = fit(docs, body, broadcast_rows)
-    slim = bloom.test(docs.select("doc_id", body.alias("text")), F.col("text"), "maybe").select(
-        "doc_id", "maybe", F.sha2("text", 256).alias("text_sha256"))
-    slim = staged(slim, "dedup_hashes")
+    # hashed before the test: where the filter is too large to broadcast, only these slim rows are shuffled
+    hashed = docs.select("doc_id", F.xxhash64(body).alias("hash"), F.sha2(body, 256).alias("text_sha256"))
+    slim = staged(bloom.test(hashed, F.col("hash"), "maybe").select("doc_id", "maybe", "text_sha256"), "dedup_hashes")
     once = slim.where("not maybe").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
@@ -109,7 +110,7 @@ def deduplicate(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFr
     body = _text(docs)
     bloom = fit(docs, body, broadcast_rows)
     flag, digest, keep = (unused(docs, x) for x in ("maybe", "digest", "keep"))
-    tested = bloom.test(docs, body, flag)
+    tested = bloom.test(docs, F.xxhash64(body), flag)
     once = tested.where(~F.col(flag)).select(*docs.columns)
     maybe = tested.where(flag).drop(flag).withColumn(digest, F.sha2(body, 256))
     groups = staged(maybe.groupBy(digest).agg(F.max("doc_id").alias(keep)), "dedup_groups")

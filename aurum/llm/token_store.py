@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aurum.llm.common import staged
+from aurum.llm.common import bounded, staged
 from aurum.llm.tokens import encoder
 
 DICTIONARY_DOCS = 2_000
@@ -160,7 +160,8 @@ def _starts(blocks: DataFrame) -> DataFrame:
 def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """Every document from the files: ``doc_id, start, n_tokens, ids_crc32`` and, if asked for, ``ids array<int>``."""
     blocks, dictionary, digest = _opened(spark, path)
-    wide = blocks.join(_starts(blocks), ["shard", "block"]) \
+    starts = bounded(staged(_starts(blocks), "token_starts"))  # one slim row a block
+    wide = blocks.join(starts, ["shard", "block"]) \
         .select("first", "doc_ids", "ends", "counts", "dictionary_sha256", "data")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 

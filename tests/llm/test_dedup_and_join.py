@@ -113,3 +113,21 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{100 + i: 100 for i in range(20)}, 298: 298, 299: 298, 300: 298}
     assert components(df.limit(0)).count() == 0
+
+
+def test_a_filter_too_large_to_broadcast_shuffles_no_text(spark):
+    from pyspark.sql import functions as F
+    docs = documents(spark, [(i, f"text {i % 300}") for i in range(900)])
+    body = F.coalesce(F.col("text"), F.lit(""))
+    bloom = exact_dedup.fit(docs, body, broadcast_rows=0)
+    hashed = docs.select("doc_id", F.xxhash64(body).alias("hash"), F.sha2(body, 256).alias("text_sha256"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = bloom.test(hashed, F.col("hash"), "maybe")._jdf.queryExecution().executedPlan().toString()
+        got = exact_dedup.verdicts(docs, broadcast_rows=0).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" in plan
+    shuffled = plan[plan.index("Exchange hashpartitioning"):].split("\n")[1]   # the projection below the exchange
+    assert "sha2(" in shuffled                               # the text ends there
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in got} == {(i, 600 + i % 300, 3) for i in range(900)}
