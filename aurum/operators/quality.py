@@ -111,6 +111,32 @@ def scorecard(df: DataFrame, cfg: DomainConfig = LITERACY, keys=None) -> DataFra
                           F.coalesce(pct("rows_quarantined", "rows_input"), F.lit(0.0)))
 
 
+def six_dimensions(df: DataFrame, codes: DataFrame, code_expr: Column, event_ts, write_ts, cfg: DomainConfig = LITERACY,
+                   keys=None, code_col: str = "code", late_after_s: int = 3600, max_codes: int = 10_000) -> DataFrame:
+    """One row: rows that break completeness, accuracy, validity, uniqueness, consistency and timeliness, and their shares.
+
+    Consistency compares the code inside the id (``code_expr``) with the group's code in ``codes``, joined as a
+    broadcast once its size is checked; timeliness compares event and write time; a row whose code or lag is unknown
+    breaks the rule.  All six come out of one aggregation by key and one over the keys.
+    """
+    keys = list(keys or cfg.key_cols)
+    table = codes.select(F.col(cfg.group_col), F.col(code_col).alias("_expected"))
+    joined = df.join(maybe_broadcast(table, max_codes), cfg.group_col, "left")
+    flags = {**violation_flags(cfg),
+             "consistency": ~R.total(code_expr == F.col("_expected")),
+             "timeliness": ~R.total(lag_seconds(event_ts, write_ts) <= late_after_s)}
+    per_key = joined.select(*keys, *[f.cast("int").alias(n) for n, f in flags.items()]) \
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(n).alias(n) for n in flags])
+    repeated = F.when(R.completeness(cols=keys), F.col("_n") - 1).otherwise(0)
+    out = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_input"),
+                      *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(f"{n}_violations") for n in flags],
+                      F.coalesce(F.sum(repeated), F.lit(0)).cast("bigint").alias("uniqueness_violations"))
+    names = ("completeness", "accuracy", "validity", "uniqueness", "consistency", "timeliness")
+    return out.select("rows_input", *[f"{n}_violations" for n in names],
+                      *[(F.lit(100.0) - F.coalesce(pct(f"{n}_violations", "rows_input"), F.lit(0.0))).alias(f"{n}_pct")
+                        for n in names])
+
+
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Keys that occur more than once, with their count (uniqueness check)."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))

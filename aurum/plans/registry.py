@@ -53,6 +53,10 @@ EVENT_VALUE_RANGE = (0.0, 300.0)
 LATE_AFTER_S = 43_200
 STAGE_COSTS = [(C.STAGE_INGEST, 0.40), (C.STAGE_SILVER, 0.25), (C.STAGE_GOLD, 0.15)]
 TOP_K = 5
+LABEL_FROM = 5
+DIMENSION_LATE_S = 3600
+CLUSTER_CENTRES = ((20.0, 50.0, -60.0), (45.0, 60.0, -20.0), (55.0, 45.0, 20.0), (70.0, 70.0, 60.0))
+RISK_COEFFICIENTS, RISK_INTERCEPT = (0.03, -0.01, 0.002), -1.5
 # -----------------------------------------------------------------------------
 
 EVENTS_SCHEMA = T.StructType([
@@ -339,6 +343,14 @@ def q_group_rank_and_mean(spark, sf_dir):
     return A.group_rank_and_mean(_gold(spark, sf_dir, "fato_indicador_alfabetizacao"))
 
 
+def q_target_rollup(spark, sf_dir):
+    return A.target_rollup(_gold(spark, sf_dir, "fato_metas_vs_resultado"), _gold(spark, sf_dir, "dim_uf"))
+
+
+def q_distinct_entities(spark, sf_dir):
+    return A.distinct_entities(_gold(spark, sf_dir, "fato_indicador_alfabetizacao"), ["sigla_uf"])
+
+
 def q_kv_projection(spark, sf_dir):
     return kv_projection(_gold(spark, sf_dir, "fato_metas_vs_resultado"))
 
@@ -464,6 +476,24 @@ def q_parse_cases(spark, sf_dir):
                          F.col(S.CORRUPT).alias("corrupt"))
 
 
+def q_distinct_entities_cases(spark, sf_dir):
+    """Distinct ids a year over ids of every form: seven digits, short, long, with a letter, null."""
+    return A.distinct_entities(MP.broken_metas(_tables(spark, sf_dir)), ["ano"])
+
+
+def q_scorecard_dimensions(spark, sf_dir):
+    """Six dimensions over rows that break each; a row lands as many minutes after its measurement as its score is above 500."""
+    t = _tables(spark, sf_dir)
+    codes = t["customer"].select(F.concat(F.lit("u"), (F.col("c_custkey") % 5).cast("string")).alias("sigla_uf"),
+                                 (F.col("c_custkey") % 5).cast("int").alias("code")).distinct()
+    rows = MP.broken_metas(t)
+    measured = F.make_timestamp_ntz(F.col("ano"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
+    minutes = (F.col("media_proficiencia_saeb") - 500).cast("int")
+    rows = rows.withColumn("measured_at", measured).withColumn("landed_at", F.col("measured_at") + F.make_dt_interval(mins=minutes))
+    code = F.substring("id_municipio", 7, 1).try_cast("int") % 5
+    return Q.six_dimensions(rows, codes, code, "measured_at", "landed_at", late_after_s=DIMENSION_LATE_S)
+
+
 # ---------------------------------------------------------------- documents / vectors / ml
 def q_document_upsert(spark, sf_dir):
     e = _tables(spark, sf_dir)["events"].select(
@@ -510,6 +540,36 @@ def q_vector_top_k_filtered(spark, sf_dir):
     return res.withColumn("score", round_half_up("score", 6))
 
 
+def _hundredths(emb: DataFrame) -> DataFrame:
+    """The stated query set: every vector whose id is divisible by 100."""
+    return emb.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+
+
+def q_vector_neighbours(spark, sf_dir):
+    """The nearest rows of every hundredth vector, among all rows."""
+    emb = _tables(spark, sf_dir)["embeddings"]
+    return V.top_k(emb, _hundredths(emb), k=TOP_K, exclude_self=True).withColumn("score", round_half_up("score", 6))
+
+
+def q_vector_neighbours_by_label(spark, sf_dir):
+    """The same among the rows of some labels (retrieval filtered by an attribute)."""
+    emb = _tables(spark, sf_dir)["embeddings"]
+    res = V.top_k(emb, _hundredths(emb), k=TOP_K, exclude_self=True, filter_expr=F.col("label") >= LABEL_FROM, metric="l2")
+    return res.withColumn("score", round_half_up("score", 6))
+
+
+def q_risk_scores(spark, sf_dir):
+    """Risk under given coefficients."""
+    scored = ML.score_risk(q_feature_table(spark, sf_dir), RISK_COEFFICIENTS, RISK_INTERCEPT)
+    return scored.select("id_municipio", "ano", "risk", "prediction")
+
+
+def q_cluster_assignment(spark, sf_dir):
+    """The nearest of given centres."""
+    rows = ML.assign_clusters(q_feature_table(spark, sf_dir), CLUSTER_CENTRES, ML.FEATURES[1:])
+    return rows.select("id_municipio", "ano", "cluster")
+
+
 def q_feature_table(spark, sf_dir):
     """The model's features of every entity and year, with the label."""
     return ML.feature_table(_gold(spark, sf_dir, "fato_indicador_alfabetizacao"),
@@ -578,6 +638,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vector_insert_if_absent": q_vector_insert_if_absent,
     "vector_top_k": q_vector_top_k,
     "vector_top_k_filtered": q_vector_top_k_filtered,
+    "vector_neighbours": q_vector_neighbours,
+    "vector_neighbours_by_label": q_vector_neighbours_by_label,
+    "target_rollup": q_target_rollup,
+    "distinct_entities": q_distinct_entities,
+    "distinct_entities_cases": q_distinct_entities_cases,
+    "scorecard_dimensions": q_scorecard_dimensions,
+    "risk_scores": q_risk_scores,
+    "cluster_assignment": q_cluster_assignment,
     "feature_table": q_feature_table,
     "risk_model": q_risk_model,
     "feature_clusters": q_feature_clusters,

@@ -18,7 +18,7 @@ def plans(spark):
     from aurum.plans.registry import QUERIES
     out = {}
     for name, fn in QUERIES.items():
-        if name == "feature_clusters":   # a fitted model, not one plan
+        if name in ("feature_clusters", "risk_model"):   # fitted models, not one plan
             continue
         df = fn(spark, SF)
         df.write.format("noop").mode("overwrite").save()   # final (adaptive) plan
@@ -27,7 +27,7 @@ def plans(spark):
 
 
 # the vector search scores pairs of blocks with one matrix product by design (see operators.vectors)
-PYTHON_BY_DESIGN = {q: ("BatchEvalPython", "PythonUDF") for q in ("vector_top_k", "vector_top_k_filtered")}
+PYTHON_BY_DESIGN = {q: ("BatchEvalPython", "PythonUDF") for q in ("vector_top_k", "vector_top_k_filtered", "vector_neighbours", "vector_neighbours_by_label")}
 
 
 def test_no_cross_joins_and_no_python_in_any_plan(plans):
