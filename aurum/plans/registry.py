@@ -417,9 +417,9 @@ def q_stream_parse_events(spark, sf_dir):
 def q_stream_dedupe(spark, sf_dir):
     msgs = _events_to_files(spark, sf_dir, "stream_dedupe", copies=2)
     base = shared_path(spark, "queries", "stream_dedupe")
-    S.run_available(_stream(spark, msgs), f"{base}/_checkpoint",
-                    S.first_delivery_writer(f"{base}/events", f"{base}/quarantine", ["event_id"]))
-    return spark.read.parquet(f"{base}/events").select(*EVENT_COLS)
+    stream = _stream(spark, msgs)
+    S.run_first_deliveries(stream, ["event_id"], f"{base}/events", f"{base}/_checkpoint")
+    return S.delivered(spark, f"{base}/events", stream.schema)[0].select(*EVENT_COLS)
 
 
 def q_stream_quarantine(spark, sf_dir):

@@ -8,11 +8,13 @@ its checkpoint and a re-run of an epoch replaces that epoch's output.
 
 from __future__ import annotations
 
+import time
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from aurum import config as C
 from aurum.operators.dedupe import latest_per_key
@@ -174,6 +176,109 @@ def first_delivery_writer(table: str, quarantine: str, keys, fmt: str = "parquet
     return write
 
 
+#: Keys of de-duplication live on the executors' disks and are saved as changes, so state may outgrow memory.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def first_deliveries(df: DataFrame, keys) -> DataFrame:
+    """The first delivery of every key, however late the others come; rows without a whole key pass unchanged.
+
+    The keys seen are the stream's state: a micro-batch looks up its own keys there and never reads the stored table, so
+    its cost follows the batch.  State holds keys only (a random one for each row without a whole key, so that the
+    source is read once for both kinds), for the stream's whole life; where keys may be forgotten,
+    ``dedupe_within_watermark`` bounds it.  Of copies inside one micro-batch, one stays.
+    """
+    apart = F.when(~_whole(keys), F.expr("uuid()"))
+    return df.withColumn("_apart", apart).dropDuplicates([*keys, "_apart"]).drop("_apart")
+
+
+def _whole(keys) -> Column:
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    return whole
+
+
+def run_first_deliveries(df: DataFrame, keys, table: str, checkpoint: str, fmt: str = "parquet") -> None:
+    """Run ``first_deliveries`` over everything available now, into ``table``; then stop.
+
+    One write an epoch: ``_outcome=clean`` holds the first deliveries, ``_outcome=quarantine`` rows without a whole key.  A
+    replayed epoch starts from the same state and replaces its partitions.
+    """
+    spark = df.sparkSession
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        (batch.withColumn("_outcome", F.when(_whole(keys), "clean").otherwise("quarantine"))
+              .withColumn("_epoch", F.lit(epoch_id).cast("long"))
+              .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("_outcome", "_epoch").save(table))
+
+    run_available(first_deliveries(df, keys), checkpoint, write)
+
+
+def delivered(spark: SparkSession, table: str, schema: T.StructType, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """First deliveries and rows without a whole key, as ``run_first_deliveries`` wrote them; either may be empty."""
+    stored = read_declared(spark, table, T.StructType([*schema.fields, T.StructField("_outcome", T.StringType()),
+                                                       T.StructField("_epoch", T.LongType())]), fmt)
+    clean = stored.where(F.col("_outcome") == "clean").drop("_outcome")
+    rejected = stored.where(F.col("_outcome") == "quarantine").drop("_outcome")
+    return clean, rejected.withColumn("rejection_reason", F.lit(C.REASON_COMPLETENESS))
+
+
+class BatchMetrics(StreamingQueryListener):
+    """One metric record for every micro-batch of the session's streams, handed to ``sink`` as it ends.
+
+    ``spark.streams.addListener(BatchMetrics(sink))``; idle triggers without input give no record.
+    """
+
+    def __init__(self, sink: Callable[[dict], None]) -> None:
+        self.sink = sink
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.numInputRows:
+            self.sink({"stage": p.name or "stream", "query_id": str(p.id), "batch_id": str(p.batchId),
+                       "rows_input": p.numInputRows, "state_rows": sum(s.numRowsTotal for s in p.stateOperators),
+                       "latency_seconds": p.batchDuration / 1000.0, "status": "SUCCESS", "timestamp": p.timestamp})
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.sink({"stage": "stream", "query_id": str(event.id), "batch_id": None, "rows_input": 0, "state_rows": 0,
+                       "latency_seconds": 0.0, "status": "ERROR", "timestamp": None, "error": event.exception.splitlines()[0]})
+
+
+def run_until_idle(start: Callable[[], object], idle_seconds: float = 5.0, poll_seconds: float = 0.2):
+    """Start a continuous query (a processing-time trigger) and stop it once it has been idle for ``idle_seconds``.
+
+    The stop waits for the running micro-batch, so none is cut short; returns the stopped query.
+    """
+    query = start()
+    idle_since = None
+    while query.isActive:
+        status = query.status
+        busy = status["isDataAvailable"] or status["isTriggerActive"]
+        now = time.monotonic()
+        idle_since = None if busy else idle_since or now
+        if idle_since is not None and now - idle_since >= idle_seconds:
+            break
+        query.awaitTermination(poll_seconds)
+    query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return query
+
+
 def run_available(df: DataFrame, checkpoint: str, batch_fn: Callable[[DataFrame, int], None]) -> None:
     """Run a ``foreachBatch`` query over everything available now, then stop."""
     q = (df.writeStream.option("checkpointLocation", checkpoint)
