@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.operators.dedupe import latest_per_key
+from aurum.operators.dedupe import latest_delivery, latest_per_key
 from aurum.sources.readers import no_table, read_declared
 
 
@@ -88,7 +88,7 @@ def _stored(spark, table: str, fmt: str) -> DataFrame | None:
 
 
 def merge_into_buckets(incoming: DataFrame, table: str, keys, order_cols, buckets: int = 64,
-                       fmt: str = "parquet") -> int:
+                       fmt: str = "parquet", deliveries: str | None = None) -> int:
     """Keyed merge of ``incoming`` into a table partitioned by ``_bucket`` (hash of the key).
 
     Only the buckets the incoming keys fall in are read, merged (latest row
@@ -100,6 +100,9 @@ def merge_into_buckets(incoming: DataFrame, table: str, keys, order_cols, bucket
     ``<table>_staging``, so no write overwrites files its own plan reads, then
     swapped in by dynamic partition overwrite.  Re-running the same merge
     gives the same table (idempotent).  Returns the number of touched buckets.
+
+    With ``deliveries`` (a column that names a row's delivery) a key may have several rows: those of its latest
+    delivery stay, and rows of a delivery that is merged again are replaced by its new ones.
     """
     spark = incoming.sparkSession
     buckets = _table_buckets(spark, table, buckets)
@@ -111,7 +114,13 @@ def merge_into_buckets(incoming: DataFrame, table: str, keys, order_cols, bucket
     if not touched:
         return 0
     stored = _stored(spark, table, fmt)
-    if stored is None:
+    if deliveries:
+        if stored is not None:
+            again = change.select(deliveries).distinct()  # one delivery, as a rule
+            kept = stored.where(F.col("_bucket").isin(touched)).join(F.broadcast(again), deliveries, "left_anti")
+            change = kept.select(*change.columns).unionByName(change)
+        merged = latest_delivery(change, keys, order_cols)
+    elif stored is None:
         merged = latest_per_key(change, keys, order_cols)
     else:
         merged = upsert(stored.where(F.col("_bucket").isin(touched)), change, keys, order_cols)

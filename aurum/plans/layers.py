@@ -22,13 +22,16 @@ from aurum.functions import rules as R
 from aurum.operators import gold as G
 from aurum.operators.dedupe import latest_delivery, latest_per_key, order_column
 from aurum.operators.joins import join_directory
-from aurum.operators.merge import ENVELOPE_SCHEMA, merge_into_buckets, merge_measurements, to_envelope
+from aurum.operators.merge import (
+    ENVELOPE_SCHEMA, bucket_of, merge_into_buckets, merge_measurements, to_envelope, union_envelopes,
+)
 from aurum.operators.metrics import StageRun, quarantine_rate
 from aurum.functions.normalize import normalize
 from aurum.operators.quality import REASON, evaluate
 from aurum.sinks.writers import overwrite_partitions, write_bronze, write_split, write_table
 from aurum.sources.lineage import make_batch_id, with_lineage
 from aurum.sources.readers import read_bronze, read_declared
+from aurum.streaming.events import run_available
 
 #: Sources without which a run stops.
 REQUIRED = ("metas_municipio",)
@@ -162,6 +165,48 @@ def _measurements(latest: DataFrame, cfg: DomainConfig) -> DataFrame:
     return latest.select(*[c for c in latest.columns if c in wanted])
 
 
+def _merge_measured(fact: DataFrame, updates: DataFrame, table: str, cfg: DomainConfig, buckets: int) -> None:
+    """Stream measurements into the stored fact rows of their keys; only the buckets of those keys are read."""
+    keys = list(cfg.key_cols)
+    touched = [r[0] for r in updates.select(bucket_of(keys, buckets)).distinct().collect()]  # at most `buckets` ids
+    stored = fact.where(F.col("_bucket").isin(touched)).drop("_bucket").join(updates.select(*keys), keys, "left_semi")
+    merge_into_buckets(merge_measurements(stored, _measurements(updates, cfg), keys, list(STREAM_MEASURES), cfg.ingest_ts_col),
+                       table, keys, [cfg.ingest_ts_col, "_batch_id"], buckets)
+
+
+def stream_changes(spark: SparkSession, root: str, cfg: DomainConfig, stream: str, on_updates, buckets: int = 64) -> dict:
+    """The bronze stream's new files through the contract, micro-batch by micro-batch.
+
+    A checkpointed stream over the bronze files hands each file over once, however many runs there are.  A micro-batch's
+    contract split and quarantine are written per epoch (a replayed epoch replaces them), its latest rows are merged
+    into the key-bucketed ``silver/<stream>_inc`` and handed to ``on_updates``, which must be idempotent.
+    """
+    path, keys = f"{root}/bronze/{stream}", list(cfg.key_cols)
+    table = f"{root}/silver/{stream}_inc"
+    bronze = read_bronze(spark, path, merge_schema=False)
+    out = {"rows": 0, "rejected": 0, "years": set(), "table": table}
+    if bronze is None:
+        return out
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        split = _split(session, evaluate(batch, cfg), f"{root}/silver/_contract_stream_inc/_epoch={epoch}")
+        clean = split.where(F.col("_outcome") == "clean").drop("_outcome", REASON, "_corrupt_record", "_payload")
+        rejects = split.where(F.col("_outcome") == "quarantine").drop("_outcome")
+        envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()), stream, ["event_id"], cfg.year_col)
+        write_table(envelope, f"{root}/silver/quarantine_inc/_batch_id={stream}_{epoch}", "overwrite", ["source"])
+        order = [c for c in (cfg.ingest_ts_col, "timestamp_medicao", "event_id") if c in clean.columns]
+        updates = _read(session, f"{root}/silver/_stream_updates", _write(latest_per_key(clean, keys, order), f"{root}/silver/_stream_updates"))
+        out["rows"] += split.count()
+        out["rejected"] += rejects.count()
+        if merge_into_buckets(updates, table, keys, order, buckets):
+            out["years"] |= {r[0] for r in updates.select(cfg.year_col).distinct().collect()}
+            on_updates(updates)
+
+    run_available(spark.readStream.schema(bronze.schema).parquet(path), f"{root}/silver/_stream_checkpoint", merge)
+    return out
+
+
 CENSUS_KEYS = ("id_escola",)
 
 
@@ -185,6 +230,32 @@ def census_to_silver(spark: SparkSession, root: str, cfg: DomainConfig, census:
             "census_rows_duplicate": n_in - n_out}
 
 
+def census_changes(spark: SparkSession, root: str, batch_id: str, cfg: DomainConfig, census: str = "censo_escolar",
+                   buckets: int = 64, schemas: dict | None = None) -> tuple[dict, DataFrame | None]:
+    """One batch of the census into the key-bucketed ``silver/<census>_inc``; its counts and its rejects' envelope.
+
+    Judged rows are merged whatever their outcome, as a later delivery replaces an earlier one even if it breaks the contract.
+    """
+    raw = read_bronze(spark, f"{root}/bronze/{census}", schema=(schemas or {}).get(census))
+    if raw is None:
+        return {}, None
+    raw = raw.where(F.col("_batch_id") == batch_id)
+    keys = [k for k in (*CENSUS_KEYS, cfg.id_col, cfg.year_col) if k in raw.columns]
+    order = [cfg.ingest_ts_col, "_batch_id"]
+    normal = normalize(latest_delivery(raw, keys, order), cfg)
+    flagged = normal.withColumn(REASON, F.when(~R.validity(cfg), F.lit(C.REASON_VALIDITY)))
+    judged = flagged.withColumn("_outcome", F.when(F.col(REASON).isNull(), "clean").otherwise("quarantine"))
+    path = f"{root}/silver/_census_batch"
+    judged = _read(spark, path, _write(judged, path))
+    merge_into_buckets(judged, f"{root}/silver/{census}_inc", keys, order, buckets, deliveries="_batch_id")
+    rejects = judged.where(F.col("_outcome") == "quarantine").drop("_outcome")
+    n_in, n_out, n_rej = raw.count(), judged.count(), rejects.count()
+    envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()), census, [cfg.id_col],
+                           cfg.year_col if cfg.year_col in raw.columns else None)
+    return {"census_rows_input": n_in, "census_rows_clean": n_out - n_rej, "census_rows_quarantined": n_rej,
+            "census_rows_duplicate": n_in - n_out}, envelope
+
+
 def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
               metas: str = "metas_municipio", entities: str = "municipios",
               groups: str = "ufs", layers: Layers | None = None,
@@ -278,9 +349,9 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
     The batch is read by partition pruning on ``_batch_id``; its contract
     split and quarantine are written per batch (a rerun replaces them); its
     clean rows are merged into ``silver/fato_metas_inc`` rewriting only the
-    key buckets they touch.  A daily run therefore costs the day's batch, not
-    the whole history.  Newer stream measurements are then merged into the
-    stored rows of their keys the same way.
+    key buckets they touch.  The bronze stream's new files (``stream_changes``) and the census rows of the batch
+    (``census_changes``) are merged the same way, so a daily run costs the day's files, not the history.  Measurements
+    that earlier runs took from the stream are merged into the batch's rows of their keys where they are newer.
     """
     schemas = layers.bronze_schemas if layers is not None else {}
     bronze = read_bronze(spark, f"{root}/bronze/{metas}", schema=schemas.get(metas))
@@ -296,31 +367,41 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
 
     keys, order = list(cfg.key_cols), [cfg.ingest_ts_col, "_batch_id"]
     enriched = latest_per_key(enrich(spark, clean, root, cfg, entities, groups, schemas), keys, order)
+    streamed = read_bronze(spark, f"{root}/bronze/{stream}", merge_schema=False) if stream else None
+    if streamed is not None:  # measures that only the stream has, so that all rows of the table have one schema
+        for c in STREAM_MEASURES:
+            if c not in enriched.columns and c in streamed.columns:
+                enriched = enriched.withColumn(c, F.lit(None).cast(streamed.schema[c].dataType))
     # written once: the merge, the counts and the dimensions read it back
     batch_schema = _write(enriched, f"{root}/silver/_batch")
     enriched = _read(spark, f"{root}/silver/_batch", batch_schema)
     table = f"{root}/silver/fato_metas_inc"
     merge_into_buckets(enriched, table, keys, order, buckets)
-    st_latest, st_in, st_rej = stream_to_silver(spark, root, cfg, stream) if stream else (None, 0, 0)
-    if st_latest is not None:
-        updates = _measurements(st_latest, cfg)
-        stored = read_declared(spark, table, T.StructType([*batch_schema.fields, T.StructField("_bucket", T.IntegerType())]))
-        stored = stored.drop("_bucket").join(updates.select(*keys), keys, "left_semi")
-        merge_into_buckets(merge_measurements(stored, updates, keys, list(STREAM_MEASURES), cfg.ingest_ts_col),
-                           table, keys, order, buckets)
+    stored_schema = T.StructType([*batch_schema.fields, T.StructField("_bucket", T.IntegerType())])
+
+    def merge_measured(updates: DataFrame) -> None:
+        _merge_measured(read_declared(updates.sparkSession, table, stored_schema), updates, table, cfg, buckets)
+
+    changes = {"rows": 0, "rejected": 0, "years": set()}
+    if streamed is not None:
+        changes = stream_changes(spark, root, cfg, stream, merge_measured, buckets)
+        known = read_bronze(spark, changes["table"], merge_schema=False)
+        if known is not None:  # measurements of earlier runs for this batch's keys
+            touched = [r[0] for r in enriched.select(bucket_of(keys, buckets)).distinct().collect()]
+            merge_measured(known.where(F.col("_bucket").isin(touched)).drop("_bucket").join(enriched.select(*keys), keys, "left_semi"))
+    census_counts, census_rejects = census_changes(spark, root, batch_id, cfg, buckets=buckets, schemas=schemas)
     envelope = to_envelope(rejects.withColumn("_quarantine_timestamp", F.current_timestamp()),
                            metas, [cfg.id_col], cfg.year_col)
+    if census_rejects is not None:
+        envelope = union_envelopes(envelope, census_rejects)
     write_table(envelope, f"{root}/silver/quarantine_inc/_batch_id={batch_id}", "overwrite", ["source"])
 
     n_in = split.count()
     n_rej = split.where(F.col("_outcome") == "quarantine").count()
     n_clean = enriched.count()
     # the years this batch changed (a handful of values): gold rebuilds only those fact partitions
-    changed = clean.select(cfg.year_col)
-    if st_latest is not None:
-        changed = changed.unionByName(st_latest.select(cfg.year_col))
-    years = sorted(r[0] for r in changed.distinct().collect() if r[0] is not None)
-    census_counts = census_to_silver(spark, root, cfg, schemas=schemas)
+    years = {r[0] for r in clean.select(cfg.year_col).distinct().collect()} | changes["years"]
+    years = sorted(y for y in years if y is not None)
     if layers is not None:
         layers.silver = spark.read.option("mergeSchema", True).parquet(table).drop("_bucket") if years or n_clean \
             else read_declared(spark, table, batch_schema)
@@ -328,7 +409,8 @@ def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: Do
         layers.batch_silver = enriched
     return {"rows_input": n_in, "rows_clean": n_clean, "rows_quarantined": n_rej,
             "rows_duplicate": n_in - n_rej - n_clean, "quarantine_rate_pct": quarantine_rate(n_rej, n_in),
-            "touched_years": years, "stream_rows_input": st_in, "stream_rows_quarantined": st_rej, **census_counts}
+            "touched_years": years, "stream_rows_input": changes["rows"], "stream_rows_quarantined": changes["rejected"],
+            **census_counts}
 
 
 FACTS = ("fato_indicador_alfabetizacao", "fato_metas_vs_resultado")
@@ -351,9 +433,9 @@ def to_gold(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
         silver = spark.read.parquet(f"{root}/silver/fato_metas")
     schemas = layers.bronze_schemas if layers is not None else {}
     lineage = ("_ingestion_timestamp", "_source_table", "_batch_id")
-    census_df = read_bronze(spark, f"{root}/silver/_contract_{census}")
+    census_df = read_bronze(spark, f"{root}/silver/_contract_{census}" if years is None else f"{root}/silver/{census}_inc")
     if census_df is not None:
-        census_df = census_df.where(F.col("_outcome") == "clean").drop(*lineage, "_outcome", REASON)
+        census_df = census_df.where(F.col("_outcome") == "clean").drop(*lineage, "_outcome", "_bucket", REASON)
     levels = {}
     for name, keys in (("metas_uf", (cfg.group_col, cfg.year_col)), ("metas_brasil", (cfg.year_col,))):
         lv = read_bronze(spark, f"{root}/bronze/{name}", schema=schemas.get(name))
