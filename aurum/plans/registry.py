@@ -9,6 +9,7 @@ directory (the gold tables are written once and read by every query).
 
 from __future__ import annotations
 
+import os
 import threading
 from typing import Callable
 
@@ -41,6 +42,7 @@ from aurum.sources.lineage import as_of_batch, batch_id_of, with_file_lineage, w
 from aurum.sources.readers import (
     csv_reader, extract, query_reader, read_bronze, read_first_available,
 )
+from aurum.sources.warehouse import warehouse_reader
 from aurum.streaming import events as S
 
 # --- fixed parameters of the registered queries ------------------------------
@@ -144,6 +146,24 @@ def q_bronze_roundtrip(spark, sf_dir):
                         F.col("_source_file").isNotNull().alias("has_source_file"))
 
 
+def q_warehouse_extract(spark, sf_dir):
+    """One year of orders through a database driver (an engine inside each task, over the given files), in key ranges."""
+    path = f"{sf_dir.rstrip('/')}/orders.parquet"
+    files = f"{path}/*.parquet" if os.path.isdir(path) else path
+    keys = _tables(spark, sf_dir)["orders"].agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).first()
+    extract_ = warehouse_reader(
+        f"SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS total_price, o_orderdate AS order_date "
+        f"FROM read_parquet('{files}')",
+        "order_id bigint, customer_id bigint, total_price double, order_date timestamp_ntz",
+        driver="duckdb", partition_column="order_id", lower=keys["low"] or 0, upper=(keys["high"] or 0) + 1,
+        partitions=spark.sparkContext.defaultParallelism,
+        filters=[("order_date", ">=", f"{EXTRACT_YEAR}-01-01 00:00:00"), ("order_date", "<", f"{EXTRACT_YEAR + 1}-01-01 00:00:00")])
+    df, used = read_first_available(spark, [extract_])
+    if used != 0:
+        raise RuntimeError("the warehouse could not be read")
+    return df
+
+
 def q_lineage_columns(spark, sf_dir):
     cust = _tables(spark, sf_dir)["customer"].select("c_custkey", "c_name")
     out = with_lineage(cust, "customer", FIXED_BATCH_ID, FIXED_INGESTED_AT)
@@ -592,6 +612,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metas_extract": q_metas_extract,
     "extract_bounded": q_extract_bounded,
     "bronze_roundtrip": q_bronze_roundtrip,
+    "warehouse_extract": q_warehouse_extract,
     "lineage_columns": q_lineage_columns,
     "replay_as_of_batch": q_replay_as_of_batch,
     "external_table": q_external_table,

@@ -16,7 +16,7 @@ def _plan(df) -> str:
 @pytest.fixture(scope="module")
 def plans(spark):
     from aurum.plans.registry import QUERIES
-    out = {}
+    out = {}   # the warehouse's rows come out of a Python data source by design
     for name, fn in QUERIES.items():
         if name in ("feature_clusters", "risk_model"):   # fitted models, not one plan
             continue
