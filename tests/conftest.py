@@ -14,6 +14,7 @@ os.environ.setdefault("PYSPARK_DRIVER_PYTHON", sys.executable)
 def spark():
     from pyspark.sql import SparkSession
     b = (SparkSession.builder.master("local[4]").appName("aurum-tests")
+         .config("spark.driver.memory", "4g")   # one session runs all tests
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
