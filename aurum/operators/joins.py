@@ -8,10 +8,11 @@ with the data never lands whole in every executor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aurum.operators.dedupe import latest_per_key
 from aurum.session import shared_path
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -73,3 +74,32 @@ def join_directory(fact: DataFrame, directory: DataFrame, on, how: str = "left",
                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join a fact to a directory (one row per key is the caller's duty)."""
     return fact.join(maybe_broadcast(directory, max_rows, probe, max_bytes), on, how)
+
+
+def version_intervals(versions: DataFrame, keys, version_col: str, order_cols=()) -> DataFrame:
+    """Directory rows with the interval of versions in which they hold: ``valid_from`` up to (not at) ``valid_to``.
+
+    Of several rows of a key in one version the last by ``order_cols`` holds; the newest row has no end.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    one = latest_per_key(versions, [*keys, version_col], list(order_cols))
+    until = F.lead(version_col).over(Window.partitionBy(*keys).orderBy(version_col))
+    return one.withColumn("valid_from", F.col(version_col)).withColumn("valid_to", until).drop(version_col)
+
+
+def join_as_of(facts: DataFrame, versions: DataFrame, keys, fact_version: str, version_col: str, order_cols=(),
+               probe: DataFrame | None = None) -> DataFrame:
+    """Left join of every fact with the directory row that held at the fact's own version.
+
+    A later delivery of the directory does not change what an older batch is enriched with, so a replay of that batch gives
+    the names of its time.  An equi-join on the keys with a range condition: a broadcast once the directory's size is
+    proven, else a shuffle join that adaptive execution can split.  Facts older than the first version have nulls.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    held = version_intervals(versions, keys, version_col, order_cols)
+    held = held.select(*[F.col(k).alias(f"_dir_{k}") for k in keys], *[c for c in held.columns if c not in keys])
+    at = F.col(fact_version)
+    on = (at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_dir_{k}"))
+    return facts.join(maybe_broadcast(held, probe=probe), on, "left").drop("valid_from", "valid_to", *[f"_dir_{k}" for k in keys])

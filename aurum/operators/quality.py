@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,6 +191,44 @@ def timeliness(df: DataFrame, event_ts: str, write_ts, by=(), late_after_s: int
     return df.select(*by, lag.alias("_lag")).groupBy(*by).agg(*aggs)
 
 
+#: Significant bits of a stored lag: a bucket is less than 1/32 of its lag wide, lags below 64 seconds are exact.
+SKETCH_BITS = 6
+
+
+def lag_sketch(df: DataFrame, event_ts, write_ts, by=()) -> DataFrame:
+    """A mergeable sketch of the lags: ``by, low, n``, the number of lags in each bucket.
+
+    A bucket holds the lags that share their ``SKETCH_BITS`` leading bits (negative ones apart), so a group has at most
+    about 4,000 rows however many events it has, and the rows do not depend on the order of events.
+    """
+    lag = lag_seconds(event_ts, write_ts)
+    size = F.abs(lag)
+    drop = f"greatest(length(bin(_size)) - {SKETCH_BITS}, 0)"
+    rows = df.select(*by, lag.alias("_lag"), size.alias("_size")).where("_lag IS NOT NULL")
+    low = F.expr(f"shiftleft(shiftright(_size, {drop}), {drop})")
+    return rows.select(*by, F.when(F.col("_lag") < 0, -low).otherwise(low).alias("low")) \
+        .groupBy(*by, "low").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_sketches(sketches: DataFrame, by=()) -> DataFrame:
+    """One sketch out of those of many batches (or parts): the counts of a bucket add up."""
+    return sketches.groupBy(*by, "low").agg(F.sum("n").alias("n"))
+
+
+def sketch_percentiles(sketch: DataFrame, by=(), percentages=(0.5, 0.95, 0.99)) -> DataFrame:
+    """``by, n_events`` and a percentile each (``p50_s`` ...): the bucket that holds the lag of that rank.
+
+    The rank is exact; the value is the bucket's end nearer to zero, so it is off by less than 1/32 of the lag.
+    """
+    by = list(by)
+    order = Window.partitionBy(*by).orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
+    upto = sketch.withColumn("_upto", F.sum("n").over(order)) \
+        .withColumn("_all", F.sum("n").over(Window.partitionBy(*by)))
+    wanted = [F.min(F.when(F.col("_upto") >= F.ceil(F.col("_all") * F.lit(p)), F.col("low"))).alias(f"p{round(p * 100)}_s")
+              for p in percentages]
+    return upto.groupBy(*by).agg(F.max("_all").alias("n_events"), *wanted)
+
+
 def schema_from_json(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 

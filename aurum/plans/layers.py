@@ -21,7 +21,7 @@ from aurum.config import DomainConfig, LITERACY
 from aurum.functions import rules as R
 from aurum.operators import gold as G
 from aurum.operators.dedupe import latest_delivery, latest_per_key, order_column
-from aurum.operators.joins import join_directory
+from aurum.operators.joins import join_as_of, join_directory
 from aurum.operators.merge import (
     ENVELOPE_SCHEMA, bucket_of, merge_into_buckets, merge_measurements, to_envelope, union_envelopes,
 )
@@ -29,7 +29,7 @@ from aurum.operators.metrics import StageRun, quarantine_rate
 from aurum.functions.normalize import normalize
 from aurum.operators.quality import REASON, evaluate
 from aurum.sinks.writers import overwrite_partitions, write_bronze, write_split, write_table
-from aurum.sources.lineage import make_batch_id, with_lineage
+from aurum.sources.lineage import as_of_batch, make_batch_id, with_lineage
 from aurum.sources.readers import read_bronze, read_declared
 from aurum.streaming.events import run_available
 
@@ -323,10 +323,20 @@ def to_silver(spark: SparkSession, root: str, cfg: DomainConfig = LITERACY,
 
 
 def enrich(spark: SparkSession, clean: DataFrame, root: str, cfg: DomainConfig = LITERACY,
-           entities: str = "municipios", groups: str = "ufs", schemas: dict | None = None) -> DataFrame:
-    """Left-join the latest directory rows (all batches) onto clean facts."""
+           entities: str = "municipios", groups: str = "ufs", schemas: dict | None = None,
+           as_of: bool = False) -> DataFrame:
+    """Left-join directory rows onto clean facts: the latest of all batches, or those as of each fact's own batch (``as_of``)."""
     schemas = schemas or {}
     order = [cfg.ingest_ts_col, "_batch_id"]
+    if as_of:
+        for name, key, wanted in ((entities, cfg.id_col, (cfg.entity_name_col,)),
+                                  (groups, cfg.group_col, (cfg.group_name_col, cfg.region_col))):
+            raw = read_bronze(spark, f"{root}/bronze/{name}", schema=schemas.get(name))
+            if raw is not None:
+                rows = normalize(raw, cfg)
+                rows = rows.select(key, "_batch_id", *[c for c in wanted if c in rows.columns])
+                clean = join_as_of(clean, rows, key, "_batch_id", "_batch_id", probe=raw)
+        return clean
     ent_raw = read_bronze(spark, f"{root}/bronze/{entities}", schema=schemas.get(entities))
     if ent_raw is not None:
         ent_dir = latest_per_key(normalize(ent_raw, cfg), [cfg.id_col], order)
@@ -340,6 +350,17 @@ def enrich(spark: SparkSession, clean: DataFrame, root: str, cfg: DomainConfig =
     return clean
 
 
+def replay(spark: SparkSession, root: str, batch_id: str, cfg: DomainConfig = LITERACY, metas: str = "metas_municipio") -> DataFrame:
+    """The clean, enriched rows as they stood after ``batch_id``: later deliveries of facts and directories do not show."""
+    raw = read_bronze(spark, f"{root}/bronze/{metas}")
+    if raw is None:
+        raise RuntimeError(f"bronze {metas!r} not found: run the ingestion first")
+    judged = evaluate(as_of_batch(raw, batch_id), cfg)
+    clean = judged.where(F.col(REASON).isNull()).drop(REASON)
+    latest = latest_per_key(clean, list(cfg.key_cols), [cfg.ingest_ts_col, "_batch_id"])
+    return enrich(spark, latest, root, cfg, as_of=True)
+
+
 def to_silver_incremental(spark: SparkSession, root: str, batch_id: str, cfg: DomainConfig = LITERACY,
                           metas: str = "metas_municipio", entities: str = "municipios",
                           groups: str = "ufs", buckets: int = 64, layers: Layers | None = None,

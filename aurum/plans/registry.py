@@ -31,7 +31,7 @@ from aurum.operators import ml as ML
 from aurum.operators import quality as Q
 from aurum.operators import vectors as V
 from aurum.operators.dedupe import latest_per_key
-from aurum.operators.joins import join_directory
+from aurum.operators.joins import join_as_of, join_directory
 from aurum.plans import layers as L
 from aurum.plans import mapping as MP
 from aurum.session import shared_path
@@ -56,6 +56,7 @@ LATE_AFTER_S = 43_200
 STAGE_COSTS = [(C.STAGE_INGEST, 0.40), (C.STAGE_SILVER, 0.25), (C.STAGE_GOLD, 0.15)]
 TOP_K = 5
 LABEL_FROM = 5
+DIRECTORY_BATCHES = ("19930101_000000", "19960101_000000")
 DIMENSION_LATE_S = 3600
 CLUSTER_CENTRES = ((20.0, 50.0, -60.0), (45.0, 60.0, -20.0), (55.0, 45.0, 20.0), (70.0, 70.0, 60.0))
 RISK_COEFFICIENTS, RISK_INTERCEPT = (0.03, -0.01, 0.002), -1.5
@@ -244,6 +245,19 @@ def q_timeliness(spark, sf_dir):
                         by=["event_type"], late_after_s=LATE_AFTER_S)
 
 
+def q_lag_percentiles(spark, sf_dir):
+    """Lag percentiles over all batches, from sketches that each batch (a month of events) stored."""
+    e = _tables(spark, sf_dir)["events"]
+    landing = F.date_add(F.to_date("ts"), 1).cast("timestamp_ntz")
+    batch = F.concat(F.date_format("ts", "yyyyMM"), F.lit("01_000000"))
+    sketches = Q.lag_sketch(e.withColumn("_landed_at", landing).withColumn("_batch_id", batch), "ts", "_landed_at",
+                            ["_batch_id", "event_type"])
+    path = shared_path(spark, "queries", "lag_sketches")
+    write_table(sketches, path, partition_by=["_batch_id"])
+    stored = spark.read.schema(sketches.schema).parquet(path)
+    return Q.sketch_percentiles(Q.merge_sketches(stored, ["event_type"]), ["event_type"])
+
+
 def q_schema_contract(spark, sf_dir):
     return Q.schema_contract(_tables(spark, sf_dir)["events"], EVENTS_CONTRACT)
 
@@ -279,6 +293,18 @@ def q_enrich_directories(spark, sf_dir):
     return join_directory(out, groups.select("sigla_uf", "nome_uf", "regiao"), "sigla_uf", probe=groups_raw)
 
 
+def q_enrich_as_of(spark, sf_dir):
+    """Every extract row with the name that its entity had in the row's own batch (its year); even entities were renamed."""
+    t = _tables(spark, sf_dir)
+    metas = MP.metas_extract(t).select("id_municipio", "ano", F.concat(F.col("ano").cast("string"), F.lit("0101_000000")).alias("_batch_id"))
+    names = MP.municipios_extract(t).select("id_municipio", "nome_municipio")
+    renamed = names.where(F.col("id_municipio").cast("bigint") % 2 == 0) \
+        .select("id_municipio", F.concat("nome_municipio", F.lit(" II")).alias("nome_municipio"))
+    versions = names.withColumn("_batch_id", F.lit(DIRECTORY_BATCHES[0])) \
+        .unionByName(renamed.withColumn("_batch_id", F.lit(DIRECTORY_BATCHES[1])))
+    return join_as_of(metas, versions, "id_municipio", "_batch_id", "_batch_id")
+
+
 def _orders_versioned(t):
     return t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                               F.col("o_orderdate").alias("updated_at"))
@@ -623,10 +649,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_scorecard": q_quality_scorecard,
     "consistency_rule": q_consistency_rule,
     "timeliness": q_timeliness,
+    "lag_percentiles": q_lag_percentiles,
     "schema_contract": q_schema_contract,
     "quarantine_union": q_quarantine_union,
     "dedupe_latest": q_dedupe_latest,
     "enrich_directories": q_enrich_directories,
+    "enrich_as_of": q_enrich_as_of,
     "upsert_latest_wins": q_upsert_latest_wins,
     "partition_overwrite": q_partition_overwrite,
     "dim_time": q_dim_time,
