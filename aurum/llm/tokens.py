@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNKS, HEADS, PIECES = 700_000, 100_000, 60_000
+CHUNKS, HEADS, PIECES = 450_000, 100_000, 60_000
 _LONGEST_KEY = 64
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = frozenset(".,;:!?")
@@ -42,9 +42,10 @@ class _Cache(dict):
         ids = self.old.get(key)
         if ids is None:
             ids = self.make(key)
-        if len(key) <= _LONGEST_KEY:
+        if len(key) <= _LONGEST_KEY and "\n" not in key:  # chunks over two lines seldom repeat; their parts are kept
             if len(self) >= self.size:
-                self.old = dict(self)
+                self.old.clear()
+                self.old.update(self)
                 self.clear()
             self[key] = ids
         return ids
