@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNKS, HEADS, PIECES = 450_000, 100_000, 60_000
+CHUNKS, HEADS, PIECES = 550_000, 100_000, 60_000
 _LONGEST_KEY = 64
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = frozenset(".,;:!?")
