@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -77,10 +76,13 @@ def _element(name: str, attributes: str) -> tuple[str, bool, bool, bool]:
 
 @dataclass
 class Page:
-    """Blocks ``(path, text, in a main region)`` in page order, the paths of all elements, and whether a region exists."""
+    """Blocks and the paths of all elements, both in page order, and whether a main region exists.
 
-    blocks: list[tuple[str, str, bool]] = field(default_factory=list)
-    paths: Counter[str] = field(default_factory=Counter)
+    A block is ``(path, text, in a main region, at)``, where ``at`` is the number of elements that begin before it.
+    """
+
+    blocks: list[tuple[str, str, bool, int]] = field(default_factory=list)
+    elements: list[str] = field(default_factory=list)
     has_region: bool = False
 
 
@@ -110,13 +112,13 @@ class _LeftOut:
             at = self.regions[at][0]
         return out
 
-    def resolve(self, blocks: list[tuple[str, str, int, int]]) -> tuple[list[tuple[str, str, bool]], bool]:
-        """The blocks ``(path, text, in a main region)`` that stay, of ``(path, text, region, element)``."""
+    def resolve(self, blocks: list[tuple[str, str, int, int, int]]) -> tuple[list[tuple[str, str, bool, int]], bool]:
+        """The blocks ``(path, text, in a main region, at)`` that stay, of ``(path, text, region, element, at)``."""
         if not self.around:
-            return [(path, text, region >= 0) for path, text, region, _ in blocks], bool(self.regions)
+            return [(path, text, region >= 0, at) for path, text, region, _, at in blocks], bool(self.regions)
         chars, total = [0] * len(self.around), 0
         region_chars = [0] * len(self.regions)
-        for _, text, region, element in blocks:
+        for _, text, region, element, _ in blocks:
             total += len(text)
             if element >= 0:
                 chars[element] += len(text)
@@ -133,7 +135,7 @@ class _LeftOut:
                     out[held[-1]] = False
             gone = self._gone(out)
             marked = [i for i, (_, at) in enumerate(self.regions) if not (at >= 0 and gone[at])]
-        for _, text, region, element in blocks:
+        for _, text, region, element, _ in blocks:
             if region >= 0 and not (element >= 0 and gone[element]):
                 for i in self._region_chain(region):
                     region_chars[i] += len(text)
@@ -142,9 +144,10 @@ class _LeftOut:
             if out[i] and self.movable[i] and 2 * held > total and article <= set(self._region_chain(self.inside[i])):
                 out[i] = False
         gone = self._gone(out)
-        kept = [(path, text, region >= 0) for path, text, region, element in blocks if not (element >= 0 and gone[element])]
+        kept = [(path, text, region >= 0, at) for path, text, region, element, at in blocks
+                if not (element >= 0 and gone[element])]
         # regions that were to be left out are the page's article only if they hold most of its text
-        return kept, bool(marked) and (not freed or 2 * sum(len(t) for _, t, region in kept if region) > total)
+        return kept, bool(marked) and (not freed or 2 * sum(len(t) for _, t, region, _ in kept if region) > total)
 
     def _gone(self, out: list[bool]) -> list[bool]:
         gone = list(out)
@@ -167,7 +170,7 @@ def read(source: str | None) -> Page:
         if texts:
             text = "".join(texts)
             if text := " ".join((html.unescape(text) if "&" in text else text).split()):
-                blocks.append((stack[-1][1], text, stack[-1][3], stack[-1][2]))
+                blocks.append((stack[-1][1], text, stack[-1][3], stack[-1][2], len(page.elements)))
             texts.clear()
 
     while at < end:
@@ -229,7 +232,7 @@ def read(source: str | None) -> Page:
             region = len(left_out.regions) - 1
         stack.append((name, path, element, region))
         inline += not block
-        page.paths[path] += 1
+        page.elements.append(path)
     flush()
     page.blocks, page.has_region = left_out.resolve(blocks)
     return page
