@@ -29,6 +29,7 @@ from aurum.operators import merge as M
 from aurum.operators import metrics as MT
 from aurum.operators import ml as ML
 from aurum.operators import quality as Q
+from aurum.operators import vector_index
 from aurum.operators import vectors as V
 from aurum.operators.dedupe import latest_per_key
 from aurum.operators.joins import join_as_of, join_directory
@@ -597,6 +598,16 @@ def q_vector_neighbours(spark, sf_dir):
     return V.top_k(emb, _hundredths(emb), k=TOP_K, exclude_self=True).withColumn("score", round_half_up("score", 6))
 
 
+def q_vector_index_neighbours(spark, sf_dir):
+    """The same through a stored index, whose bounds exclude cells before they are scored."""
+    emb = _tables(spark, sf_dir)["embeddings"]
+    path = shared_path(spark, "queries", "vector_index")
+    dims = emb.agg(F.max(F.size("embedding"))).first()[0] or 0
+    vector_index.build(emb, path, dims)
+    found, _ = vector_index.search(spark, path, _hundredths(emb), k=TOP_K, exclude_self=True)
+    return found.withColumn("score", round_half_up("score", 6))
+
+
 def q_vector_neighbours_by_label(spark, sf_dir):
     """The same among the rows of some labels (retrieval filtered by an attribute)."""
     emb = _tables(spark, sf_dir)["embeddings"]
@@ -688,6 +699,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vector_top_k": q_vector_top_k,
     "vector_top_k_filtered": q_vector_top_k_filtered,
     "vector_neighbours": q_vector_neighbours,
+    "vector_index_neighbours": q_vector_index_neighbours,
     "vector_neighbours_by_label": q_vector_neighbours_by_label,
     "target_rollup": q_target_rollup,
     "distinct_entities": q_distinct_entities,

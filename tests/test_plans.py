@@ -27,7 +27,8 @@ def plans(spark):
 
 
 # the vector search scores pairs of blocks with one matrix product by design (see operators.vectors)
-PYTHON_BY_DESIGN = {q: ("BatchEvalPython", "PythonUDF") for q in ("vector_top_k", "vector_top_k_filtered", "vector_neighbours", "vector_neighbours_by_label")}
+PYTHON_BY_DESIGN = {q: ("BatchEvalPython", "PythonUDF") for q in (
+    "vector_top_k", "vector_top_k_filtered", "vector_neighbours", "vector_neighbours_by_label", "vector_index_neighbours")}
 
 
 def test_no_cross_joins_and_no_python_in_any_plan(plans):
