@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aurum.operators.joins import materialised
-from aurum.operators.vectors import BASE_BLOCK, METRICS, QUERY_BLOCK, _block_top_k, norm
+from aurum.operators.vectors import BASE_BLOCK, METRICS, QUERY_BLOCK, block_top_k, norm
 
 CENTRES = 4096
 #: Relative room for rounding in a bound.
@@ -129,8 +129,7 @@ def _scored(blocks: DataFrame, wanted: DataFrame, n_queries: int, k: int, metric
     part = F.pmod(F.xxhash64("id"), F.lit(max(1, math.ceil(n_queries / QUERY_BLOCK)))).alias("part")
     sent = wanted.groupBy("cell", part).agg(F.collect_list(F.struct("id", "v")).alias("r")) \
         .select("cell", F.col("r.id").alias("qids"), F.col("r.v").alias("qvecs"))
-    best = _block_top_k(k, metric, exclude_self)("qids", "qvecs", "ids", "vecs")
-    return blocks.join(sent, "cell").select(F.explode(best).alias("f")).select("f.*")
+    return block_top_k(blocks.join(sent, "cell"), k, metric, exclude_self)
 
 
 def _best(found: DataFrame, k: int, metric: str) -> DataFrame:

@@ -143,3 +143,26 @@ def test_variant_path_access(spark):
     r = base.select(F.variant_get(D.as_variant("body", "infra"), "$.mbps", "int").alias("mbps"),
                     F.variant_get(D.as_variant("body", "recursos"), "$[1]", "string").alias("r1")).first()
     assert (r.mbps, r.r1) == (100, "Sala")
+
+
+def test_exact_distances_hold_few_differences_at_a_time():
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    b, q = rng.normal(size=(V.BASE_BLOCK, 64)), rng.normal(size=(V.QUERY_BLOCK, 64))
+    tracemalloc.start()
+    try:
+        got = V._scores("l2", b, q)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 << 20      # all differences of the two blocks and their squares take 268 MB
+    assert np.array_equal(got[::100, ::50], [[np.sqrt(((x - y) ** 2).sum()) for y in q[::50]] for x in b[::100]])
+
+
+def test_blocks_are_scored_as_arrow_arrays(spark):
+    base = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(9)], "vec_id bigint, embedding array<double>")
+    asked = base.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+    out = V.top_k(base, asked, k=2, exclude_self=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "BatchEvalPython" not in plan
+    assert sorted((r.qid, r["rank"], r.vec_id) for r in out.where("qid < 2").collect()) == [(0, 1, 1), (0, 2, 2), (1, 1, 8), (1, 2, 7)]

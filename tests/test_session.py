@@ -47,6 +47,14 @@ def test_shuffles_start_with_partitions_for_the_rows_and_never_fewer(own):
     assert [SS._bytes(x) for x in ("64m", "67108864b", "4096", "1g", "16MB")] == [64 << 20, 64 << 20, 4096, 1 << 30, 16 << 20]
 
 
+def test_arrow_batches_are_only_made_smaller(own):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for held, want in (("64m", SS.BATCH_BYTES), ("4m", 4 << 20)):
+        own.conf.set(key, held)
+        SS.small_batches(own)
+        assert SS._bytes(own.conf.get(key)) == want
+
+
 def test_small_splits_hold_inside_only(own):
     before = own.conf.get(KEYS[2])
     with pytest.raises(KeyError):
