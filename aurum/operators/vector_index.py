@@ -30,7 +30,9 @@ CENTRES = 4096
 #: Relative room for rounding in a bound.
 ROOM = 1e-9
 #: Rows that a task compares with all centres at a time.
-AT_ONCE = 512
+AT_ONCE = 128
+#: Pairs of a query and a cell, each with the query's vector, that a task hands on at a time.
+PAIRS_AT_ONCE = 4096
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,6 +94,14 @@ def build(df: DataFrame, path: str, dims: int, metric: str = "dot", id_col: str
     spark.createDataFrame([(metric, dims)], "metric string, dims int").write.parquet(f"{path}/kind")
 
 
+def _pairs(batch: pa.RecordBatch, at: np.ndarray, cell: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``id, v, cell``: the rows ``at`` of a batch, each with its cell; in pieces, as a query may ask for every cell."""
+    for start in range(0, len(at), PAIRS_AT_ONCE):
+        take = pa.array(at[start:start + PAIRS_AT_ONCE], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take),
+                                          pa.array(cell[start:start + PAIRS_AT_ONCE])], names=["id", "v", "cell"])
+
+
 def _cells_asked(queries: DataFrame, cells: list, k: int, dims: int, metric: str, first: bool) -> DataFrame:
     """``id, v, cell``: the cells that each query scores first, or all others whose bound reaches its ``kth`` score."""
     number = np.array([c.cell for c in cells], np.int32)
@@ -117,9 +127,7 @@ def _cells_asked(queries: DataFrame, cells: list, k: int, dims: int, metric: str
                 kth = -kth if metric == "l2" else kth
                 reached = ~((bound + room)[at, col] < kth[at])
                 at, col = at[reached], col[reached]
-            take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(number[col])],
-                                             names=["id", "v", "cell"])
+            yield from _pairs(batch, at, number[col])
 
     return queries.mapInArrow(asked, "id bigint, v array<double>, cell int")
 

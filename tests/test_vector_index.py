@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +59,17 @@ def test_fewer_rows_than_asked_for_odd_rows_and_none(spark, scratch):
     assert got.count() == 0 and share == 0
     with pytest.raises(ValueError, match="unknown metric"):
         I.build(df, f"{scratch}/x", 8, metric="hamming")
+
+
+def test_queries_that_ask_for_every_cell_are_handed_on_in_pieces():
+    queries, cells = 128, 4096
+    batch = pa.RecordBatch.from_arrays([pa.array(range(queries)), pa.array([[float(i)] * 4 for i in range(queries)])], names=["id", "v"])
+    at, cell = np.repeat(np.arange(queries), cells), np.tile(np.arange(cells, dtype=np.int32), queries)
+    seen = 0
+    for piece in I._pairs(batch, at, cell):
+        assert piece.num_rows <= I.PAIRS_AT_ONCE
+        seen += piece.num_rows
+    assert seen == queries * cells
+    assert list(I._pairs(batch, at[:0], cell[:0])) == []
+    assert piece.column("id")[-1].as_py() == queries - 1 and piece.column("v")[-1].as_py() == [queries - 1.0] * 4
+    assert piece.column("cell")[-1].as_py() == cells - 1
