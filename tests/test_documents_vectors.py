@@ -166,3 +166,10 @@ def test_blocks_are_scored_as_arrow_arrays(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "BatchEvalPython" not in plan
     assert sorted((r.qid, r["rank"], r.vec_id) for r in out.where("qid < 2").collect()) == [(0, 1, 1), (0, 2, 2), (1, 1, 8), (1, 2, 7)]
+
+
+def test_queries_without_an_id_and_vectors_without_components_are_scored(spark):
+    base = spark.createDataFrame([(1, [1.0]), (2, [2.0]), (3, []), (4, [])], "vec_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(None, [1.0]), (2, [1.0]), (3, [])], "qid bigint, qvec array<double>")
+    got = {(r.qid, r["rank"], r.vec_id, r.score) for r in V.top_k(base, asked, k=2, exclude_self=True).collect()}
+    assert got == {(None, 1, 2, 2.0), (None, 2, 1, 1.0), (2, 1, 1, 1.0), (3, 1, 4, 0.0)}
