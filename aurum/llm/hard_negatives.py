@@ -9,7 +9,7 @@ the shuffle, and once more behind it.  The best k rows up to limit j are then th
 from the last slot upwards, each merge keeping k; a window takes those of its own suffix that reach its lower limit.
 
 Scores are exact integer inner products of ``floor(scale * x)``.  The rows are shuffled once for the positives and once
-for the negatives, into cells of ``BLOCK_BYTES`` at most; a task holds one cell and the anchors stream past it.  A cell
+for the negatives, into cells of about ``BLOCK_BYTES`` at most; a task holds one cell and the anchors stream past it.  A cell
 takes rows by a hash of the id, so neither a label with a third of all rows nor many equal vectors fill one task, and
 every anchor goes to every cell: copies of anchors grow with the number of cells, not with that of smaller blocks.  For
 the positives a label with few rows goes to one cell as a whole, and so do its anchors.  The work is that of a scan of
@@ -87,10 +87,10 @@ def quantised(rows: DataFrame, label: Column, scale: int = SCALE) -> DataFrame:
 
 
 def _parts(spark: SparkSession, rows: int, dim: int) -> int:
-    """The number of cells: each within ``BLOCK_BYTES``, and enough of them for all cores."""
-    each = 4 * dim + 16
-    spread = min(2 * spark.sparkContext.defaultParallelism, -(-rows * each // LEAST_BYTES))
-    return max(1, spread, -(-rows // max(16, BLOCK_BYTES // each)))
+    """The number of cells: each of ``BLOCK_BYTES`` at most, and whole rounds of all cores if there are enough rows."""
+    each, cores = 4 * dim + 16, max(1, spark.sparkContext.defaultParallelism)
+    fewest = -(-rows // max(16, BLOCK_BYTES // each))
+    return max(1, fewest, min(cores * max(2, -(-fewest // cores)), -(-rows * each // LEAST_BYTES)))
 
 
 def _arrays(batch: pa.RecordBatch, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
